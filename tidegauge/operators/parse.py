@@ -26,8 +26,9 @@ def _reject_reason() -> Column:
 def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add the five event columns and ``reject_reason`` (null for an accepted message).
 
-    Every message yields exactly one row. The one-element ``explode`` around the parse and around
-    the reason keeps Catalyst from copying them into the filters and columns that use them.
+    Every message yields exactly one row. Generators are where predicate pushdown stops: without
+    the one-element ``explode`` and ``inline``, each filter on a result column (also the not-null
+    filter that ``window`` implies) would copy the whole parse below itself.
     """
     parsed = messages.select("*", F.explode(F.array(parse_document(F.col(value)))).alias(DOCUMENT))
     for name in EVENT_SCHEMA.names:
@@ -39,10 +40,9 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
         "temperature": Field(DOCUMENT, "temperature").double(),
         "humidity": Field(DOCUMENT, "humidity").double(),
     })
-    typed = parse_event_times(parsed, "_event_time")
-    return typed.select(
-        *messages.columns, *EVENT_SCHEMA.names, F.explode(F.array(_reject_reason())).alias("reject_reason")
-    )
+    checked = parse_event_times(parsed, "_event_time").withColumn("reject_reason", _reject_reason())
+    result = F.struct(*EVENT_SCHEMA.names, "reject_reason")
+    return checked.select(*messages.columns, F.inline(F.array(result)))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.event_time import format_event_time
 from tidegauge.schemas import AGGREGATE_SCHEMA
 
 
+def event_json() -> Column:
+    """The columns of a typed event as one JSON text."""
+    return F.to_json(F.struct(
+        "device_id",
+        "device_type_id",
+        format_event_time(F.col("event_time")).alias("event_time"),
+        "temperature",
+        "humidity",
+    ))
+
+
 def event_messages(events: DataFrame) -> DataFrame:
     """Typed events to messages: ``key`` is the device id, ``value`` the event as JSON."""
-    return events.select(
-        F.col("device_id").cast("string").alias("key"),
-        F.to_json(F.struct(
-            "device_id",
-            "device_type_id",
-            format_event_time(F.col("event_time")).alias("event_time"),
-            "temperature",
-            "humidity",
-        )).alias("value"),
-    )
+    return events.select(F.col("device_id").cast("string").alias("key"), event_json().alias("value"))
 
 
 def aggregate_messages(rows: DataFrame) -> DataFrame:
