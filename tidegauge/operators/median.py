@@ -5,14 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegauge.session import written
 
-# Distinct values up to which a group's median is taken in one task's memory (about 2 MB).
-LARGE_GROUP = 20_000
-# Rows a task sorts when a large group is split into value ranges (sorting spills to disk).
+# Distinct values of one group that one task sorts (the sort spills). Groups with more are split.
+LARGE_GROUP = 500_000
+# Rows of a value range, the share of a split group that one task sorts.
 RANGE_ROWS = 500_000
 # Group keys up to this many are small enough to broadcast.
 BROADCAST_GROUPS = 100_000
@@ -31,77 +31,92 @@ def weighted_median(
     """Per group: ``keys``, total ``n``, the totals of ``sums`` and the exact ``median``.
 
     ``counts`` holds each value once per group with its frequency ``n``, and must be cheap to read
-    several times. Groups with few distinct values are finished by the built-in percentile. Larger
-    ones, found by counting first, are split over tasks by value range.
+    several times. A group of up to ``large_group`` values is sorted in one task. Larger groups,
+    found by counting first, are split over tasks by value range; nothing is left out.
     """
     sizes = counts.groupBy(*keys).agg(F.count("*").alias("values")).where(F.col("values") > large_group)
     found = sizes.agg(F.count("*").alias("groups"), F.sum("values").alias("rows")).first()
     if not found["groups"]:
-        return _small_groups(counts, keys, value, n, sums)
-    large = keep(sizes.select(*keys))
+        return _sorted_groups(counts, keys, value, n, sums)
+    large = keep(sizes.select(*[F.col(k).alias(f"_{k}") for k in keys]))
     if found["groups"] <= BROADCAST_GROUPS:
         large = F.broadcast(large)
-    same_group = [counts[k].eqNullSafe(large[k]) for k in keys]
+    same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     small = counts.join(large, same_group, "left_anti")
     big = counts.join(large, same_group, "left_semi")
     tasks = math.ceil(found["rows"] / range_rows)
-    return _small_groups(small, keys, value, n, sums).unionByName(
-        _large_groups(big, keys, value, n, sums, keep, tasks)
+    return _sorted_groups(small, keys, value, n, sums).unionByName(
+        _split_groups(big, keys, value, n, sums, keep, tasks)
     )
 
 
-def _small_groups(counts, keys, value, n, sums) -> DataFrame:
-    return counts.groupBy(*keys).agg(
-        F.sum(n).alias(n),
-        *[F.sum(s).alias(s) for s in sums],
-        F.percentile(value, 0.5, F.col(n)).alias("median"),
-    )
+def _lower(total: str) -> Column:
+    """0-based rank of the lower middle row."""
+    return F.call_function("div", F.col(total) - 1, F.lit(2))
 
 
-def _large_groups(counts, keys, value, n, sums, keep, tasks) -> DataFrame:
-    # Equal-sized ranges of (group, value): a large group covers many, in value order.
-    ranges = keep(
-        counts.repartitionByRange(tasks, *keys, value).withColumn("_range", F.spark_partition_id())
-    )
-    # One row per group and range from here on.
-    totals = ranges.groupBy(*keys, "_range").agg(
-        F.sum(n).alias("_range_n"), *[F.sum(s).alias(s) for s in sums]
-    )
+def _upper(total: str) -> Column:
+    """0-based rank of the upper middle row; the lower one again when the total is odd."""
+    return F.call_function("div", F.col(total), F.lit(2))
+
+
+def _holds(rank: Column, end: str, n: str) -> Column:
+    """Whether the ``n`` rows that end before rank ``end`` include ``rank``."""
+    return (rank < F.col(end)) & (rank >= F.col(end) - F.col(n))
+
+
+def _median(value: str, end: str, n: str, total: str) -> Column:
+    lower = F.max(F.when(_holds(_lower(total), end, n), F.col(value)))
+    upper = F.max(F.when(_holds(_upper(total), end, n), F.col(value)))
+    return (lower + upper) / 2
+
+
+def _sorted_groups(counts, keys, value, n, sums) -> DataFrame:
+    """One shuffle by group and one sort; the final aggregation finds its rows in place."""
     group = Window.partitionBy(*keys)
-    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    placed = totals.select(
-        *keys,
-        "_range",
-        "_range_n",
-        F.coalesce(F.sum("_range_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_range_n").over(group).alias("_total"),
-        *[F.sum(s).over(group).alias(s) for s in sums],
+    so_far = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumns({"_end": F.sum(n).over(so_far), "_total": F.sum(n).over(group)})
+    return ranked.groupBy(*keys).agg(
+        F.sum(n).alias(n), *[F.sum(s).alias(s) for s in sums], _median(value, "_end", n, "_total").alias("median")
     )
-    # 0-based ranks of the two middle rows (one and the same when the total is odd).
-    lower = F.call_function("div", F.col("_total") - 1, F.lit(2))
-    upper = F.call_function("div", F.col("_total"), F.lit(2))
 
-    def holds(rank, before, count):
-        return (before <= rank) & (rank < before + count)
 
-    middle = placed.where(
-        holds(lower, F.col("_before"), F.col("_range_n")) | holds(upper, F.col("_before"), F.col("_range_n"))
-    ).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_range").alias("_middle"), "_before", "_total", *sums)
-    candidates = ranges.drop(*sums).join(
+def _split_groups(counts, keys, value, n, sums, keep, tasks) -> DataFrame:
+    # Ranges of equal size over (group, value): a large group covers several, in value order.
+    ranges = keep(counts.repartitionByRange(tasks, *keys, value).withColumn("_range", F.spark_partition_id()))
+    # One row per group and range, so few that a group fits one task whatever its size.
+    group = Window.partitionBy(*keys)
+    so_far = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = (
+        ranges.groupBy(*keys, "_range")
+        .agg(F.sum(n).alias("_n"), *[F.sum(s).alias(s) for s in sums])
+        .withColumns({
+            "_end": F.sum("_n").over(so_far),
+            "_total": F.sum("_n").over(group),
+            **{s: F.sum(s).over(group) for s in sums},
+        })
+    )
+    # The one or two ranges with the middle rows, and how many rows lie before them.
+    middle = placed.where(_holds(_lower("_total"), "_end", "_n") | _holds(_upper("_total"), "_end", "_n")).select(
+        *[F.col(k).alias(f"_{k}") for k in keys],
+        F.col("_range").alias("_middle"),
+        (F.col("_end") - F.col("_n")).alias("_before"),
+        "_total",
+        *sums,
+    )
+    in_middle = ranges.drop(*sums).join(
         middle,
         [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_range") == F.col("_middle")],
     )
-    within = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_before") + F.coalesce(F.sum(n).over(within), F.lit(0))
+    within = Window.partitionBy(*keys, "_range").orderBy(value)
+    so_far = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        candidates.withColumn("_start", start)
+        in_middle.withColumn("_rank_end", F.col("_before") + F.sum(n).over(so_far))
         .groupBy(*keys)
         .agg(
+            _median(value, "_rank_end", n, "_total").alias("median"),
             F.first("_total").alias(n),
             *[F.first(s).alias(s) for s in sums],
-            ((
-                F.max(F.when(holds(lower, F.col("_start"), F.col(n)), F.col(value)))
-                + F.max(F.when(holds(upper, F.col("_start"), F.col(n)), F.col(value)))
-            ) / 2).alias("median"),
         )
+        .select(*keys, n, *sums, "median")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions.event_time import minute_label
 from tidegauge.functions.numeric import exact_part, float_part, mean_of_parts, round2
-from tidegauge.operators.median import LARGE_GROUP, weighted_median
+from tidegauge.operators.median import weighted_median
 from tidegauge.schemas import AGGREGATE_SCHEMA, MAX_OUT_OF_ORDER, WINDOW_SIZE
 from tidegauge.session import written
 
@@ -54,14 +54,15 @@ def value_counts(events: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
 def stats_from_counts(
     counts: DataFrame,
     keep: Callable[[DataFrame], DataFrame] = written,
-    large_group: int = LARGE_GROUP,
+    **limits: int,
 ) -> DataFrame:
     """Mean temperature and exact median humidity per group, not rounded.
 
-    ``counts`` is read more than once, so it must be a table or persisted.
+    ``counts`` is read more than once, so it must be a table or persisted. ``limits`` are those of
+    :func:`~tidegauge.operators.median.weighted_median`.
     """
     result = weighted_median(
-        counts, GROUP, "humidity", "n", sums=("exact_sum", "float_sum"), keep=keep, large_group=large_group
+        counts, GROUP, "humidity", "n", sums=("exact_sum", "float_sum"), keep=keep, **limits
     )
     return result.select(
         *GROUP,
@@ -71,9 +72,9 @@ def stats_from_counts(
     )
 
 
-def window_stats(events: DataFrame, size: str = WINDOW_SIZE, large_group: int = LARGE_GROUP) -> DataFrame:
+def window_stats(events: DataFrame, size: str = WINDOW_SIZE, **limits: int) -> DataFrame:
     """Batch statistics of enriched events, not rounded. Runs the job that writes the counts."""
-    return stats_from_counts(written(value_counts(events, size)), large_group=large_group)
+    return stats_from_counts(written(value_counts(events, size)), **limits)
 
 
 def aggregate_rows(stats: DataFrame) -> DataFrame:

@@ -189,9 +189,10 @@ def tumbling_median(spark, folder):
 
 
 def median_large_groups(spark, folder):
-    """Daily windows with the limit set so low that most groups are split by value range."""
-    stats = window_stats(_enriched(spark, folder), "1 day", large_group=8)
-    return _window_in_millis(stats).drop("avg_temperature")
+    """Median reading of 30-day windows, with limits so low that every group is split by value range."""
+    readings = _enriched(spark, folder).withColumn("humidity", F.col("temperature"))
+    stats = window_stats(readings, "30 days", large_group=50, range_rows=2000)
+    return _window_in_millis(stats).select("window_start", "window_end", "device_type", "events", "median_humidity")
 
 
 def window_labels(spark, folder):

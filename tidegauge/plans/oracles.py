@@ -135,10 +135,11 @@ FROM x GROUP BY date_trunc('minute', ts), device_type""",
 SELECT {_millis("date_trunc('hour', ts)", "hour")}, device_type, count(*) AS events,
        median(humidity) AS median_humidity
 FROM x GROUP BY date_trunc('hour', ts), device_type""",
-    "median_large_groups": f"""WITH {EVENTS}
-SELECT {_millis("CAST(date_trunc('day', ts) AS TIMESTAMP)", "day")}, device_type, count(*) AS events,
-       median(humidity) AS median_humidity
-FROM x GROUP BY date_trunc('day', ts), device_type""",
+    "median_large_groups": f"""WITH {EVENTS},
+w AS (SELECT *, epoch_ms(ms) // 2592000000 * 2592000000 AS window_start FROM x)
+SELECT window_start, window_start + 2592000000 AS window_end, device_type, count(*) AS events,
+       median(temperature) AS median_humidity
+FROM w GROUP BY window_start, device_type""",
     "window_labels": f"""WITH {EVENTS}
 SELECT epoch_ms(date_trunc('minute', ts)) AS window_start_ms,
        strftime(date_trunc('minute', ts), '%H:%M') AS window_start,
