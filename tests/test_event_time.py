@@ -1,0 +1,85 @@
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from tidegauge.functions.event_time import format_event_time, minute_label, parse_event_times
+
+EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+REJECTED = [
+    "yesterday", "", "2026", "2026-06", "2026-6-2", "20260602", "2026-06-02T", "2026-06-02T1", "2026-06-02T16:5",
+    "2026-06-02T16:54:10.1", "2026-06-02T16:54:10.12345", "2026-06-02T16:54:10.1234567", "2026-06-02T16:54.123",
+    "2026-06-02T24:00", "2026-06-02T16:60", "2026-06-02T16:54:60", "2026-02-30", "2026-13-01", "0000-01-01",
+    "2026-06-02T16:54+3", "2026-06-02T16:54+0300", "2026-06-02T16:54+03", "2026-06-02T16:54+24:00",
+    "2026-06-02T16:54:10 +00:00", " 2026-06-02T16:54", "2026-06-02T16:54 ", "2026-06-02\n", "2026-06-02T16:54\n",
+    "2026-06-02TZ", "2026-06-02T16:54ZZ", "2026-06-02T16:54z", "2026-W23-2", "1780419250",
+    "٢٠٢٦-06-02",
+]
+
+
+def parse(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "i INT, text STRING")
+    rows = parse_event_times(frame, "text").select("i", F.unix_millis("event_time").alias("ms")).collect()
+    return [r["ms"] for r in sorted(rows)]
+
+
+def expected_millis(text):
+    at = dt.datetime.fromisoformat(text.replace("Z", "+00:00"))
+    if at.tzinfo is None:
+        at = at.replace(tzinfo=dt.timezone.utc)
+    micros = (at - EPOCH) // dt.timedelta(microseconds=1)
+    return int(micros / 1000) if abs(micros) < 2**53 else micros // 1000
+
+
+def test_accepted_forms_agree_with_the_standard_library(spark):
+    draw = random.Random(5)
+    texts = []
+    for _ in range(2000):
+        at = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=draw.randrange(-10**15, 3 * 10**15))
+        clock = draw.choice(["", "%H", "%H:%M", "%H:%M:%S", "%H:%M:%S.%f", "ms"])
+        if clock == "ms":
+            text = at.isoformat(sep=draw.choice("T _é"), timespec="milliseconds")
+        else:
+            text = at.strftime("%Y-%m-%d" + (draw.choice("T x+-€") + clock if clock else ""))
+        if clock:
+            minutes = draw.randrange(24 * 60)
+            text += draw.choice(["", "Z", "+00:00", "-00:00", f"{draw.choice('+-')}{minutes // 60:02}:{minutes % 60:02}",
+                                 "+03:30:15", "-03:30:15.000250"])
+        texts.append(text)
+    assert parse(spark, texts) == [expected_millis(t) for t in texts]
+
+
+def test_rejected_forms(spark):
+    assert parse(spark, REJECTED) == [None] * len(REJECTED)
+
+
+def test_known_instants(spark):
+    base = 1780419250123
+    assert parse(spark, ["2026-06-02T16:54:10.123456+00:00", "2026-06-02T16:54:10.123Z", "2026-06-02T19:54:10.123+03:00",
+                         "2026-06-03T16:24:10.123+23:30", "2026-06-02 16:54:10.123", "2026-06-02"]) == [
+        base, base, base, base, base, 1780358400000]
+
+
+def test_zulu_after_a_date_reads_as_separator_and_clock(spark):
+    # The Z is replaced first, and any character may separate date and time.
+    assert parse(spark, ["2026-06-02Z"]) == [expected_millis("2026-06-02Z")] == [1780358400000]
+
+
+def test_cut_is_towards_the_epoch(spark):
+    assert parse(spark, ["1969-12-31T23:59:59.999500Z", "1969-12-31T23:59:59.998500Z"]) == [0, -1]
+
+
+def test_no_offset_is_utc_in_any_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert parse(spark, ["2026-06-02T16:54:10.123"]) == [1780419250123]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_format_leaves_out_a_zero_fraction(spark):
+    frame = spark.sql("SELECT timestamp'2026-06-02 16:54:10' a, timestamp'2026-06-02 16:54:10.5' b, "
+                      "timestamp'2026-06-02 23:59:59' c")
+    row = frame.select(format_event_time(F.col("a")), format_event_time(F.col("b")), minute_label(F.col("c"))).first()
+    assert tuple(row) == ("2026-06-02T16:54:10+00:00", "2026-06-02T16:54:10.500000+00:00", "23:59")

@@ -1,0 +1,52 @@
+import math
+import random
+
+from pyspark.sql import functions as F
+
+from tidegauge.functions.numeric import exact_part, float_part, mean_of_parts, round2
+
+
+def rounded(spark, values):
+    frame = spark.createDataFrame([(v,) for v in values], "x DOUBLE")
+    return frame.select("x", round2(F.col("x")).alias("r")).collect()
+
+
+def test_round2_is_the_exact_binary_rounding(spark):
+    draw = random.Random(3)
+    values = [n / 200 for n in range(-6000, 6000)]
+    values += [math.nextafter(n / 200, draw.choice([-math.inf, math.inf])) for n in range(-3000, 3000)]
+    values += [(round(draw.uniform(-50, 150), 2) + round(draw.uniform(0, 150), 2)) / 2 for _ in range(5000)]
+    values += [draw.choice([-1, 1]) * math.exp(draw.uniform(-40, 60)) for _ in range(5000)]
+    values += [2.0**e + draw.random() for e in range(11, 53) for _ in range(50)]
+    values += [0.515, 2.675, 1e300, 5e-324, math.inf, -math.inf]
+    assert all(r["r"] == round(r["x"], 2) for r in rounded(spark, values))
+
+
+def test_round2_special_values(spark):
+    results = {str(r["x"]): r["r"] for r in rounded(spark, [math.nan, None, -0.001])}
+    assert math.isnan(results["nan"])
+    assert results["None"] is None
+    assert math.copysign(1, results["-0.001"]) == -1
+
+
+def mean(spark, values, partitions=4):
+    frame = spark.createDataFrame([(v,) for v in values], "x DOUBLE").repartition(partitions)
+    return frame.agg(
+        F.sum(exact_part(F.col("x"))).alias("e"), F.sum(float_part(F.col("x"))).alias("f"), F.count("*").alias("n")
+    ).select(mean_of_parts(F.col("e"), F.col("f"), F.col("n"))).first()[0]
+
+
+def test_mean_does_not_depend_on_order_or_partitioning(spark):
+    draw = random.Random(9)
+    values = [round(draw.uniform(-50, 150), 2) for _ in range(997)]
+    expected = math.fsum(values) / len(values)
+    for partitions in (1, 3, 7):
+        draw.shuffle(values)
+        assert mean(spark, values, partitions) == expected
+
+
+def test_mean_of_special_values(spark):
+    assert math.isnan(mean(spark, [1.0, math.nan]))
+    assert mean(spark, [1.0, math.inf]) == math.inf
+    assert math.isnan(mean(spark, [math.inf, -math.inf]))
+    assert mean(spark, [1e300, 1e300, 3.0]) == (1e300 + 1e300) / 3

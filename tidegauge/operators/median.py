@@ -34,6 +34,8 @@ def weighted_median(
     several times. A group of up to ``large_group`` values is sorted in one task. Larger groups,
     found by counting first, are split over tasks by value range; nothing is left out.
     """
+    if counts.count() <= large_group:
+        return _sorted_groups(counts, keys, value, n, sums)
     sizes = counts.groupBy(*keys).agg(F.count("*").alias("values")).where(F.col("values") > large_group)
     found = sizes.agg(F.count("*").alias("groups"), F.sum("values").alias("rows")).first()
     if not found["groups"]:

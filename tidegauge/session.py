@@ -17,19 +17,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder every executor can reach, under ``spark.checkpoint.dir``.
-
-    Only a local session without that setting falls back to a temporary folder: on a cluster a
-    machine-local path would be lost with the machine.
-    """
+def _application_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tidegauge-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/tidegauge-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/tidegauge-{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder every executor can reach, under ``spark.checkpoint.dir``.
+
+    Only a local session without that setting falls back to a temporary folder: on a cluster a
+    machine-local path would be lost with the machine.
+    """
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -42,3 +46,9 @@ def written(df: DataFrame) -> DataFrame:
     path = shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_written(spark: SparkSession) -> None:
+    """Delete the shared folders of this application, once its results have been written out."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,12 +8,17 @@ from pyspark.sql import functions as F
 from tidegauge.schemas import INPUT_TOPIC
 
 
-def kafka_options(servers: str, topic: str, group_id: str | None = None, starting: str = "earliest") -> dict[str, str]:
-    """Options of a topic read. Progress lives in the checkpoint, so the group id is optional."""
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting}
+def kafka_options(
+    servers: str, topic: str, group_id: str | None = None, starting: str = "earliest", **options: str
+) -> dict[str, str]:
+    """Options of a topic read; others such as ``maxOffsetsPerTrigger`` are passed on.
+
+    Progress lives in the checkpoint, so the group id is optional.
+    """
+    chosen = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, **options}
     if group_id:
-        options["kafka.group.id"] = group_id
-    return options
+        chosen["kafka.group.id"] = group_id
+    return chosen
 
 
 def decode_value(records: DataFrame) -> DataFrame:
@@ -23,14 +28,12 @@ def decode_value(records: DataFrame) -> DataFrame:
 
 def stream_kafka(spark: SparkSession, servers: str, topic: str = INPUT_TOPIC, **options: str) -> DataFrame:
     """Unbounded text messages of a topic (needs the Kafka connector package)."""
-    reader = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options))
-    return decode_value(reader.load())
+    return decode_value(spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load())
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str = INPUT_TOPIC, **options: str) -> DataFrame:
     """The messages a topic holds now (needs the Kafka connector package)."""
-    reader = spark.read.format("kafka").options(**kafka_options(servers, topic, **options))
-    return decode_value(reader.load())
+    return decode_value(spark.read.format("kafka").options(**kafka_options(servers, topic, **options)).load())
 
 
 def stream_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:

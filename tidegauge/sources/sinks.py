@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.operators.publish import aggregate_messages, read_aggregate_messages, round_robin
-from tidegauge.schemas import OUTPUT_TOPIC
+from tidegauge.operators.publish import aggregate_messages, event_messages, read_aggregate_messages, round_robin
+from tidegauge.schemas import INPUT_TOPIC, OUTPUT_TOPIC
 from tidegauge.sources.messages import read_kafka
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -44,6 +45,26 @@ def kafka_writer(servers: str, topic: str = OUTPUT_TOPIC, partitions: int | None
     return write
 
 
+def publish_kafka(events: DataFrame, servers: str, topic: str = INPUT_TOPIC) -> None:
+    """Write typed events to a topic, keyed by device."""
+    writer = event_messages(events).write.format("kafka")
+    writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+
+def publish_kafka_stream(
+    events: DataFrame, servers: str, checkpoint: str, topic: str = INPUT_TOPIC, **trigger
+) -> StreamingQuery:
+    """Write a stream of typed events to a topic, keyed by device."""
+    writer = (
+        event_messages(events)
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def read_aggregates(spark: SparkSession, path: str) -> DataFrame:
     """The aggregate rows under a folder of :func:`files_writer`."""
     return read_aggregate_messages(spark.read.schema("value STRING").text(path))

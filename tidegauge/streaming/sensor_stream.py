@@ -43,7 +43,8 @@ def finish_batch(write: BatchWriter):
 
         try:
             counts = keep(counts)
-            if not counts.isEmpty():
+            # Counting, unlike a look for one row, runs all partitions of the batch at once.
+            if counts.count():
                 write(aggregate_rows(stats_from_counts(counts, keep=keep)), batch_id)
         finally:
             for df in held:
