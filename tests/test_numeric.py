@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidegauge.functions.numeric import exact_part, float_part, mean_of_parts, round2
+from tidegauge.functions.numeric import exact_sum, float_sum, mean_of_sums, round2
 
 
 def rounded(spark, values):
@@ -31,20 +31,37 @@ def test_round2_special_values(spark):
 
 def mean(spark, values, partitions=4):
     frame = spark.createDataFrame([(v,) for v in values], "x DOUBLE").repartition(partitions)
-    return frame.agg(
-        F.sum(exact_part(F.col("x"))).alias("e"), F.sum(float_part(F.col("x"))).alias("f"), F.count("*").alias("n")
-    ).select(mean_of_parts(F.col("e"), F.col("f"), F.col("n"))).first()[0]
+    x = F.col("x")
+    sums = frame.agg(exact_sum(x).alias("e"), float_sum(x).alias("f"), F.count("*").alias("n"))
+    return sums.select(mean_of_sums(F.col("e"), F.col("f"), F.col("n"))).first()[0]
 
 
 def test_mean_does_not_depend_on_order_or_partitioning(spark):
     draw = random.Random(9)
     values = [round(draw.uniform(-50, 150), 2) for _ in range(997)]
+    values += [draw.uniform(-1e6, 1e6) for _ in range(50)] + [2.0**-10, -(2.0**-10), 0.001, 1048575.9999999999]
     expected = math.fsum(values) / len(values)
     for partitions in (1, 3, 7):
         draw.shuffle(values)
         assert mean(spark, values, partitions) == expected
 
 
+def test_mean_of_two_equals_plain_addition(spark):
+    draw = random.Random(4)
+    pairs = [(round(draw.uniform(-50, 150), 2), round(draw.uniform(0, 150), 2)) for _ in range(4000)]
+    frame = spark.createDataFrame([(i, x) for i, pair in enumerate(pairs) for x in pair], "i INT, x DOUBLE")
+    x = F.col("x")
+    sums = frame.groupBy("i").agg(exact_sum(x).alias("e"), float_sum(x).alias("f"), F.count("*").alias("n"))
+    means = sums.select("i", mean_of_sums(F.col("e"), F.col("f"), F.col("n")).alias("m")).collect()
+    assert all(r["m"] == sum(pairs[r["i"]]) / 2 for r in means)
+
+
+def test_long_sums_do_not_overflow(spark):
+    rows = spark.range(200_000).select(F.lit(-1048575.75).alias("x"))
+    sums = rows.agg(exact_sum(F.col("x")).alias("e")).first()["e"]
+    assert sums == -200_000 * 4194303 * 2**61
+
+
 def test_mean_of_special_values(spark):
     assert math.isnan(mean(spark, [1.0, math.nan]))
     assert mean(spark, [1.0, math.inf]) == math.inf

@@ -3,9 +3,10 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Below this size a reading is summed as a decimal: 18 fraction digits hold the shortest decimal
-# form of such a double, and decimal(34,18) holds 10^10 times that before the sum widens again.
-EXACT_BELOW = 1e6
+# Readings below this size are summed as integers, cut into a whole part and three limbs of 21 bits.
+# No limb sum can overflow before 2^42 rows, and 63 fraction bits hold every double from 2^-10 up.
+EXACT_BELOW = 2.0**20
+LIMB = 2**21
 
 
 def round2(x: Column) -> Column:
@@ -23,15 +24,30 @@ def _is_exact(x: Column) -> Column:
     return F.abs(x) < EXACT_BELOW
 
 
-def exact_part(x: Column) -> Column:
-    """Summand for ordinary readings. Decimal addition is associative, so order cannot matter."""
-    return F.when(_is_exact(x), x.try_cast("decimal(24,18)")).otherwise(F.lit(0).cast("decimal(24,18)"))
+def _limbs(x: Column) -> list[Column]:
+    """Integers with x = l0 + l1 / LIMB + l2 / LIMB^2 + l3 / LIMB^3; scaling by 2^n is exact."""
+    cut = [(x * float(LIMB**i)).try_cast("bigint") for i in range(3)]
+    rest = (x * float(LIMB**2) - cut[2].cast("double")) * float(LIMB)
+    return [cut[0], cut[1] - cut[0] * LIMB, cut[2] - cut[1] * LIMB, rest.try_cast("bigint")]
 
 
-def float_part(x: Column) -> Column:
-    """Summand for NaN, infinite and very large readings, zero for all others."""
-    return F.when(_is_exact(x), 0.0).otherwise(x)
+def exact_sum(x: Column) -> Column:
+    """Sum of all ordinary readings, as an integer count of 2^-63.
+
+    Integer addition is associative, so neither the order of rows nor the partitioning matters.
+    """
+    total = F.lit(0).cast("decimal(38,0)")
+    for i, limb in enumerate(_limbs(x)):
+        scale = F.lit(str(LIMB ** (3 - i))).cast("decimal(19,0)")
+        total += F.sum(F.when(_is_exact(x), limb).otherwise(0)).cast("decimal(19,0)") * scale
+    return total.cast("decimal(38,0)")
+
+
+def float_sum(x: Column) -> Column:
+    """Sum of the NaN, infinite and very large readings, zero when there are none."""
+    return F.sum(F.when(_is_exact(x), 0.0).otherwise(x))
 
 
-def mean_of_parts(exact_sum: Column, float_sum: Column, n: Column) -> Column:
-    return (exact_sum.cast("double") + float_sum) / n
+def mean_of_sums(exact: Column, floating: Column, n: Column) -> Column:
+    """Mean from added-up :func:`exact_sum` and :func:`float_sum`; the sum is rounded once."""
+    return (exact.cast("double") * 2.0**-63 + floating) / n

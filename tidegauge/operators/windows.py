@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.event_time import minute_label
-from tidegauge.functions.numeric import exact_part, float_part, mean_of_parts, round2
+from tidegauge.functions.numeric import exact_sum, float_sum, mean_of_sums, round2
 from tidegauge.operators.median import weighted_median
 from tidegauge.schemas import AGGREGATE_SCHEMA, MAX_OUT_OF_ORDER, WINDOW_SIZE
 from tidegauge.session import written
@@ -45,8 +45,8 @@ def value_counts(events: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
         events,
         size,
         F.count("*").alias("n"),
-        F.sum(exact_part(F.col("temperature"))).alias("exact_sum"),
-        F.sum(float_part(F.col("temperature"))).alias("float_sum"),
+        exact_sum(F.col("temperature")).alias("exact_sum"),
+        float_sum(F.col("temperature")).alias("float_sum"),
         keys=("device_type", "humidity"),
     )
 
@@ -67,7 +67,7 @@ def stats_from_counts(
     return result.select(
         *GROUP,
         F.col("n").alias("events"),
-        mean_of_parts(F.col("exact_sum"), F.col("float_sum"), F.col("n")).alias("avg_temperature"),
+        mean_of_sums(F.col("exact_sum"), F.col("float_sum"), F.col("n")).alias("avg_temperature"),
         F.col("median").alias("median_humidity"),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.event_time import event_time_millis, minute_label, parse_event_times
-from tidegauge.functions.numeric import exact_part, float_part, mean_of_parts, round2
+from tidegauge.functions.numeric import exact_sum, float_sum, mean_of_sums, round2
 from tidegauge.operators.enrich import enrich
 from tidegauge.operators.parse import accepted, parse_events, quarantined
 from tidegauge.operators.publish import event_json, event_messages, round_robin
@@ -173,11 +173,11 @@ def tumbling_avg(spark, folder):
     parts = tumbling(
         _enriched(spark, folder),
         "1 minute",
-        F.sum(exact_part(F.col("temperature"))).alias("exact_sum"),
-        F.sum(float_part(F.col("temperature"))).alias("float_sum"),
+        exact_sum(F.col("temperature")).alias("exact_sum"),
+        float_sum(F.col("temperature")).alias("float_sum"),
         F.count("*").alias("events"),
     )
-    mean = mean_of_parts(F.col("exact_sum"), F.col("float_sum"), F.col("events"))
+    mean = mean_of_sums(F.col("exact_sum"), F.col("float_sum"), F.col("events"))
     return _window_in_millis(parts).select(
         "window_start", "window_end", "device_type", "events", mean.alias("avg_temperature")
     )

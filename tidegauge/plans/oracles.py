@@ -15,8 +15,9 @@ MESSAGE = """concat('{"device_id":"', device_id, '","device_type_id":', device_t
   strftime(ts, '%Y-%m-%dT%H:%M:%S'), CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END,
   '+00:00","temperature":', CAST(temperature AS VARCHAR), ',"humidity":', CAST(humidity AS VARCHAR), '}')"""
 
-# Readings have two decimals; summed as decimals the mean does not depend on the order.
-MEAN = "(CAST(sum(CAST(temperature AS DECIMAL(18,2))) AS DOUBLE) / count(*))"
+# The readings added up as integer counts of 2^-60, so the sum is rounded once, not at each addition.
+MEAN = """(CAST(CAST(sum(CAST(temperature * 1152921504606846976.0 AS HUGEINT)) AS VARCHAR) AS DOUBLE)
+  / 1152921504606846976.0 / count(*))"""
 
 DAMAGED = f"""
 m AS (SELECT event_id, {MESSAGE} AS value FROM e),
