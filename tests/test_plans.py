@@ -54,3 +54,11 @@ def test_only_needed_columns_are_read(spark):
     events = event_table.to_events(event_table.read_events(spark, FOLDER)).select("event_time", "temperature")
     plan = events._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in plan
+
+
+def test_the_parse_is_compiled_by_the_jvm(spark):
+    """No generated method reaches the 8000 bytes above which the JVM only interprets it."""
+    generator = getattr(spark._jvm.org.apache.spark.sql.catalyst.expressions.codegen, "CodeGenerator$")
+    stage = parse_events(spark.range(1).selectExpr("string(id) AS value"))._jdf.queryExecution().executedPlan()
+    compiled = getattr(generator, "MODULE$").compile(stage.doCodeGen()._2())
+    assert compiled._2().maxMethodCodeSize() < 8000

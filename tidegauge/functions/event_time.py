@@ -21,18 +21,21 @@ def _number(text: Column, start: int, length: int) -> Column:
 def parse_event_times(df: DataFrame, text: str, into: str = "event_time") -> DataFrame:
     """Add ``into``: the ISO-8601 text as a timestamp cut to milliseconds, null when not accepted.
 
-    The offset is subtracted by hand because Spark's own cast stops at 18 hours, while offsets up
-    to a day are valid. Text without an offset is UTC. Steps are columns of their own so that each
-    is evaluated once.
+    Spark's cast reads the usual form, which ends in an offset. What it cannot read (offsets from 18
+    hours up to a day, other separators), or would read in the session zone (no offset, which means
+    UTC here), is taken apart. Steps are columns of their own so that each is evaluated once.
     """
-    iso = F.replace(F.col(text), F.lit("Z"), F.lit("+00:00"))
-    offset, clock, shift = F.col("_offset"), F.col("_clock"), F.col("_shift")
+    iso, offset, clock, shift = F.col("_iso"), F.col("_offset"), F.col("_clock"), F.col("_shift")
+    # No accepted text of 19 or more characters has a sign here unless it starts the offset.
+    ends_in_offset = (F.length(iso) >= 19) & F.substring(iso, -6, 1).isin("+", "-")
     steps = (
-        df.withColumn("_iso", iso)
-        .withColumn("_iso", F.when(F.col("_iso").rlike(ISO_TIMESTAMP), F.col("_iso")))
-        .withColumn("_offset", F.regexp_extract("_iso", "(?s)^.{11,}?([+-].*)", 1))
+        df.withColumn("_iso", F.replace(F.col(text), F.lit("Z"), F.lit("+00:00")))
+        .withColumn("_iso", F.when(iso.rlike(ISO_TIMESTAMP), iso))
+        .withColumn("_micros", F.unix_micros(F.when(ends_in_offset, iso.try_cast("timestamp"))))
+        .withColumn("_iso", F.when(F.col("_micros").isNull(), iso))
+        .withColumn("_offset", F.regexp_extract(iso, "(?s)^.{11,}?([+-].*)", 1))
         .withColumns({
-            "_clock": F.substr("_iso", F.lit(12), F.length("_iso") - F.length(offset) - 11),
+            "_clock": F.substr(iso, F.lit(12), F.length(iso) - F.length(offset) - 11),
             "_shift": (_number(offset, 2, 2) * 3600 + _number(offset, 5, 2) * 60 + _number(offset, 8, 2))
             * 1_000_000
             + _number(offset, 11, 6),
@@ -43,12 +46,12 @@ def parse_event_times(df: DataFrame, text: str, into: str = "event_time") -> Dat
         F.when(clock == "", "00").otherwise(clock),
         F.when(F.length(clock) <= 2, ":00:00").when(F.length(clock) == 5, ":00").otherwise(""),
     )
-    local = F.concat(F.substring("_iso", 1, 10), F.lit("T"), full_clock, F.lit("Z")).try_cast("timestamp")
-    micros = F.unix_micros(local) - F.when(F.startswith(offset, F.lit("-")), -shift).otherwise(shift)
+    local = F.concat(F.substring(iso, 1, 10), F.lit("T"), full_clock, F.lit("Z")).try_cast("timestamp")
+    shifted = F.unix_micros(local) - F.when(F.startswith(offset, F.lit("-")), -shift).otherwise(shift)
+    micros = F.coalesce("_micros", F.when(shift < DAY_IN_MICROS, shifted))
+    # Integer division cuts towards the epoch.
     millis = F.call_function("div", micros, F.lit(1000))
-    return steps.withColumn(into, F.when(shift < DAY_IN_MICROS, F.timestamp_millis(millis))).drop(
-        "_iso", "_offset", "_clock", "_shift"
-    )
+    return steps.withColumn(into, F.timestamp_millis(millis)).drop("_iso", "_micros", "_offset", "_clock", "_shift")
 
 
 def format_event_time(at: Column) -> Column:

@@ -8,41 +8,59 @@ from tidegauge.functions.json_fields import Field, is_object, is_single_value, p
 from tidegauge.schemas import EVENT_SCHEMA
 
 DOCUMENT = "_document"
-# The order in which rules are applied, which decides the reported reason.
-CHECK_ORDER = ("event_time", "device_id", "device_type_id", "temperature", "humidity")
-
-
-def _reject_reason() -> Column:
-    fields = {name: Field(DOCUMENT, name) for name in CHECK_ORDER}
-    reason = F.when(F.col(DOCUMENT).isNull() | ~is_single_value(DOCUMENT), "malformed_json")
-    reason = reason.when(fields["event_time"].is_missing() & ~is_object(DOCUMENT), "not_an_object")
-    for name, field in fields.items():
-        reason = reason.when(field.is_missing(), f"missing_{name}")
-        if name != "device_id":  # any value will do
-            reason = reason.when(F.col(name).isNull(), f"bad_{name}")
+
+
+def _bound(df: DataFrame, *columns: str) -> DataFrame:
+    """The named columns, unchanged, as the output of a generator.
+
+    Predicate pushdown stops at a generator: without one, each filter on a result column (also the
+    not-null filter that ``window`` implies) would copy the whole parse below itself. Spark also
+    compiles what follows as a method of its own; in a single method the parse would pass the 8000
+    bytes above which the JVM interprets instead of compiling.
+    """
+    return df.select(F.inline(F.array(F.struct(*columns))))
+
+
+def _shape_reason(time: Field) -> Column:
+    """Why the message has no event time to look at, if so."""
+    return (
+        F.when(F.col(DOCUMENT).isNull() | ~is_single_value(DOCUMENT), "malformed_json")
+        .when(time.is_missing() & ~is_object(DOCUMENT), "not_an_object")
+        .when(time.is_missing(), "missing_event_time")
+    )
+
+
+def _field_reason(fields: dict[str, Field]) -> Column:
+    """The first of the other fields that is missing or not of its type, if any."""
+    reason = F.when(fields["device_id"].is_missing(), "missing_device_id")  # any value will do
+    for name in ("device_type_id", "temperature", "humidity"):
+        reason = reason.when(fields[name].is_missing(), f"missing_{name}").when(F.col(name).isNull(), f"bad_{name}")
     return reason
 
 
 def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add the five event columns and ``reject_reason`` (null for an accepted message).
 
-    Every message yields exactly one row. Generators are where predicate pushdown stops: without
-    the one-element ``explode`` and ``inline``, each filter on a result column (also the not-null
-    filter that ``window`` implies) would copy the whole parse below itself.
+    Every message yields exactly one row. The reason is the first rule that fails: the shape of the
+    message, its time, then the other fields.
     """
     parsed = messages.select("*", F.explode(F.array(parse_document(F.col(value)))).alias(DOCUMENT))
     for name in EVENT_SCHEMA.names:
         parsed = with_kind(parsed, DOCUMENT, name)
-    parsed = parsed.withColumns({
-        "device_id": Field(DOCUMENT, "device_id").any_text(),
-        "device_type_id": Field(DOCUMENT, "device_type_id").integer(),
-        "_event_time": Field(DOCUMENT, "event_time").json_string(),
-        "temperature": Field(DOCUMENT, "temperature").double(),
-        "humidity": Field(DOCUMENT, "humidity").double(),
-    })
-    checked = parse_event_times(parsed, "_event_time").withColumn("reject_reason", _reject_reason())
-    result = F.struct(*EVENT_SCHEMA.names, "reject_reason")
-    return checked.select(*messages.columns, F.inline(F.array(result)))
+    fields = {name: Field(DOCUMENT, name) for name in EVENT_SCHEMA.names}
+    typed = parsed.withColumns({
+        "device_id": fields["device_id"].any_text(),
+        "device_type_id": fields["device_type_id"].integer(),
+        "temperature": fields["temperature"].double(),
+        "humidity": fields["humidity"].double(),
+        "_time": fields["event_time"].json_string(),
+        "_shape": _shape_reason(fields["event_time"]),
+    }).withColumn("_fields", _field_reason(fields))
+    values = [name for name in EVENT_SCHEMA.names if name != "event_time"]
+    timed = parse_event_times(_bound(typed, *messages.columns, *values, "_time", "_shape", "_fields"), "_time")
+    bad_time = F.when(F.col("event_time").isNull(), "bad_event_time")
+    checked = timed.withColumn("reject_reason", F.coalesce("_shape", bad_time, "_fields"))
+    return _bound(checked, *messages.columns, *EVENT_SCHEMA.names, "reject_reason")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
