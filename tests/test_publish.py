@@ -1,6 +1,8 @@
 import json
 
+import pytest
 from conftest import message, messages_frame
+from pyspark.errors import AnalysisException
 
 from tidegauge.operators.parse import accepted, parse_events
 from tidegauge.operators.publish import aggregate_messages, event_messages, read_aggregate_messages, round_robin
@@ -73,3 +75,19 @@ def test_topic_options():
     assert options["kafka.group.id"] == "g"
     assert options["startingOffsets"] == "latest"
     assert options["maxOffsetsPerTrigger"] == "10"
+
+
+def test_topics_need_only_the_connector(spark, tmp_path):
+    """No connector is installed here: every topic reader and writer gets as far as looking for it."""
+    events = accepted(parse_events(messages_frame(spark, [message()])))
+    attempts = [
+        lambda: messages.read_kafka(spark, "host:1"),
+        lambda: messages.stream_kafka(spark, "host:1", maxOffsetsPerTrigger="5"),
+        lambda: sinks.read_aggregates_kafka(spark, "host:1"),
+        lambda: sinks.publish_kafka(events, "host:1"),
+        lambda: sinks.kafka_writer("host:1")(rows_frame(spark, 1), 0),
+        lambda: sinks.kafka_writer("host:1", partitions=3)(rows_frame(spark, 1), 0),
+    ]
+    for attempt in attempts:
+        with pytest.raises(AnalysisException, match="(?i)kafka"):
+            attempt()
