@@ -62,3 +62,11 @@ def test_the_parse_is_compiled_by_the_jvm(spark):
     stage = parse_events(spark.range(1).selectExpr("string(id) AS value"))._jdf.queryExecution().executedPlan()
     compiled = getattr(generator, "MODULE$").compile(stage.doCodeGen()._2())
     assert compiled._2().maxMethodCodeSize() < 8000
+
+
+def test_large_groups_only_shuffle_their_middle_range(spark):
+    counts = written(spark.sql("SELECT id % 2 AS g, CAST(id AS DOUBLE) AS v, 1L AS n FROM range(100)"))
+    result = weighted_median(counts, ["g"], "v", "n", large_group=10, range_rows=10)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") == 3  # not large, large, and the middle ranges

@@ -40,15 +40,14 @@ def weighted_median(
     found = sizes.agg(F.count("*").alias("groups"), F.sum("values").alias("rows")).first()
     if not found["groups"]:
         return _sorted_groups(counts, keys, value, n, sums)
-    large = keep(sizes.select(*[F.col(k).alias(f"_{k}") for k in keys]))
-    if found["groups"] <= BROADCAST_GROUPS:
-        large = F.broadcast(large)
+    small_enough = F.broadcast if found["groups"] <= BROADCAST_GROUPS else lambda df: df
+    large = small_enough(keep(sizes.select(*[F.col(k).alias(f"_{k}") for k in keys])))
     same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     small = counts.join(large, same_group, "left_anti")
     big = counts.join(large, same_group, "left_semi")
     tasks = math.ceil(found["rows"] / range_rows)
     return _sorted_groups(small, keys, value, n, sums).unionByName(
-        _split_groups(big, keys, value, n, sums, keep, tasks)
+        _split_groups(big, keys, value, n, sums, keep, tasks, small_enough)
     )
 
 
@@ -83,7 +82,7 @@ def _sorted_groups(counts, keys, value, n, sums) -> DataFrame:
     )
 
 
-def _split_groups(counts, keys, value, n, sums, keep, tasks) -> DataFrame:
+def _split_groups(counts, keys, value, n, sums, keep, tasks, small_enough) -> DataFrame:
     # Ranges of equal size over (group, value): a large group covers several, in value order.
     ranges = keep(counts.repartitionByRange(tasks, *keys, value).withColumn("_range", F.spark_partition_id()))
     # One row per group and range, so few that a group fits one task whatever its size.
@@ -107,7 +106,7 @@ def _split_groups(counts, keys, value, n, sums, keep, tasks) -> DataFrame:
         *sums,
     )
     in_middle = ranges.drop(*sums).join(
-        middle,
+        small_enough(middle),  # at most two rows per group
         [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_range") == F.col("_middle")],
     )
     within = Window.partitionBy(*keys, "_range").orderBy(value)
