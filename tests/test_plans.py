@@ -69,4 +69,7 @@ def test_large_groups_only_shuffle_their_middle_range(spark):
     result = weighted_median(counts, ["g"], "v", "n", large_group=10, range_rows=10)
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
-    assert plan.count("BroadcastHashJoin") == 3  # not large, large, and the middle ranges
+    # Leaving out the large groups, and picking their middle ranges before the only shuffle of rows.
+    assert plan.count("BroadcastHashJoin") == 2
+    rows_shuffled = re.search(r"Exchange hashpartitioning\(g#\d+L, _range#\d+, \d+\)", plan)
+    assert rows_shuffled.start() < plan.index("_middle#", rows_shuffled.end())
