@@ -3,6 +3,7 @@ import time
 
 import pytest
 from conftest import message
+from pyspark.errors import StreamingQueryException
 
 from tidegauge.operators.windows import aggregate_rows, stats_from_counts
 from tidegauge.plans.sensor_stats import sensor_stats
@@ -114,6 +115,28 @@ def test_repeated_batch_leaves_one_copy(spark, device_types, tmp_path):
     assert aggregate_rows(stats_from_counts(counts.persist(), large_group=0, range_rows=1)).first() == CLOSED
 
 
+def test_written_rows_are_reported_and_a_failed_write_stops_the_job(spark, device_types, tmp_path, feed):
+    feed.arrive(at("2026-06-01T23:58:10Z"), at("2026-06-01T23:59:10Z"), at("2026-06-01T23:59:10Z", device_type_id="1"),
+                at("2026-06-02T00:00:05Z"))
+    written = []
+
+    def run(write, checkpoint):
+        sensor_stream.start(
+            stream_files(spark, str(feed.messages)), device_types, write, str(tmp_path / checkpoint),
+            on_written=lambda batch_id, rows: written.append(rows), availableNow=True,
+        ).awaitTermination()
+
+    run(files_writer(str(tmp_path / "rows")), "first")
+    assert written == [3]
+
+    def refuse(rows, batch_id):
+        raise OSError("sink is away")
+
+    with pytest.raises(StreamingQueryException, match="sink is away"):
+        run(refuse, "second")
+    assert written == [3]
+
+
 def test_stream_equals_batch_up_to_the_open_windows(spark, device_types, feed):
     feed.start()
     for minute in range(10):

@@ -47,14 +47,14 @@ def is_object(document: str) -> Column:
     return F.startswith(F.schema_of_variant(F.variant_get(document, "$[0]", "variant")), F.lit("OBJECT"))
 
 
-def with_kind(df: DataFrame, document: str, name: str) -> DataFrame:
-    """Add ``_<name>_kind``: the JSON type of a top-level field, null when the key is missing."""
-    value = F.variant_get(document, f"$[0].{name}", "variant")
-    return df.withColumn(f"_{name}_kind", F.schema_of_variant(value))
+def with_kinds(df: DataFrame, document: str, names: list[str]) -> DataFrame:
+    """Add ``_<name>_kind`` for top-level fields: the JSON type, null when the key is missing."""
+    kinds = {f"_{n}_kind": F.schema_of_variant(F.variant_get(document, f"$[0].{n}", "variant")) for n in names}
+    return df.withColumns(kinds)
 
 
 class Field:
-    """A top-level field of a parsed message, with its kind added by :func:`with_kind`."""
+    """A top-level field of a parsed message, with its kind added by :func:`with_kinds`."""
 
     def __init__(self, document: str, name: str):
         self._document = document

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.event_time import parse_event_times
-from tidegauge.functions.json_fields import Field, is_object, is_single_value, parse_document, with_kind
+from tidegauge.functions.json_fields import Field, is_object, is_single_value, parse_document, with_kinds
 from tidegauge.schemas import EVENT_SCHEMA
 
 DOCUMENT = "_document"
@@ -45,8 +45,7 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     message, its time, then the other fields.
     """
     parsed = messages.select("*", F.explode(F.array(parse_document(F.col(value)))).alias(DOCUMENT))
-    for name in EVENT_SCHEMA.names:
-        parsed = with_kind(parsed, DOCUMENT, name)
+    parsed = with_kinds(parsed, DOCUMENT, EVENT_SCHEMA.names)
     fields = {name: Field(DOCUMENT, name) for name in EVENT_SCHEMA.names}
     typed = parsed.withColumns({
         "device_id": fields["device_id"].any_text(),

@@ -1,4 +1,4 @@
-"""What a running job has read, rejected, dropped and written."""
+"""What a running job has read, rejected and dropped (``on_written`` tells what it has written)."""
 
 from __future__ import annotations
 
@@ -14,7 +14,6 @@ def summarize(progress) -> dict:
         "rejected": observed["rejected"] if observed else 0,
         "late_groups_dropped": sum(s.numRowsDroppedByWatermark for s in progress.stateOperators),
         "state_rows": sum(s.numRowsTotal for s in progress.stateOperators),
-        "output_rows": progress.sink.numOutputRows,
         "watermark": progress.eventTime.get("watermark"),
     }
 

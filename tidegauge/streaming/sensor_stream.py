@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,11 +29,12 @@ def closed_window_counts(
     return value_counts(with_watermark(enrich(accepted(parsed), dictionary), delay), size)
 
 
-def finish_batch(write: BatchWriter):
+def finish_batch(write: BatchWriter, on_written: Callable[[int, int], None] | None = None):
     """The batch function that turns closed-window counts into aggregate rows and writes them.
 
     All counts of a window arrive in the one batch that closes it, so each batch is a complete
-    input for the batch operators.
+    input for the batch operators. ``on_written`` is told the batch id and the number of rows once
+    a batch has been written; a failed write fails the query.
     """
 
     def finish(counts: DataFrame, batch_id: int) -> None:
@@ -45,7 +48,13 @@ def finish_batch(write: BatchWriter):
             counts = keep(counts)
             # Counting, unlike a look for one row, runs all partitions of the batch at once.
             if counts.count():
-                write(aggregate_rows(stats_from_counts(counts, keep=keep)), batch_id)
+                rows = aggregate_rows(stats_from_counts(counts, keep=keep))
+                if on_written:
+                    written = Observation()
+                    write(rows.observe(written, F.count("*").alias("rows")), batch_id)
+                    on_written(batch_id, written.get["rows"])
+                else:
+                    write(rows, batch_id)
         finally:
             for df in held:
                 df.unpersist()
@@ -60,6 +69,7 @@ def start(
     checkpoint: str,
     size: str = WINDOW_SIZE,
     delay: str = MAX_OUT_OF_ORDER,
+    on_written: Callable[[int, int], None] | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Start the job. ``trigger`` is passed on, e.g. ``availableNow=True`` for a finite run.
@@ -70,7 +80,7 @@ def start(
         closed_window_counts(messages, dictionary, size, delay)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(finish_batch(write))
+        .foreachBatch(finish_batch(write, on_written))
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
 
