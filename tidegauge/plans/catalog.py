@@ -284,21 +284,22 @@ def restart_no_duplicates(spark, folder):
 
 
 def stream_delivery_report(spark, folder):
-    """Counters of a streaming run over damaged messages."""
+    """Counters of a streaming run over damaged messages: read, rejected, late, and rows written."""
     out = shared_folder(spark)
+    written = []
     query = sensor_stream.start(
         damaged_messages(stream_events(spark, folder)),
         region_dictionary(spark, folder),
         files_writer(f"{out}/rows"),
         f"{out}/checkpoint",
+        on_written=lambda batch_id, rows: written.append(rows),
         availableNow=True,
     )
     query.awaitTermination()
-    report = spark.createDataFrame(
-        [(r["input_rows"], r["rejected"], r["late_groups_dropped"]) for r in delivery_report(query)],
-        "input_rows LONG, rejected LONG, late_groups_dropped LONG",
-    )
-    return report.agg(*[F.sum(c).alias(c) for c in report.columns])
+    counters = ["input_rows", "rejected", "late_groups_dropped"]
+    batches = [[batch[c] for c in counters] for batch in delivery_report(query)]
+    report = spark.createDataFrame(batches, ", ".join(f"{c} LONG" for c in counters))
+    return report.agg(*[F.sum(c).alias(c) for c in counters]).withColumn("rows_written", F.lit(sum(written)).cast("long"))
 
 
 QUERIES: dict[str, Query] = {

@@ -22,7 +22,7 @@ MEAN = """(CAST(CAST(sum(CAST(temperature * 1152921504606846976.0 AS HUGEINT)) A
 DAMAGED = f"""
 m AS (SELECT event_id, {MESSAGE} AS value FROM e),
 d AS (
-  SELECT CASE event_id % 16
+  SELECT event_id, CASE event_id % 16
     WHEN 1 THEN left(value, length(value) - 1)
     WHEN 2 THEN regexp_replace(value, '"temperature":[^,]*,', '')
     WHEN 3 THEN regexp_replace(value, '"event_time":"[^"]*"', '"event_time":1704067200')
@@ -156,7 +156,9 @@ FROM e GROUP BY date_trunc('minute', ts)""",
     "window_stats_stream": _STREAMED,
     "late_rows_dropped": _LATE,
     "restart_no_duplicates": _STREAMED,
-    "stream_delivery_report": f"""WITH {EVENTS}, {DAMAGED}
+    "stream_delivery_report": f"""WITH {EVENTS}, {DAMAGED},
+good AS (SELECT x.* FROM x JOIN d USING (event_id) WHERE reason IS NULL),
+closed AS ({_stats("minute", rows="good", having="HAVING " + _closed_by("SELECT max(ms) FROM good"))})
 SELECT CAST(count(*) AS BIGINT) AS input_rows, count(reason) AS rejected,
-       CAST(0 AS BIGINT) AS late_groups_dropped FROM d""",
+       CAST(0 AS BIGINT) AS late_groups_dropped, (SELECT count(*) FROM closed) AS rows_written FROM d""",
 }
