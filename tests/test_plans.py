@@ -6,7 +6,7 @@ import pytest
 from conftest import message, messages_frame
 
 from tidegauge.operators.median import weighted_median
-from tidegauge.operators.parse import accepted, parse_events
+from tidegauge.operators.parse import parse_events
 from tidegauge.operators.windows import value_counts
 from tidegauge.plans import event_table
 from tidegauge.plans.sensor_stats import enriched_events

@@ -44,7 +44,8 @@ def test_rounding_ties(spark, device_types):
 
 
 def test_unknown_ids_are_one_group(spark, device_types):
-    rows = stats(spark, device_types, {"device_type_id": "8", "humidity": "1"}, {"device_type_id": "9", "humidity": "3"})
+    events = [{"device_type_id": "8", "humidity": "1"}, {"device_type_id": "9", "humidity": "3"}]
+    rows = stats(spark, device_types, *events)
     assert rows == [("16:54", "16:55", "unknown_device_type", 25.31, 2.0)]
 
 
@@ -59,7 +60,8 @@ def test_midnight_labels(spark, device_types):
 
 
 def test_same_minute_of_two_days_stays_two_rows(spark, device_types):
-    rows = stats(spark, device_types, at("2026-06-02T16:54:10Z", humidity="1"), at("2026-06-03T16:54:10Z", humidity="2"))
+    events = [at("2026-06-02T16:54:10Z", humidity="1"), at("2026-06-03T16:54:10Z", humidity="2")]
+    rows = stats(spark, device_types, *events)
     assert [(r[0], r[4]) for r in rows] == [("16:54", 1.0), ("16:54", 2.0)]
 
 

@@ -14,6 +14,8 @@ from tidegauge.session import written
 LARGE_GROUP = 500_000
 # Rows of a value range, the share of a split group that one task sorts.
 RANGE_ROWS = 500_000
+# More shuffle partitions than this cost more than larger (spilling) sorts.
+MAX_RANGES = 20_000
 # Group keys up to this many are small enough to broadcast.
 BROADCAST_GROUPS = 100_000
 
@@ -45,7 +47,7 @@ def weighted_median(
     same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     small = counts.join(large, same_group, "left_anti")
     big = counts.join(large, same_group, "left_semi")
-    tasks = math.ceil(found["rows"] / range_rows)
+    tasks = min(math.ceil(found["rows"] / range_rows), MAX_RANGES)
     return _sorted_groups(small, keys, value, n, sums).unionByName(
         _split_groups(big, keys, value, n, sums, keep, tasks, small_enough)
     )

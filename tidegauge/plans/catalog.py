@@ -299,7 +299,8 @@ def stream_delivery_report(spark, folder):
     counters = ["input_rows", "rejected", "late_groups_dropped"]
     batches = [[batch[c] for c in counters] for batch in delivery_report(query)]
     report = spark.createDataFrame(batches, ", ".join(f"{c} LONG" for c in counters))
-    return report.agg(*[F.sum(c).alias(c) for c in counters]).withColumn("rows_written", F.lit(sum(written)).cast("long"))
+    totals = report.agg(*[F.sum(c).alias(c) for c in counters])
+    return totals.withColumn("rows_written", F.lit(sum(written)).cast("long"))
 
 
 QUERIES: dict[str, Query] = {

@@ -53,7 +53,8 @@ def snapshot(source: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Diction
     A plain stream-static join would read a database table again in every micro-batch. Ids must be
     unique, otherwise the lookup would multiply events.
     """
-    frame = written(source.select(F.col("id").cast("int").alias("id"), F.col("type_name").cast("string").alias("type_name")))
+    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in DICTIONARY_SCHEMA]
+    frame = written(source.select(*columns))
     return Dictionary(frame, _check(frame), broadcast_rows)
 
 

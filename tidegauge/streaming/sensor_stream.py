@@ -34,7 +34,8 @@ def finish_batch(write: BatchWriter, on_written: Callable[[int, int], None] | No
 
     All counts of a window arrive in the one batch that closes it, so each batch is a complete
     input for the batch operators. ``on_written`` is told the batch id and the number of rows once
-    a batch has been written; a failed write fails the query.
+    a batch has been written; a failed write fails the query. The rows are counted by the first
+    action of ``write``.
     """
 
     def finish(counts: DataFrame, batch_id: int) -> None:
