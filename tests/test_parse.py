@@ -157,3 +157,40 @@ def test_every_message_is_either_accepted_or_quarantined_whole(spark):
         (None, "malformed_json"),
         ("", "malformed_json"),
     }
+
+
+def test_long_numerals_in_strings(spark):
+    long = "1" + "_1" * 100_000
+    rows = parse(spark, [message(temperature=f'"{long}"'), message(temperature=f'"0.{long}"'),
+                         message(device_type_id=f'"{long}"'), message(temperature=f'"{long}_"')])
+    assert [r["reject_reason"] for r in rows] == [None, None, "bad_device_type_id", "bad_temperature"]
+    assert rows[0]["temperature"] == math.inf
+    assert rows[1]["temperature"] == 1 / 9
+
+
+def test_hostile_messages_never_fail_the_job(spark):
+    texts = [
+        "[" * 200_000,
+        message(extra="[" * 5_000 + "]" * 5_000),
+        message(extra='{"a":' * 5_000 + "1" + "}" * 5_000),
+        message(temperature="1" * 100_000),
+        message(temperature='"' + "1" * 100_000 + '"'),
+        message(device_type_id="-" * 1000),
+        message(device_id='"' + "x" * 30_000_000 + '"'),
+        "{" + ",".join(f'"k{i}":NaN' for i in range(100_000)) + "}",
+        message(device_id=r'"\ud800"'),
+        message(event_time='"' + "Z" * 100_000 + '"'),
+        message(event_time='"2026-06-02T16:54:10' + "0" * 100_000 + '"'),
+        message(temperature='"' + " " * 100_000 + '1"'),
+        "NaN" * 50_000,
+        "\x00",
+    ]
+    reasons = [r["reject_reason"] for r in parse(spark, texts)]
+    assert len(reasons) == len(texts)
+    assert reasons[0] == "malformed_json"
+    assert reasons[4] is None  # a finite text of many digits is an infinite reading
+    assert reasons[5] == "malformed_json"
+    assert reasons[7] == "missing_event_time"
+    assert reasons[9] == reasons[10] == "bad_event_time"
+    assert reasons[11] is None
+    assert reasons[12] == reasons[13] == "malformed_json"

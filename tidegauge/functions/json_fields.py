@@ -3,8 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Numerals accepted inside JSON strings (single underscores may separate digits).
-DIGITS = r"\d+(?:_\d+)*"
+# Numerals accepted inside JSON strings (single underscores may separate digits). The
+# loops are possessive, so a long numeral needs no stack.
+DIGITS = r"\d++(?:_\d++)*+"
 INTEGER_TEXT = rf"^\s*[+-]?{DIGITS}\s*\z"
 FLOAT_TEXT = (
     rf"(?i)^\s*[+-]?(?:nan|inf(?:inity)?|(?:{DIGITS}\.?(?:{DIGITS})?|\.{DIGITS})(?:e[+-]?{DIGITS})?)\s*\z"
