@@ -155,6 +155,16 @@ def test_stream_equals_batch_up_to_the_open_windows(spark, device_types, feed):
     assert sum(r["input_rows"] for r in report) == 210
 
 
+def test_streaming_plan_has_one_shuffle_and_no_python(feed):
+    feed.start()
+    feed.arrive(message())
+    plan = feed.query._jsq.explainInternal(False)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_count")  # folded before it
+    assert plan.count("BroadcastHashJoin") == 1
+    assert "Python" not in plan
+
+
 def test_state_holds_distinct_values_not_events(feed):
     feed.start()
     feed.arrive(*[at("2026-06-01T10:00:00Z", humidity=str(i % 3)) for i in range(300)])
