@@ -7,6 +7,7 @@ from pyspark.errors import StreamingQueryException
 
 from tidegauge.operators.windows import aggregate_rows, stats_from_counts
 from tidegauge.plans.sensor_stats import sensor_stats
+from tidegauge.sources.dictionary import Dictionary
 from tidegauge.sources.messages import read_files, stream_files
 from tidegauge.sources.sinks import files_writer, read_aggregates
 from tidegauge.streaming import sensor_stream
@@ -90,6 +91,20 @@ def test_out_of_order_events_within_the_bound_count(feed):
     assert feed.dropped() == 0
 
 
+def test_dictionary_too_large_to_broadcast(spark, device_types, feed):
+    feed.dictionary = Dictionary(device_types.frame, device_types.rows, broadcast_rows=0)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        feed.start()
+        feed.arrive(*[at("2026-06-01T23:59:10Z", humidity=h, device_type_id=i) for h in "123" for i in "39"])
+        unknown = ("23:59", "00:00", "unknown_device_type", 25.31, 2.0)
+        assert feed.arrive(at("2026-06-02T00:00:05Z")) == [unknown, CLOSED]
+        assert "SortMergeJoin" in feed.query._jsq.explainInternal(False)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_restart_resumes_without_repeating(feed):
     feed.start()
     feed.arrive(at("2026-06-01T23:59:10Z", humidity="1"))

@@ -42,7 +42,8 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
     """Add the five event columns and ``reject_reason`` (null for an accepted message).
 
     Every message yields exactly one row. The reason is the first rule that fails: the shape of the
-    message, its time, then the other fields.
+    message, its time, then the other fields. To use accepted and rejected rows of a large batch,
+    keep the result with :func:`tidegauge.session.written`, so that it is parsed once.
     """
     parsed = messages.select("*", F.explode(F.array(parse_document(F.col(value)))).alias(DOCUMENT))
     parsed = with_kinds(parsed, DOCUMENT, EVENT_SCHEMA.names)
