@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, shards, urls
+from tidegauge.llm import chat, quality, shards, urls
 from tidegauge.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,22 @@ def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, labels).drop("mined")
 
 
+def held_out(doc_id):
+    return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", "quality")
+    scored = quality.scored(docs, quality.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.KEEP_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     turn = F.col("id").cast("long")
@@ -66,6 +82,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_shards": op2_shards,
     "op3_url_rules": op3_url_rules,
+    "op9_quality": op9_quality,
     "op10_chat": op10_chat,
 }
 
