@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegauge.llm import textops
 
@@ -166,7 +167,7 @@ def scorer(docs: DataFrame, machine: Machine):
     """A column function: text to score."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
-    @F.arrow_udf("double")
+    @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:
         model = shared.value
         return pa.array([model.score(*model.vector(*row)) for row in features(texts)], pa.float64())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, quality, shards, urls
+from tidegauge.llm import chat, quality, secrets, shards, urls
 from tidegauge.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,21 @@ def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, labels).drop("mined")
 
 
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.findings(docs, secrets.update_ledger(docs))
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("path.doc_id").alias("doc_id"),
+        *[number(kind) for kind in secrets.BASE_KINDS],
+        F.sha2(secrets.span_text(F.col("spans"), secrets.BASE_KINDS), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def held_out(doc_id):
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0
 
@@ -82,6 +97,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_shards": op2_shards,
     "op3_url_rules": op3_url_rules,
+    "op6_secrets": op6_secrets,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
 }
