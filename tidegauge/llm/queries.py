@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, quality, secrets, shards, urls
+from tidegauge.llm import chat, packing, quality, secrets, shards, urls
 from tidegauge.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SHARDS, SHARD_SEED = 8, 20
+TOKENIZER = "word_bpe_49k.json"
+
+
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
 
 
 def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,6 +105,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
     "op2_shards": op2_shards,
     "op3_url_rules": op3_url_rules,
     "op6_secrets": op6_secrets,
