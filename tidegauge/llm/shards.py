@@ -25,6 +25,8 @@ from tidegauge.session import written
 #: Bytes a bucket may hold on average, and the fewest buckets of a shard.
 BUCKET_BYTES = 16 << 20
 LEAST_BUCKETS = 4
+#: The rows before each bucket are broadcast up to this number of buckets.
+BROADCAST_BUCKETS = 100_000
 
 
 def shard_of(key: Column, shards: int, seed: int) -> Column:
@@ -86,5 +88,7 @@ def shuffle_shards(
     counts = shuffled.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    if shards * buckets <= BROADCAST_BUCKETS:
+        bases = F.broadcast(bases)
     slot = (F.col("base") + F.col("position")).alias("slot")
     return shuffled.join(bases, ["shard", "bucket"]).select("shard", "bucket", slot, "record")
