@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, packing, quality, secrets, shards, urls
+from tidegauge.llm import chat, decontaminate, packing, quality, secrets, shards, urls
 from tidegauge.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(pages, labels).drop("mined")
 
 
+def op4_benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.findings(docs, secrets.update_ledger(docs))
@@ -108,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_shards": op2_shards,
     "op3_url_rules": op3_url_rules,
+    "op4_benchmark": op4_benchmark,
     "op6_secrets": op6_secrets,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
