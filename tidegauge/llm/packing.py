@@ -7,7 +7,7 @@ for an end ``j`` minimises ``cost[i] + start[i]`` over the last 2048 tokens, whi
 yields in constant time; power-of-two lengths are looked up beside it. The stream is worked through
 in stretches, whose last sequences wait for the next stretch.
 
-A sentence longer than a sequence is cut at multiples of 2048 from its start. What remains at the end
+Within a sentence of more than 128 tokens every 128th may be an end, at a higher penalty. What remains at the end
 of a partition is cut into powers of two, so it needs no padding either.
 
 Defined cases: a null or empty text is the closing id alone; repeated rows are packed once each; a
@@ -17,7 +17,6 @@ share nothing, so no document, however long or often repeated, meets others in o
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,9 @@ from tidegauge.llm import textops, tokens
 LENGTH = 2048
 CLOSING_ID = 1
 #: Cost in tokens of padding of each sequence, and of ending one within a document or a sentence.
-SEQUENCE_COST, SENTENCE_COST, WORD_COST = 1, 4, 64
+SEQUENCE_COST, SENTENCE_COST, WORD_COST = 1, 4, 16
+#: Where no sentence ends for so many tokens, a sequence may end within it.
+LONG_SENTENCE = 128
 #: Lengths other than the full one that need no padding and are worth a sequence.
 SHORT_LENGTHS = (1024, 512, 256, 128)
 STRETCH = 1 << 18
@@ -42,28 +43,31 @@ def cuts(ends: np.ndarray, costs: np.ndarray, length: int = LENGTH, short=SHORT_
 
     ``costs`` are the penalties of the ends. No two ends may lie more than ``length`` apart.
     """
-    best: list[float] = [0.0]
-    back: list[int] = [0]
     places = [0, *ends.tolist()]
+    best, back = [0], [0]
     number = {0: 0}
-    queue: deque[tuple[float, int, int]] = deque([(0.0, 0, 0)])  # key, position, number
-    for j, (end, cost) in enumerate(zip(places[1:], costs.tolist()), 1):
-        while queue[0][1] < end - length:
-            queue.popleft()
-        key, _, i = queue[0]
-        least = key + length - end
+    # The queue: starts within reach, their keys ascending from ``head`` on.
+    keys, queued, head = [0], [0], 0
+    for j, cost in enumerate(costs.tolist(), 1):
+        end = places[j]
+        while places[queued[head]] < end - length:
+            head += 1
+        i = queued[head]
+        least = keys[head] + length - end
         for size in short:
             k = number.get(end - size)
             if k is not None and best[k] < least:
                 least, i = best[k], k
+        number[end] = j
         least += cost + SEQUENCE_COST
         best.append(least)
         back.append(i)
-        number[end] = j
         key = least + end
-        while queue and queue[-1][0] >= key:
-            queue.pop()
-        queue.append((key, end, j))
+        while len(keys) > head and keys[-1] >= key:
+            keys.pop()
+            queued.pop()
+        keys.append(key)
+        queued.append(j)
     out, j = [], len(places) - 1
     while j:
         out.append(places[j])
@@ -71,13 +75,13 @@ def cuts(ends: np.ndarray, costs: np.ndarray, length: int = LENGTH, short=SHORT_
     return out[::-1]
 
 
-def candidate_ends(doc_ends: np.ndarray, sentence_ends: np.ndarray, total: int, length: int = LENGTH):
-    """Possible ends in ``(0, total]`` with their penalties, none more than ``length`` apart."""
+def candidate_ends(doc_ends: np.ndarray, sentence_ends: np.ndarray, total: int, step: int = LONG_SENTENCE):
+    """Possible ends in ``(0, total]`` with their penalties, none more than ``step`` apart."""
     ends = np.union1d(doc_ends, sentence_ends)
     ends = np.union1d(ends[(ends > 0) & (ends <= total)], [total])
     gaps = np.diff(ends, prepend=0)
-    if (gaps > length).any():
-        extra = [np.arange(e - g + length, e, length) for e, g in zip(ends[gaps > length], gaps[gaps > length])]
+    if (gaps > step).any():
+        extra = [np.arange(e - g + step, e, step) for e, g in zip(ends[gaps > step], gaps[gaps > step])]
         ends = np.union1d(ends, np.concatenate(extra))
     costs = np.full(len(ends), WORD_COST, np.int64)
     costs[np.isin(ends, sentence_ends)] = SENTENCE_COST

@@ -1,26 +1,58 @@
 """Token ids of texts by a public tokenizer that treats white space as a divider.
 
-The ids of a text are those of its words one after another, so each distinct word is encoded once per
-worker process and texts are put together from the table of words with numpy.
+The tokenizer divides a text at white space, so the ids of a text are those of its words one after
+another; and a word between letters or digits and other marks, so the ids of a word are those of its
+runs. Each distinct word is looked at once per worker process and each distinct run encoded once;
+texts are put together from the tables with numpy.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import sys
 import types
+import unicodedata
 
 import numpy as np
 
-#: Words a worker remembers; beyond that it starts anew.
-REMEMBERED_WORDS = 500_000
-#: Marks that are divided from a letter or digit before them.
-_TAIL = ".,!?;:%&$#*)"
-_SENTENCE_END = (".", "!", "?")
+#: Words a worker remembers (some 200 bytes each); beyond that it starts anew.
+REMEMBERED_WORDS = 1_000_000
+_RUN = re.compile(r"[^\W_]+|(?:[^\w]|_)+")
+
+
+class _Numbers(dict):
+    """Numbers strings in the order of their first lookup."""
+
+    def __missing__(self, text: str) -> int:
+        self[text] = number = len(self)
+        return number
+
+
+def _joined(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, chosen: np.ndarray):
+    """The parts ``chosen`` of a pool one after another, and where each ends."""
+    own = sizes[chosen]
+    ends = np.cumsum(own)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(starts[chosen] - (ends - own), own) + np.arange(total)], ends
+
+
+class _Pool:
+    """Number arrays one after another, by number."""
+
+    def __init__(self):
+        self.starts = self.sizes = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.int32)
+
+    def add(self, sizes: np.ndarray, values: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.pool = np.concatenate([self.pool, values])
 
 
 class Words:
-    """Ids of words by table; a word's ids are ``pool[starts[k] : starts[k] + sizes[k]]``."""
+    """Ids by word."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,52 +62,61 @@ class Words:
         self._clear()
 
     def _clear(self) -> None:
-        self.table: dict[str, int] = {}
-        self.starts = self.sizes = np.zeros(0, np.int64)
+        self.words, self.runs = _Numbers(), _Numbers()
+        self.word_ids, self.run_ids = _Pool(), _Pool()
         self.ends = np.zeros(0, bool)
-        self.pool = np.zeros(0, np.int32)
 
-    def _add(self, words: list[str]) -> None:
-        # A word that ends in marks is its letters and its marks; both are shared by more words.
-        parts, plan = {}, []
-        for word in words:
-            core = word.rstrip(_TAIL)
-            if core and core != word and core[-1] < "ɐ" and core[-1].isalnum() and "<|" not in word:
-                pair = (core, word[len(core) :])
+    def _encode_new(self) -> None:
+        new = list(itertools.islice(self.words, len(self.ends), None))
+        if not new:
+            return
+        counts, runs = [], []
+        for word in new:
+            # Whole: what is joined across marks (contractions, special tokens) or composed of several characters.
+            if word.isalnum() or "'" in word or "<|" in word or not (word.isascii() or _composed(word)):
+                parts = [word]
             else:
-                pair = (word,)
-            plan.append([parts.setdefault(part, len(parts)) for part in pair])
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(list(parts), add_special_tokens=False)]
-        found = [sum((ids[k] for k in pair), []) for pair in plan]
-        sizes = np.array([len(x) for x in found], np.int64)
-        self.table.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ends = np.concatenate([self.ends, np.array([w.endswith(_SENTENCE_END) for w in words], bool)])
-        self.pool = np.concatenate([self.pool, np.array([i for x in found for i in x], np.int32)])
+                parts = _RUN.findall(word)
+            counts.append(len(parts))
+            runs += parts
+        known = len(self.run_ids.sizes)
+        chosen = np.fromiter(map(self.runs.__getitem__, runs), np.int64, len(runs))
+        ids = [
+            e.ids
+            for e in self.tokenizer.encode_batch_fast(
+                list(itertools.islice(self.runs, known, None)), add_special_tokens=False
+            )
+        ]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.run_ids.add(sizes, np.fromiter(itertools.chain.from_iterable(ids), np.int32))
+        values, ends = _joined(self.run_ids.pool, self.run_ids.starts, self.run_ids.sizes, chosen)
+        word_ends = np.concatenate([[0], ends])[np.cumsum(counts)]
+        self.word_ids.add(np.diff(word_ends, prepend=0), values)
+        self.ends = np.concatenate([self.ends, np.array([w[-1:] in (".", "!", "?") and w != "" for w in new], bool)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts together, tokens before each text (one more at the end), sentence ends."""
+        if len(self.words) > REMEMBERED_WORDS:
+            self._clear()
         words, counts = [], [0]
         for text in texts:
+            low = text.lower()
             # Lower-casing first leaves fewer words; not where it depends on context or could make a special token.
-            if "<|" not in text and "Σ" not in text and "İ" not in text:
-                text = text.lower()
+            if text.isascii() or "Σ" not in text and "İ" not in text and _composed(text) and _composed(low):
+                text = low if "<|" not in text else text
             words += text.replace("\n", " ").split(" ")
             counts.append(len(words))
-        if len(self.table) > REMEMBERED_WORDS:
-            self._clear()
-        if new := list(set(words).difference(self.table)):
-            self._add(new)
-        numbers = np.fromiter(map(self.table.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[numbers]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(self.starts[numbers] - (ends - sizes), sizes) + np.arange(total)]
+        numbers = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        self._encode_new()
+        ids, ends = _joined(self.word_ids.pool, self.word_ids.starts, self.word_ids.sizes, numbers)
         at = np.concatenate([[0], ends])[counts]
         return ids, at, ends[self.ends[numbers]]
 
 
+def _composed(text: str) -> bool:
+    return unicodedata.is_normalized("NFC", text)
+
+
 def words_of(path: str) -> Words:
     """The table of this worker process; it outlives a task."""
     held = sys.modules.setdefault("_tidegauge_words", types.ModuleType("_tidegauge_words"))
