@@ -8,9 +8,12 @@ Candidates of a set are stored in a trie of globally ordered sets, frequent shin
 copies share long paths. The trie is traversed once per set: the overlap of a shared path is counted
 once, and a subtree is pruned where overlap and remaining length cannot reach the similarity.
 
-Not all pairs of a group are compared. Every set sharing a shingle is first compared with the group's
-smallest one, which joins copies into components in linear work; only pairs of different components
-are compared afterwards, all of them. Equal sets are one class throughout.
+A group is the sets that share a shingle; two of them are compared if what follows that shingle in both
+is long enough for the similarity. Not all pairs of a group are: every set is first compared with the
+smallest of its groups; then, where a group lies in several components, with a few sets that each
+group chooses by hash, and again while that finds links readily. All of this is linear, and it leaves large
+groups of copies in one component. The remaining pairs of a group in different components are then
+compared, all of them. Equal sets are one class throughout.
 
 Defined cases: null and empty texts have no set and link with nothing; texts of fewer than five
 words have one shingle, the whole sequence; repeated rows and numbers keep their rows; texts are
@@ -42,6 +45,9 @@ TRIE_SETS = 512
 #: Numbers of compared documents are broadcast up to this many.
 BROADCAST_DOCS = 1_000_000
 STEP = 64
+#: Sets a group chooses at a time; groups go on choosing while one in so many of the pairs compared is a link.
+CHOICES = 16
+READY = 100
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -220,7 +226,7 @@ class Join:
         return np.sort(listed["token"].to_numpy(np.uint64))
 
     def incidences(self, frequent) -> DataFrame:
-        """``token``, ``key``: the classes of the sets that have a token in their prefix.
+        """``token``, ``key``, ``place``: the classes of the sets that have a token in their prefix, and where.
 
         Tokens of one class only are left out, if they are rare.
         """
@@ -228,8 +234,9 @@ class Join:
 
         def gather(batches):
             listed = frequent.value
-            rare: list[tuple[np.ndarray, int]] = []
-            hot: list[tuple[np.ndarray, int]] = []
+            # Tokens, key of the set, place of the first token.
+            rare: list[tuple[np.ndarray, int, int]] = []
+            hot: list[tuple[np.ndarray, int, int]] = []
             flushed = 0
 
             def flush():
@@ -237,27 +244,26 @@ class Join:
                 for kind, held in enumerate((rare, hot)):
                     if not held:
                         continue
-                    token = np.concatenate([t for t, _ in held])
-                    key = np.repeat(np.array([k for _, k in held], np.int64), [len(t) for t, _ in held])
-                    order = np.lexsort((key, token))
-                    token, key = token[order], key[order]
-                    new = np.ones(len(token), bool)
-                    new[1:] = (np.diff(token) != 0) | (np.diff(key) != 0)  # copies of a set count once
-                    token, key = token[new], key[new]
+                    token, key, place = _first_of_each(
+                        np.concatenate([t for t, _, _ in held]),
+                        np.repeat(np.array([k for _, k, _ in held], np.int64), [len(t) for t, _, _ in held]),
+                        np.concatenate([np.arange(p, p + len(t), dtype=np.uint32) for t, _, p in held]),
+                    )
                     if kind:
                         bucket = (1 << bits) + int(key[0]) % (1 << bits)
-                        rows.append((bucket, token.tobytes(), key.tobytes()))
+                        rows.append((bucket, token.tobytes(), key.tobytes(), place.tobytes()))
                     else:
                         rows += [
-                            (b, token[s].astype(np.uint32).tobytes(), key[s].tobytes()) for b, s in _split(token)
+                            (b, token[s].astype(np.uint32).tobytes(), key[s].tobytes(), place[s].tobytes())
+                            for b, s in _split(token)
                         ]
                     held.clear()
                 return pa.RecordBatch.from_arrays(
                     [
                         pa.array([r[0] for r in rows], pa.int32()),
-                        *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2)],
+                        *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)],
                     ],
-                    names=["bucket", "tokens", "keys"],
+                    names=["bucket", "tokens", "keys", "places"],
                 )
 
             for batch in batches:
@@ -270,9 +276,9 @@ class Join:
                     key = set_key(own)
                     first = token[~is_hot][:size]
                     if len(first):
-                        rare.append((first, key))
+                        rare.append((first, key, 0))
                     if len(first) < size:
-                        hot.append((token[is_hot][: size - len(first)], key))
+                        hot.append((token[is_hot][: size - len(first)], key, len(first)))
                     flushed += size
                     if flushed >= GATHERED // 2:
                         yield flush()
@@ -287,21 +293,18 @@ class Join:
                 [np.frombuffer(x, np.uint64 if hot else np.uint32) for x in bucket["tokens"].to_pylist()]
             ).astype(np.int64)
             key = np.concatenate([np.frombuffer(x, np.int64) for x in bucket["keys"].to_pylist()])
-            order = np.lexsort((key, token))
-            token, key = token[order], key[order]
-            new = np.ones(len(token), bool)
-            new[1:] = (np.diff(token) != 0) | (np.diff(key) != 0)
-            token, key = token[new], key[new]
+            place = np.concatenate([np.frombuffer(x, np.uint32) for x in bucket["places"].to_pylist()])
+            token, key, place = _first_of_each(token, key, place)
             if not hot:
                 shared = np.zeros(len(token), bool)
                 same = np.diff(token) == 0
                 shared[1:] |= same
                 shared[:-1] |= same
-                token, key = token[shared] + (number << 32), key[shared]
-            return pa.table({"token": token, "key": key})
+                token, key, place = token[shared] + (number << 32), key[shared], place[shared]
+            return pa.table({"token": token, "key": key, "place": place.astype(np.int64)})
 
-        gathered = self.docs.select("text").mapInArrow(gather, "bucket int, tokens binary, keys binary")
-        return written(gathered.groupBy("bucket").applyInArrow(meet, "token long, key long"))
+        gathered = self.docs.select("text").mapInArrow(gather, "bucket int, tokens binary, keys binary, places binary")
+        return written(gathered.groupBy("bucket").applyInArrow(meet, "token long, key long, place long"))
 
     def sets(self, classes: DataFrame, keys: DataFrame, frequent) -> DataFrame:
         """``key`` and ``set`` of the wanted classes, in the order of the trie."""
@@ -333,24 +336,59 @@ class Join:
 
     def first_pairs(self, incidences: DataFrame) -> DataFrame:
         """Every class with the smallest of each group it is in."""
-        smallest = incidences.groupBy("token").agg(F.min("key").alias("a"), F.max("key").alias("last"))
-        smallest = smallest.where("a != last").select("token", "a")
-        pairs = incidences.join(smallest, "token").where("key != a")
-        return pairs.select("a", F.col("key").alias("b")).distinct()
+        smallest = incidences.groupBy("token").agg(F.min(_other("key")).alias("other"))
+        return _comparable(incidences.join(smallest, "token").where(F.col("key") != F.col("other.key")))
 
-    def other_pairs(self, incidences: DataFrame, parts: DataFrame, sizes: DataFrame, done: DataFrame) -> DataFrame:
-        """Pairs of a group that lie in different components, might be similar and are not ``done``."""
+    def mixed(self, incidences: DataFrame, parts: DataFrame) -> DataFrame:
+        """The incidences of groups in several components, with the component of each as ``part``."""
         part = F.coalesce("component", "key").alias("part")
-        placed = incidences.join(parts.withColumnRenamed("node", "key"), "key", "left").select("token", "key", part)
-        mixed = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y")
-        rows = placed.join(mixed.select("token"), "token", "left_semi").join(sizes, "key")
-        one, two = (rows.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("key", "part", "n")]) for s in "ab")
-        near = (F.col("n_a") * DENOMINATOR >= F.col("n_b") * NUMERATOR) & (
-            F.col("n_b") * DENOMINATOR >= F.col("n_a") * NUMERATOR
+        placed = incidences.join(parts.withColumnRenamed("node", "key"), "key", "left")
+        placed = placed.select("token", "key", "place", "n", part)
+        several = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y")
+        return placed.join(several.select("token"), "token", "left_semi")
+
+    def chosen_pairs(self, mixed: DataFrame, turn: int) -> DataFrame:
+        """Every class with the ``CHOICES`` that each of its groups makes by hash."""
+
+        def choice(k: int):
+            return F.min(_other(F.xxhash64("key", "token", F.lit(turn * CHOICES + k)).alias("order"), "key", "part"))
+
+        chosen = mixed.groupBy("token").agg(F.array(*[choice(k) for k in range(CHOICES)]).alias("others"))
+        chosen = chosen.select("token", F.explode("others").alias("other"))
+        return _comparable(mixed.join(chosen, "token").where(F.col("part") != F.col("other.part")))
+
+    def remaining_pairs(self, mixed: DataFrame) -> DataFrame:
+        """All pairs of a group in different components."""
+        two = mixed.select("token", _other("key", "part").alias("other"))
+        met = mixed.join(two, "token").where(
+            (F.col("key") < F.col("other.key")) & (F.col("part") != F.col("other.part"))
         )
-        met = one.join(two, "token").where((F.col("key_a") < F.col("key_b")) & (F.col("part_a") != F.col("part_b")) & near)
-        pairs = met.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
-        return pairs.join(done, ["a", "b"], "left_anti")
+        return _comparable(met)
+
+
+def _other(*first):
+    return F.struct(*first, "n", "place")
+
+
+def _comparable(met: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) that may be similar if the shingle they meet in is the first they share.
+
+    Every similar pair meets there too, and the overlap is then at most what follows it in either set.
+    """
+    n, other_n = F.col("n"), F.col("other.n")
+    most = F.least(n - F.col("place"), other_n - F.col("other.place"))
+    fits = most * (NUMERATOR + DENOMINATOR) >= (n + other_n) * NUMERATOR
+    a, b = F.least("key", "other.key"), F.greatest("key", "other.key")
+    return met.where(fits).select(a.alias("a"), b.alias("b")).distinct()
+
+
+def _first_of_each(token: np.ndarray, key: np.ndarray, place: np.ndarray):
+    """One row for each token and set, in ascending order; copies of a set count once."""
+    order = np.lexsort((place, key, token))
+    token, key, place = token[order], key[order], place[order]
+    new = np.ones(len(token), bool)
+    new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
+    return token[new], key[new], place[new]
 
 
 def _listed(token: np.ndarray, listed: np.ndarray) -> np.ndarray:
@@ -364,17 +402,26 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     join = Join(docs)
     classes = join.classes()
     frequent = join.spark.sparkContext.broadcast(join.frequent())
-    incidences = join.incidences(frequent)
-    first = written(join.first_pairs(incidences))
-    met = incidences.select("key").distinct()
-    sets = join.sets(classes, met, frequent)
-    links = written(join.links(first, sets))
-    parts = written(graph.components(links))
     sizes = classes.where("key is not null").groupBy("key").agg(F.min("n_shingles").alias("n"))
-    other = written(join.other_pairs(incidences, parts, sizes, first))
-    more = written(join.links(other, sets))
-    if not more.isEmpty():
-        parts = written(graph.components(links.unionByName(more)))
+    incidences = written(join.incidences(frequent).join(sizes, "key"))
+    sets = join.sets(classes, incidences.select("key").distinct(), frequent)
+    done = written(join.first_pairs(incidences))
+    links = written(join.links(done, sets))
+    parts = written(graph.components(links))
+    turn, ready = 0, True
+    while True:
+        turn += 1
+        mixed = written(join.mixed(incidences, parts))
+        pairs = join.chosen_pairs(mixed, turn) if ready else join.remaining_pairs(mixed)
+        pairs = written(pairs.join(done, ["a", "b"], "left_anti"))
+        more = written(join.links(pairs, sets))
+        found = more.count()
+        if found:
+            links, done = links.unionByName(more), done.unionByName(pairs)
+            parts = written(graph.components(links))
+        if not ready:
+            break
+        ready = found * READY >= pairs.count() and found > 0
     part = F.coalesce("component", "key").alias("part")
     placed = classes.join(parts.withColumnRenamed("node", "key"), "key", "left").select("doc_id", "n_shingles", part)
     least = placed.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"))
