@@ -64,8 +64,8 @@ def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
 def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     """Per seed met: how many words are equal in the best window around it.
 
-    The word array never leaves the generated code that walks along it; a hit's comparison is one
-    number, a bit for each place.
+    The word array never leaves the generated code that walks along it; a hit takes its surroundings
+    with it. They are compared outside, lest that code grow beyond what the JVM compiles.
     """
     words = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
     # Outer, lest the optimizer adds a filter that would divide each text into words a second time.
@@ -75,14 +75,19 @@ def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     )
     met = seeded.join(F.broadcast(seeds), "seed")
 
-    def equal(i: int) -> Column:
-        same = F.get("words", F.col("at") + (i - _BEFORE)) == F.get("around", F.lit(i))
-        return F.shiftleft(F.coalesce(same, F.lit(False)).cast("int"), i)
-
-    equal_bits = reduce(Column.bitwiseOR, [equal(i) for i in range(_BEFORE + WINDOW)]).alias("equal_bits")
-    compared = met.select("doc_id", "item_id", "at", "needed", equal_bits)
-    windows = [F.bit_count(F.col("equal_bits").bitwiseAND(((1 << WINDOW) - 1) << k)) for k in range(_BEFORE + 1)]
-    return compared.select("doc_id", "item_id", "at", "needed", F.greatest(*windows).alias("equal_words"))
+    # From the place before which a window can begin, or from the first word.
+    near = F.slice("words", F.greatest(F.col("at") - _BEFORE, F.lit(0)) + 1, F.lit(_BEFORE + WINDOW)).alias("near")
+    taken = met.select("doc_id", "item_id", "at", "needed", "around", near)
+    cut = F.greatest(_BEFORE - F.col("at"), F.lit(0))  # places before the first word
+    equal = F.filter(
+        F.sequence(F.lit(0), F.size("near") - 1), lambda i: F.coalesce(F.get("near", i) == F.get("around", i + cut), F.lit(False))
+    )
+    compared = taken.select("doc_id", "item_id", "at", "needed", F.transform(equal, lambda i: i + cut).alias("equal"))
+    windows = F.transform(
+        F.sequence(F.lit(0), F.lit(_BEFORE)),
+        lambda k: F.size(F.filter("equal", lambda i: (i >= k) & (i < k + WINDOW))),
+    )
+    return compared.select("doc_id", "item_id", "at", "needed", F.array_max(windows).alias("equal_words"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
