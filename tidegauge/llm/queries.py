@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, decontaminate, jaccard, packing, quality, secrets, shards, urls
+from tidegauge.llm import chat, decontaminate, embeddings, jaccard, packing, quality, secrets, shards, urls
 from tidegauge.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, folder, "documents"))
 
@@ -118,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op3_url_rules": op3_url_rules,
     "op4_benchmark": op4_benchmark,
     "op6_secrets": op6_secrets,
+    "op7_vectors": op7_vectors,
     "op8_jaccard": op8_jaccard,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
