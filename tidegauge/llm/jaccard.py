@@ -428,3 +428,22 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     return placed.join(least, "part", "left").select(
         "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
     )
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """``docs`` with the document of the smallest number of every group of similar ones, all columns kept.
+
+    A row that is there again, with its number and text, goes too; null numbers are not compared and stay.
+    """
+    found = written(similar_documents(docs))
+    gone = found.where("doc_id != component_id").select("doc_id").distinct()
+    if gone.count() <= BROADCAST_DOCS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    repeated = written(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
+    if repeated.isEmpty():
+        return left
+    if repeated.count() <= BROADCAST_DOCS:
+        repeated = F.broadcast(repeated)
+    again = left.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(again)

@@ -179,3 +179,11 @@ def scored(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
     """``docs`` with the score of every text in column ``name``."""
     text: Column = F.col("text").cast("string")
     return docs.withColumn(name, scorer(docs, machine)(text))
+
+
+def kept(docs: DataFrame, labels: DataFrame, least: float = KEEP_SCORE) -> DataFrame:
+    """The documents the classifier does not reject, all columns kept."""
+    name = "_score"
+    while name in docs.columns:
+        name += "_"
+    return scored(docs, train(docs, labels), name).where(F.col(name) >= least).drop(name)

@@ -80,10 +80,13 @@ def held_out(doc_id):
     return F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 5 == 0
 
 
+def training_labels(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", "quality")
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    labels = table(spark, folder, "labels").where(~held_out(F.col("doc_id"))).select("doc_id", "quality")
-    scored = quality.scored(docs, quality.train(docs, labels))
+    scored = quality.scored(docs, quality.train(docs, training_labels(spark, folder)))
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
