@@ -45,9 +45,11 @@ TRIE_SETS = 512
 #: Numbers of compared documents are broadcast up to this many.
 BROADCAST_DOCS = 1_000_000
 STEP = 64
-#: Sets a group chooses at a time; groups go on choosing while one in so many of the pairs compared is a link.
+#: Sets a group chooses at a time. Groups go on choosing while one in ``READY`` of the pairs compared is a
+#: link, and there is one for ``MATTERS`` rows of the groups.
 CHOICES = 16
 READY = 100
+MATTERS = 1000
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -307,7 +309,10 @@ class Join:
         return written(gathered.groupBy("bucket").applyInArrow(meet, "token long, key long, place long"))
 
     def sets(self, classes: DataFrame, keys: DataFrame, frequent) -> DataFrame:
-        """``key`` and ``set`` of the wanted classes, in the order of the trie."""
+        """``key`` and ``set`` of the wanted classes, in the order of the trie.
+
+        Each class is read from its first document; a number that other texts share brings their sets too.
+        """
         short = _shortener(self.bits)
 
         def run(batches):
@@ -326,10 +331,12 @@ class Join:
         if wanted.count() <= BROADCAST_DOCS:
             wanted = F.broadcast(wanted)
         texts = self.docs.join(wanted, "doc_id", "left_semi").select("text")
-        return written(texts.mapInArrow(run, "key long, set binary").dropDuplicates(["key"]))
+        return written(texts.mapInArrow(run, "key long, set binary"))
 
-    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def links(self, pairs: DataFrame, classes: DataFrame, frequent) -> DataFrame:
         """The similar ones of ``pairs`` (a, b)."""
+        met = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        sets = self.sets(classes, met, frequent)
         of_b = pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
         both = of_b.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
         return both.select("a", "set_a", "b", "set_b").mapInArrow(_compare, "a long, b long")
@@ -404,9 +411,8 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     frequent = join.spark.sparkContext.broadcast(join.frequent())
     sizes = classes.where("key is not null").groupBy("key").agg(F.min("n_shingles").alias("n"))
     incidences = written(join.incidences(frequent).join(sizes, "key"))
-    sets = join.sets(classes, incidences.select("key").distinct(), frequent)
     done = written(join.first_pairs(incidences))
-    links = written(join.links(done, sets))
+    links = written(join.links(done, classes, frequent))
     parts = written(graph.components(links))
     turn, ready = 0, True
     while True:
@@ -414,14 +420,14 @@ def similar_documents(docs: DataFrame) -> DataFrame:
         mixed = written(join.mixed(incidences, parts))
         pairs = join.chosen_pairs(mixed, turn) if ready else join.remaining_pairs(mixed)
         pairs = written(pairs.join(done, ["a", "b"], "left_anti"))
-        more = written(join.links(pairs, sets))
+        more = written(join.links(pairs, classes, frequent))
         found = more.count()
         if found:
             links, done = links.unionByName(more), done.unionByName(pairs)
             parts = written(graph.components(links))
         if not ready:
             break
-        ready = found * READY >= pairs.count() and found > 0
+        ready = found * READY >= pairs.count() and found * MATTERS >= mixed.count() > 0
     part = F.coalesce("component", "key").alias("part")
     placed = classes.join(parts.withColumnRenamed("node", "key"), "key", "left").select("doc_id", "n_shingles", part)
     least = placed.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"))
