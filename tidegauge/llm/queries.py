@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, decontaminate, embeddings, jaccard, packing, quality, secrets, shards, urls
+from tidegauge.llm import chat, decontaminate, embeddings, jaccard, licences, packing, quality, secrets, shards, urls
 from tidegauge.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,20 @@ def op4_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of ``source / hundreds of the number / lang``; a first line is a folder's notice."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    hundred = F.floor(F.col("doc_id") / 100).cast("string")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), hundred, F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
+    notice = (F.col("own.line") == 0) & (F.col("own.unit") == "line")
+    found = licences.scan(docs.select("doc_id", path.alias("path"), "text"), notice)
+    return found.select(
+        F.col("file.doc_id").alias("doc_id"), F.col("file.path").alias("path"), "licence",
+        F.col("own.cosine").alias("cosine"), F.col("own.unit").alias("unit"), F.col("own.line").alias("line"),
+        "inherited_from",
+    )
+
+
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.findings(docs, secrets.update_ledger(docs))
@@ -124,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op2_shards": op2_shards,
     "op3_url_rules": op3_url_rules,
     "op4_benchmark": op4_benchmark,
+    "op5_licences": op5_licences,
     "op6_secrets": op6_secrets,
     "op7_vectors": op7_vectors,
     "op8_jaccard": op8_jaccard,
