@@ -1,0 +1,126 @@
+import random
+
+import numpy as np
+import pytest
+
+from tidegauge.llm import graph, jaccard, queries
+from .test_textops import plain_shingles
+
+
+def brute_force(docs):
+    """Number of shingles and component of every row of (doc_id, text)."""
+    sets = [plain_shingles(t) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                parent[root(i)] = root(j)
+    numbers = {}
+    for i, (doc_id, _) in enumerate(docs):
+        if sets[i]:
+            numbers.setdefault(root(i), []).append(doc_id)
+    return sorted((d, len(s), min(numbers[root(i)]) if s else d) for i, ((d, _), s) in enumerate(zip(docs, sets)))
+
+
+def texts_with_copies(draw, groups=12, copies=14, words=120, changes=9):
+    out = []
+    for _ in range(groups):
+        base = [f"w{draw.randrange(5000)}" for _ in range(draw.randint(5, words))]
+        for _ in range(draw.randint(1, copies)):
+            own = list(base)
+            for _ in range(draw.randint(0, changes)):
+                own[draw.randrange(len(own))] = f"c{draw.randrange(10**6)}"
+            out.append(" ".join(own))
+    return out
+
+
+def result(spark, docs, schema="doc_id LONG, text STRING"):
+    return sorted(tuple(r) for r in jaccard.similar_documents(spark.createDataFrame(docs, schema)).collect())
+
+
+@pytest.mark.parametrize("frequent", [0, 2, 8])
+def test_equals_brute_force(spark, monkeypatch, frequent):
+    """Also where most shingles are frequent, so that groups are large and mixed."""
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    draw = random.Random(frequent)
+    common = " ".join(f"p{i}" for i in range(30))
+    texts = texts_with_copies(draw)
+    texts += [f"{common} own{i} other{i}" if i % 2 else f"own{i} {common}" for i in range(20)]
+    docs = list(enumerate(draw.sample(texts, len(texts))))
+    assert result(spark, docs) == brute_force(docs)
+
+
+def test_defined_cases(spark):
+    long_text = " ".join(f"w{i % 7001}" for i in range(40_000))
+    docs = [
+        (1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  b"), (6, "a b c d e"), (7, "a b c d e"), (8, "a b c d e f"),
+        (9, long_text), (10, long_text + " end"), (9, long_text), (12, "a b"),
+    ]
+    assert result(spark, docs) == brute_force(docs)
+    assert result(spark, []) == []
+    assert result(spark, [(1, "x y", 3, "k")], "doc_id LONG, text STRING, key INT, token STRING") == [(1, 1, 1)]
+
+
+def test_null_numbers_never_name_a_component(spark):
+    got = jaccard.similar_documents(spark.createDataFrame([(None, "q r s"), (5, "q r s")], "doc_id LONG, text STRING"))
+    assert {tuple(r) for r in got.collect()} == {(None, 1, 5), (5, 1, 5)}
+
+
+def test_the_trie_finds_what_counting_finds():
+    draw = np.random.default_rng(5)
+    base = np.sort(draw.choice(10**6, 150, replace=False)).astype(np.uint64)
+    sets = []
+    for _ in range(200):
+        keep = base[draw.random(150) < draw.choice([0.5, 0.85, 0.95, 1.0])]
+        sets.append(np.unique(np.concatenate([keep, draw.choice(10**6, draw.integers(0, 30)).astype(np.uint64)])))
+    blobs = [s.astype(">u8").tobytes() for s in sets]
+    for query in sets[:20]:
+        expected = {
+            i for i, s in enumerate(sets)
+            if 100 * (k := len(np.intersect1d(query, s))) >= 80 * (len(query) + len(s) - k)
+        }
+        assert set(jaccard.overlap_tries(query, blobs)) == expected
+
+
+def test_bounds():
+    for a in range(1, 60):
+        for b in range(1, 60):
+            similar = [o for o in range(min(a, b) + 1) if 100 * o >= 80 * (a + b - o)]
+            if similar:
+                assert similar[0] == jaccard.least_overlap(a, b)
+                assert similar[0] > a - jaccard.prefix_size(a)
+
+
+def test_components_of_paths_stars_and_rings(spark):
+    draw = random.Random(6)
+    links = [(i, i + 1) for i in range(100, 160)] + [(1000, i) for i in range(500, 700)] + [(i, 900 + (i + 1) % 9) for i in range(900, 909)]
+    links += [(5, 5), (7, 6), (6, 7)]
+    got = graph.components(spark.createDataFrame(draw.sample(links, len(links)), "a LONG, b LONG").repartition(7))
+    expected = {x: 100 for x in range(100, 161)} | {x: 500 for x in [1000, *range(500, 700)]} | {x: 900 for x in range(900, 909)}
+    rows = [tuple(r) for r in got.collect()]
+    assert dict(rows) == expected | {6: 6, 7: 6}
+    assert len(rows) == len(dict(rows))
+
+
+def test_one_document_of_each_group_stays(spark):
+    docs = [(3, "a b c d e f"), (1, "A b c d e f"), (2, "other text"), (4, None), (4, None), (5, "x"), (5, "y")]
+    rows = [(d, t, "k", 7) for d, t in docs]
+    got = jaccard.one_of_each_group(spark.createDataFrame(rows, "doc_id LONG, text STRING, key STRING, n INT"))
+    assert got.columns == ["doc_id", "text", "key", "n"]
+    assert sorted(tuple(r)[:2] for r in got.collect() if r.doc_id != 4) == [(1, "A b c d e f"), (2, "other text"), (5, "x"), (5, "y")]
+    assert got.where("doc_id = 4").count() == 1
+
+
+def test_query_equals_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    got = queries.op8_jaccard(spark, folder)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(tuple(r) for r in got.collect()) == brute_force(docs)

@@ -1,0 +1,68 @@
+import zlib
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from tidegauge.llm import queries, shards
+
+
+def dealt(spark, rows, schema="doc_id LONG, text STRING", count=4, **options):
+    df = spark.createDataFrame(rows, schema)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    return [(r.shard, r.bucket, r.slot, *r.record) for r in shards.shuffle_shards(df, "doc_id", size, count, **options).collect()]
+
+
+def test_every_row_once_and_slots_gapless(spark):
+    rows = [(i, f"text {i}") for i in range(500)] + [(7, "text 7")] * 3 + [(None, None), (600, "")]
+    got = dealt(spark, rows, bucket_bytes=256)
+    assert Counter(r[3:] for r in got) == Counter(rows)
+    for shard in range(4):
+        assert sorted(r[2] for r in got if r[0] == shard) == list(range(sum(r[0] == shard for r in got)))
+    assert len({r[0] for r in got if r[3] == 7}) == 1  # rows of one key share a shard
+
+
+def test_buckets_are_permuted_and_the_same_again(spark):
+    rows = [(i, "x") for i in range(400)]
+    got = sorted(dealt(spark, rows))
+    for key in {r[:2] for r in got}:
+        ids = [r[3] for r in got if r[:2] == key]
+        assert ids != sorted(ids)
+    assert sorted(dealt(spark, rows)) == got
+    assert sorted(dealt(spark, rows, seed=21)) != got
+
+
+def test_one_more_shard_takes_rows_only_into_itself(spark):
+    ids = spark.range(3000)
+    of = [shards.shard_of(F.col("id"), n, 20).alias(f"s{n}") for n in (8, 9)]
+    got = ids.select(*of).collect()
+    assert all(r.s9 in (r.s8, 8) for r in got)
+    counts = Counter(r.s9 for r in got)
+    assert len(counts) == 9 and max(counts.values()) < 1.35 * min(counts.values())
+
+
+def test_a_key_that_many_rows_share_is_spread_over_buckets(spark):
+    got = dealt(spark, [(1, "same")] * 400, bucket_bytes=100)
+    counts = Counter(r[1] for r in got)
+    assert len(counts) > 4 and max(counts.values()) < 130
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert dealt(spark, []) == []
+    schema = "doc_id LONG, text STRING, shard STRING, slot INT, record STRING"
+    got = dealt(spark, [(1, "a", "s", 5, "r")], schema)
+    assert got[0][3:] == (1, "a", "s", 5, "r")
+
+
+def test_long_text(spark):
+    text = "é" * 3_000_000
+    assert dealt(spark, [(1, text), (2, "b")], bucket_bytes=1000)[0][4] in (text, "b")
+
+
+def test_query_over_all_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    got = queries.op2_shards(spark, folder).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r.size, r.text_crc32) == (len(docs[r.doc_id]) + 1, zlib.crc32(docs[r.doc_id]))
+        assert r.law == "key" and r.grown_shard in (r.shard, 8)

@@ -1,0 +1,73 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+
+from tidegauge.llm import textops
+
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_words(text):
+    return (text or "").encode().translate(LOWER).split()
+
+
+def plain_shingles(text):
+    words = plain_words(text)
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def hostile(draw, size):
+    return "".join(draw.choices(["a", "B", "é", " ", " ", "\n", "\t", "\x0b", "\x1c", "\u00a0", "\u2003", ".", "İ"], k=size))
+
+
+def hashes(texts):
+    words, rows = [], [0]
+    for _, _, own, at in textops.rows_of_words(pa.array(texts, pa.string())):
+        rows += [rows[-1] - at[0] + x for x in at[1:]]
+        words.append(own)
+    return (np.concatenate(words) if words else np.zeros(0, np.uint64)), np.array(rows)
+
+
+def test_words_and_shingles_equal_plain_python():
+    draw = random.Random(3)
+    texts = [hostile(draw, draw.randint(0, 60)) for _ in range(300)] + [None, "", "A b", "a B", "a b c d e", "ab", "ba"]
+    words, rows = hashes(texts)
+    known = {}
+    for text, start, end in zip(texts, rows, rows[1:]):
+        plain = plain_words(text)
+        assert len(plain) == end - start
+        for word, value in zip(plain, words[start:end].tolist()):
+            assert known.setdefault(word, value) == value
+    assert len(set(known.values())) == len(known)
+    sets = list(textops.shingle_hashes(words, rows))
+    plain = [plain_shingles(t) for t in texts]
+    assert [len(s) for s in sets] == [len(s) for s in plain]
+    for i in range(0, len(texts), 7):
+        for j in range(len(texts)):
+            assert len(np.intersect1d(sets[i], sets[j])) == len(plain[i] & plain[j])
+
+
+def test_blocks_do_not_change_words(monkeypatch):
+    draw = random.Random(4)
+    texts = [hostile(draw, 500), "x" * 400, "", "ab " * 90]
+    expected = hashes(texts)[0].tolist()
+    monkeypatch.setattr(textops, "BLOCK_BYTES", 37)
+    assert hashes(texts)[0].tolist() == expected
+
+
+def test_row_ranges_cover_all_rows():
+    texts = pa.array(["abc", None, "", "x" * 50, "y"])
+    ranges = list(textops.slices(texts, 10))
+    assert ranges[0][0] == 0 and ranges[-1][1] == 5
+    assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    assert list(textops.slices(pa.array([], pa.string()))) == []
+
+
+def test_sliced_columns():
+    texts = pa.array(["skip", "one two", "three"])
+    whole = [w for *_, w, _ in textops.rows_of_words(texts)][0].tolist()
+    part = [w for *_, w, _ in textops.rows_of_words(texts.slice(1))][0].tolist()
+    assert part == whole[1:]

@@ -1,0 +1,100 @@
+import re
+from itertools import combinations
+
+from pyspark.sql import functions as F
+
+from tidegauge.llm import queries, urls
+
+
+def plain_rule(url):
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host) :]).group()
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    fits = [(len(h + p), h + p, v) for v, h, p in urls.LISTED if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=(0, None, None))
+    return host, path, best[1], best[2]
+
+
+URLS = [
+    None, "", "no scheme", "http://EXAMPLE.com/en/x", "https://www.Example.com/en/x?q=1", "http://a.www.example.com/en/",
+    "http://example.com", "http://example.com/", "http://xexample.com/en/", "ftp://b.net/es/1#t", "http://net/fr/",
+    "http://c.net/ES/", "http://d.net?x=/es/", "http://ÉCOLE.com/en/\nx", "://com/a", "a://b://net/es/", "http://example.com:80/en/",
+]
+
+
+def judged(spark, rows, labels=(), **mining):
+    pages = spark.createDataFrame(rows, "page_id LONG, url STRING, rule STRING, host INT")
+    bad = spark.createDataFrame(list(labels), "page_id LONG, bad BOOLEAN")
+    return {r.page_id: r for r in urls.judge(pages, bad, **mining).collect()}
+
+
+def test_listed_rules(spark):
+    got = judged(spark, [(i, u, "x", 1) for i, u in enumerate(URLS)])
+    for i, u in enumerate(URLS):
+        host, path, rule, verdict = plain_rule(u)
+        assert (got[i].host, got[i].path, got[i].rule, got[i].verdict) == (host, path, rule, verdict or "allow"), u
+
+
+def sample():
+    rows, labels = [], []
+    for i in range(300):
+        host = ["spam.example.org", "good.example.org", "mixed.example.org"][i % 3]
+        path = ["/win/1", "/news/2"][i % 2]
+        rows.append((i, f"http://{host}{path}?ref={i}", None, None))
+        bad = i % 3 == 0 or (i % 3 == 2 and i % 2 == 0)
+        labels.append((i, bad if i % 10 else None))
+    return rows, labels
+
+
+def test_mined_rules_equal_counting_all_combinations(spark):
+    rows, labels = sample()
+    labelled = spark.createDataFrame([(rows[i][1], bad) for i, bad in labels], "url STRING, bad BOOLEAN")
+    got = {tuple(r.tokens): round(r.confidence, 9) for r in urls.mine_rules(labelled).collect()}
+    tokens = {r[0]: sorted(r[1]) for r in spark.createDataFrame([(r[0], r[1]) for r in rows], "id LONG, url STRING").select("id", urls.tokens_of(F.col("url"))).collect()}
+    known = [(set(tokens[i]), bad) for i, bad in labels if bad is not None]
+    expected = {}
+    every = sorted(set().union(*tokens.values()))
+    support = max(urls.MIN_SUPPORT, urls.MIN_PAGES / len(known))
+    for size in range(1, len(every) + 1):
+        for choice in combinations(every, size):
+            of = [bad for own, bad in known if own >= set(choice)]
+            if of and sum(of) >= support * len(known) - 1e-9 and sum(of) / len(of) >= urls.MIN_CONFIDENCE:
+                expected[choice] = round(sum(of) / len(of), 9)
+    pruned = {
+        c: v for c, v in expected.items()
+        if not any(set(d) < set(c) and w >= v for d, w in expected.items())
+    }
+    assert pruned and got == pruned
+
+
+def test_verdicts_of_mined_rules_equal_brute_force(spark):
+    rows, labels = sample()
+    labelled = spark.createDataFrame([(rows[i][1], bad) for i, bad in labels], "url STRING, bad BOOLEAN")
+    rules = [set(r.tokens) for r in urls.mine_rules(labelled).collect()]
+    got = judged(spark, rows, labels)
+    tokens = spark.createDataFrame([(r[0], r[1]) for r in rows], "id LONG, url STRING").select("id", urls.tokens_of(F.col("url")))
+    for i, own in tokens.collect():
+        assert got[i].mined == any(rule <= set(own) for rule in rules)
+        assert got[i].verdict == ("block" if got[i].mined else "allow")
+    assert {got[i].verdict for i in got} == {"allow", "block"}
+
+
+def test_empty_tables_and_repeated_rows(spark):
+    assert judged(spark, []) == {}
+    pages = spark.createDataFrame([(1, "http://a.org/x")] * 2 + [(None, None)], "page_id LONG, url STRING")
+    labels = spark.createDataFrame([(1, True), (1, False), (None, True)], "page_id LONG, bad BOOLEAN")
+    assert urls.judge(pages, labels).count() == 3
+
+
+def test_query_equals_listed_rules_where_nothing_is_mined(spark):
+    folder = "/root/testdata/sf0.001"
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url").collect()}
+    got = queries.op3_url_rules(spark, folder).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        host, path, rule, verdict = plain_rule(pages[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, rule)
+        assert verdict is None or r.verdict == verdict

@@ -33,6 +33,8 @@ CLOSING_ID = 1
 SEQUENCE_COST, SENTENCE_COST, WORD_COST = 1, 4, 16
 #: Where no sentence ends for so many tokens, a sequence may end within it.
 LONG_SENTENCE = 128
+#: Of the sentences that end within one such step the first is a candidate.
+SENTENCE_STEP = 32
 #: Lengths other than the full one that need no padding and are worth a sequence.
 SHORT_LENGTHS = (1024, 512, 256, 128)
 STRETCH = 1 << 18
@@ -75,17 +77,24 @@ def cuts(ends: np.ndarray, costs: np.ndarray, length: int = LENGTH, short=SHORT_
     return out[::-1]
 
 
+def _merged(*parts: np.ndarray) -> np.ndarray:
+    """The distinct numbers of sorted parts, in order."""
+    every = np.sort(np.concatenate(parts), kind="stable")
+    return every[np.diff(every, prepend=-1) > 0]
+
+
 def candidate_ends(doc_ends: np.ndarray, sentence_ends: np.ndarray, total: int, step: int = LONG_SENTENCE):
     """Possible ends in ``(0, total]`` with their penalties, none more than ``step`` apart."""
-    ends = np.union1d(doc_ends, sentence_ends)
-    ends = np.union1d(ends[(ends > 0) & (ends <= total)], [total])
+    docs, sentences = (x[(x > 0) & (x <= total)] for x in (doc_ends, sentence_ends))
+    sentences = sentences[np.diff(sentences // SENTENCE_STEP, prepend=-1) > 0]
+    ends = _merged(docs, sentences, np.array([total]))
     gaps = np.diff(ends, prepend=0)
     if (gaps > step).any():
         extra = [np.arange(e - g + step, e, step) for e, g in zip(ends[gaps > step], gaps[gaps > step])]
-        ends = np.union1d(ends, np.concatenate(extra))
+        ends = _merged(ends, np.concatenate(extra))
     costs = np.full(len(ends), WORD_COST, np.int64)
-    costs[np.isin(ends, sentence_ends)] = SENTENCE_COST
-    costs[np.isin(ends, doc_ends)] = 0
+    costs[np.searchsorted(ends, sentences)] = SENTENCE_COST
+    costs[np.searchsorted(ends, docs)] = 0
     costs[-1] = 0
     return ends, costs
 
@@ -132,7 +141,7 @@ class _Packer:
             return
         done, ids = chosen[-1], np.concatenate(self.ids)
         windows = np.array([0, *chosen], np.int64)
-        edges = np.union1d(windows, doc_ends[doc_ends < done])
+        edges = _merged(windows, doc_ends[doc_ends < done])
         begin, end = edges[:-1], edges[1:]
         doc, window = np.searchsorted(doc_ends, begin, "right"), np.searchsorted(windows, begin, "right") - 1
         sizes = np.array(self.doc_sizes, np.int64)
