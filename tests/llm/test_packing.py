@@ -1,0 +1,125 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tidegauge.llm import packing, queries, tokens
+
+PATH = public_tokenizers.path(queries.TOKENIZER)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(PATH)
+
+
+def ids_of(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.CLOSING_ID]
+
+
+HOSTILE = [
+    "", " ", "\n\n", "Hello, world!", "don't l'été 'style it's", "a<|endoftext|>b", "<|ENDOFTEXT|>", "ΑΣ ΑΣ. ΣΑΣ", "İstanbul",
+    "été, J̌ ǰ", "x y z　w", "\x1c\x1d\x85a", "tab\there", "a_b __ c", "1,234.5 ²½", "日本語。テスト", "🙂🙂!!",
+    "ß ẞ ﬁ", "A" * 5000, "!!!???...", "word." * 50, "́abc ́", "K K Å Å",
+]
+
+
+def test_ids_equal_the_tokenizers(tokenizer):
+    draw = random.Random(2)
+    alphabet = list("aB .,!'\n-_é1") + ["́", "Σ", "ñ", "<|", "\t", "İ", "’"]
+    texts = HOSTILE + ["".join(draw.choices(alphabet, k=draw.randint(1, 40))) for _ in range(2000)]
+    words = tokens.Words(PATH)
+    for start in range(0, len(texts), 50):
+        part = texts[start : start + 50]
+        ids, at, _ = words.encode(part)
+        for text, a, b in zip(part, at, at[1:]):
+            assert [*ids[a:b], 1] == ids_of(tokenizer, text), repr(text)
+
+
+def cost(sequence_ends, allowed, length=packing.LENGTH, short=packing.SHORT_LENGTHS):
+    total, start = 0, 0
+    for end in sequence_ends:
+        size = end - start
+        total += allowed[end] + packing.SEQUENCE_COST + (0 if size in short else length - size)
+        start = end
+    return total
+
+
+def test_cuts_are_the_cheapest():
+    draw = np.random.default_rng(3)
+    for _ in range(60):
+        ends = np.cumsum(draw.integers(1, 9, 14))
+        costs = draw.choice([0, 1, 3], 14)
+        costs[-1] = 0
+        allowed = dict(zip(ends.tolist(), costs.tolist()))
+        best = min(
+            (
+                cost(picked, allowed, 16, (8, 4))
+                for mask in range(1 << 13)
+                if max(np.diff(picked := [*(e for k, e in enumerate(ends[:-1].tolist()) if mask >> k & 1), int(ends[-1])], prepend=0)) <= 16
+            ),
+        )
+        assert cost(packing.cuts(ends, costs, 16, (8, 4)), allowed, 16, (8, 4)) == best
+
+
+def check(rows, docs, tokenizer):
+    """``rows`` as returned by pack; ``docs`` as (doc_id, text) with distinct numbers."""
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        ids = np.frombuffer(bytes(r.ids), "<u4").tolist()
+        assert len(ids) == r.length > 0
+        pieces[r.doc_id].append((r.start, ids, r.doc_tokens))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for doc_id, text in docs:
+        own = sorted(pieces.pop(doc_id))
+        expected = ids_of(tokenizer, text)
+        assert sum((ids for _, ids, _ in own), []) == expected
+        assert all(size == len(expected) for *_, size in own)
+        assert [s for s, *_ in own] == np.cumsum([0, *(len(i) for _, i, _ in own[:-1])]).tolist()
+    assert not pieces
+    padding = total = 0
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.LENGTH
+        total += at
+        padding += 0 if at & (at - 1) == 0 else packing.LENGTH - at
+    return padding / max(1, total)
+
+
+def test_pieces_of_hostile_and_long_documents(spark, tokenizer):
+    texts = HOSTILE + [None, "no end " * 9000, "Short one. " * 3000]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id LONG, text STRING").selectExpr("*", "1 AS ids", "2 AS length")
+    assert check(packing.pack(df.coalesce(1), PATH).collect(), docs, tokenizer) < 0.05
+
+
+def test_order_is_kept(spark):
+    df = spark.createDataFrame([(i, "Some words here. " * (i % 90)) for i in range(300)], "doc_id LONG, text STRING").coalesce(1)
+    rows = sorted(packing.pack(df, PATH).collect(), key=lambda r: (r.sequence_id, r.offset))
+    assert [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
+
+
+def test_empty_table_and_repeated_rows(spark):
+    df = spark.createDataFrame([], "doc_id LONG, text STRING")
+    assert packing.pack(df, PATH).collect() == []
+    df = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id LONG, text STRING")
+    rows = packing.pack(df, PATH).collect()
+    assert sum(r.length for r in rows) == 3 + 3 + 2
+
+
+def test_query(spark, tokenizer):
+    folder = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    expected = {d: ids_of(tokenizer, t) for d, t in docs.items()}
+    rows = queries.op1_packing(spark, folder).collect()
+    assert sum(r.length for r in rows) == sum(map(len, expected.values()))
+    for r in rows:
+        own = np.array(expected[r.doc_id][r.start : r.start + r.length], "<u4").tobytes()
+        assert (r.ids_crc32, r.doc_tokens) == (zlib.crc32(own), len(expected[r.doc_id]))

@@ -29,7 +29,7 @@ LEAST = 0.98
 SHARD_VECTORS = 8192
 BEAM = 24
 RECALL = 0.995
-AUDITED = 48
+AUDITED = 256
 
 
 def _unit(values: pa.ListArray, width: int) -> np.ndarray:
@@ -57,14 +57,14 @@ def links_between(queries: np.ndarray, index: hnsw.Graph, same: bool, least: flo
     truth = [np.flatnonzero(index.vectors @ queries[i] >= least) for i in audited]
     beam = BEAM
     while beam < len(index.vectors):
-        hits = sum(len(np.intersect1d(index.similar(queries[i], least, beam), t)) for i, t in zip(audited, truth))
+        hits = sum(len(np.intersect1d(index.similar(queries[i], least, beam, i if same else None), t)) for i, t in zip(audited, truth))
         if hits >= RECALL * sum(map(len, truth)):
             break
         beam *= 2
     found = []
     for i in range(n):
         if beam < len(index.vectors):
-            own = index.similar(queries[i], least, beam)
+            own = index.similar(queries[i], least, beam, i if same else None)
         else:
             own = np.flatnonzero(index.vectors @ queries[i] >= least)
         found.append(own[own != i] if same else own)

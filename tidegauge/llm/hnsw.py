@@ -96,17 +96,20 @@ class Graph:
         if level > self.top:
             self.entry, self.top = node, level
 
-    def similar(self, query: np.ndarray, least: float, beam: int) -> np.ndarray:
-        """Nodes of at least this similarity that a beam finds, and all that hang together with them."""
+    def similar(self, query: np.ndarray, least: float, beam: int, known: int | None = None) -> np.ndarray:
+        """Nodes of at least this similarity that a beam finds, and all that hang together with them.
+
+        ``known`` is the query's own node, if it is in the graph: the walk starts from it too.
+        """
         starts = [self.entry]
         for level in range(self.top, 0, -1):
             starts = [self._beam(query, starts, 1, level)[0][1]]
         found = self._beam(query, starts, beam, 0)
         inside = np.array([x for s, x in found if s >= least], np.int32)
+        if known is not None:
+            inside = np.union1d(inside, [known]).astype(np.int32)
         if not len(inside):
             return inside
-        # The beam's marks stay valid: nodes it has seen and not kept are less similar than those it kept,
-        # unless all it kept are inside; then the walk goes on from them afresh.
         self._stamp += 1
         self._seen[inside] = self._stamp
         parts, edge = [inside], inside

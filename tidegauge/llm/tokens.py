@@ -72,8 +72,9 @@ class Words:
             return
         counts, runs = [], []
         for word in new:
-            # Whole: what is joined across marks (contractions, special tokens) or composed of several characters.
-            if word.isalnum() or "'" in word or "<|" in word or not (word.isascii() or _composed(word)):
+            # Whole: what is joined across marks (contractions, special tokens, the dot of a lower-cased İ) or
+            # composed of several characters.
+            if word.isalnum() or any(x in word for x in ("'", "<|", "İ")) or not (word.isascii() or _composed(word)):
                 parts = [word]
             else:
                 parts = _RUN.findall(word)
