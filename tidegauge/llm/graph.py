@@ -29,12 +29,25 @@ def spanning_stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(x, r) for x in list(parent) if (r := root(x)) != x]
 
 
+#: Links a task gathers before it passes their forest on.
+GATHERED = 500_000
+
+
+def _forest(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    stars = spanning_stars(links)
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in stars], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[int, int]] = []
     for batch in batches:
-        stars = spanning_stars(list(zip(batch["a"].to_pylist(), batch["b"].to_pylist())))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x for x, _ in stars], pa.int64()), pa.array([r for _, r in stars], pa.int64())], names=["a", "b"]
-        )
+        held += zip(batch["a"].to_pylist(), batch["b"].to_pylist())
+        if len(held) >= GATHERED:
+            held = spanning_stars(held)
+            if len(held) >= GATHERED // 2:
+                yield _forest(held)
+                held = []
+    yield _forest(held)
 
 
 def _fingerprint(links: DataFrame):
@@ -47,26 +60,35 @@ def _with_least(links: DataFrame) -> DataFrame:
     return links.join(least, "a")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """``node`` and ``component``, the smallest node it is connected to, for every node of ``links`` (a, b).
 
-    Links are contracted batch by batch first. Then large and small stars alternate until nothing
+    Links are contracted task by task first. Then large and small stars alternate until nothing
     changes: each hangs a node's neighbours on the smallest of them, so that the number of rounds
     grows with the logarithm of the longest path, and no task ever holds a node's links together.
+
+    After ``rounds`` rounds, if given, the work ends: nodes of one component are then connected, but
+    connected nodes may be in several.
     """
     links = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     links = written(links.mapInArrow(_contract, "a long, b long").distinct())
-    seen = _fingerprint(links)
+    seen = None if rounds else _fingerprint(links)
+    done = 0
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _with_least(both).where("b > a")
-        large = large.select(F.col("b").alias("a"), F.least("least", "a").alias("b")).distinct()
-        small = _with_least(large)
+        large = _with_least(both).where("b > a").select(F.col("b").alias("a"), F.least("least", "a").alias("b"))
+        small = _with_least(large.distinct())
         # A node's smaller neighbours and the node itself hang on the smallest of them.
         small = small.select(F.col("a"), F.col("least").alias("b")).unionByName(
             small.where("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         )
+        done += 1
+        if done == rounds:
+            ends = small.unionByName(small.select(F.col("b").alias("a"), "b"))
+            return ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
         links = written(small.distinct())
+        if rounds:
+            continue
         now = _fingerprint(links)
         if now == seen:
             return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(

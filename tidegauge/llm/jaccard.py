@@ -10,10 +10,10 @@ once, and a subtree is pruned where overlap and remaining length cannot reach th
 
 A group is the sets that share a shingle; two of them are compared if what follows that shingle in both
 is long enough for the similarity. Not all pairs of a group are: every set is first compared with the
-smallest of its groups; then, where a group lies in several components, with a few sets that each
-group chooses by hash, and again while that finds links readily. All of this is linear, and it leaves large
-groups of copies in one component. The remaining pairs of a group in different components are then
-compared, all of them. Equal sets are one class throughout.
+smallest of its groups; then, where a large group lies in several components, ``TURNS`` times with a
+few sets that the group chooses by hash. All of this is linear, and it leaves large groups of copies in one
+component. The remaining pairs of a group in different components are then compared, all of them.
+Equal sets are one class throughout.
 
 Defined cases: null and empty texts have no set and link with nothing; texts of fewer than five
 words have one shingle, the whole sequence; repeated rows and numbers keep their rows; texts are
@@ -39,17 +39,17 @@ NUMERATOR, DENOMINATOR = 80, 100
 FREQUENT = 8
 LISTED = 1_000_000
 #: Shingles a task gathers before it passes them on.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 #: Candidates a trie holds.
 TRIE_SETS = 512
 #: Numbers of compared documents are broadcast up to this many.
 BROADCAST_DOCS = 1_000_000
 STEP = 64
-#: Sets a group chooses at a time. Groups go on choosing while one in ``READY`` of the pairs compared is a
-#: link, and there is one for ``MATTERS`` rows of the groups.
-CHOICES = 16
-READY = 100
-MATTERS = 1000
+#: Sets a group of more members chooses at a time, and how often it does before the rest is compared.
+CHOICES = 48
+TURNS = 2
+#: Rounds of joining components between the turns; sets taken to be unconnected only cost comparisons.
+ROUNDS = 2
 
 
 def least_overlap(a: int, b: int) -> int:
@@ -71,6 +71,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     """Row number and set of every row."""
     for start, end, words, rows in textops.rows_of_words(batch["text"]):
         yield from enumerate(textops.shingle_hashes(words, rows), start)
+    pa.default_memory_pool().release_unused()
 
 
 def overlap_tries(query: np.ndarray, blobs: list[bytes]) -> list[int]:
@@ -150,7 +151,7 @@ class Join:
     """The join of one table of texts (doc_id, text)."""
 
     def __init__(self, docs: DataFrame):
-        self.spark = docs.sparkSession
+        self.spark = textops.small_batches(docs.sparkSession)
         self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
         # So many buckets that a bucket's share of the shingles fits in a task at any size of input.
         self.bits = max(8, math.ceil(math.log2(8 * self.docs.rdd.getNumPartitions())))
@@ -282,7 +283,7 @@ class Join:
                     if len(first) < size:
                         hot.append((token[is_hot][: size - len(first)], key, len(first)))
                     flushed += size
-                    if flushed >= GATHERED // 2:
+                    if flushed >= GATHERED:
                         yield flush()
                         flushed = 0
             if flushed:
@@ -346,12 +347,13 @@ class Join:
         smallest = incidences.groupBy("token").agg(F.min(_other("key")).alias("other"))
         return _comparable(incidences.join(smallest, "token").where(F.col("key") != F.col("other.key")))
 
-    def mixed(self, incidences: DataFrame, parts: DataFrame) -> DataFrame:
-        """The incidences of groups in several components, with the component of each as ``part``."""
+    def mixed(self, incidences: DataFrame, parts: DataFrame, least: int) -> DataFrame:
+        """The incidences of groups of ``least`` sets in several components, with the component of each as ``part``."""
         part = F.coalesce("component", "key").alias("part")
         placed = incidences.join(parts.withColumnRenamed("node", "key"), "key", "left")
         placed = placed.select("token", "key", "place", "n", part)
-        several = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y")
+        several = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("sets"))
+        several = several.where((F.col("x") != F.col("y")) & (F.col("sets") >= least))
         return placed.join(several.select("token"), "token", "left_semi")
 
     def chosen_pairs(self, mixed: DataFrame, turn: int) -> DataFrame:
@@ -413,21 +415,14 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     incidences = written(join.incidences(frequent).join(sizes, "key"))
     done = written(join.first_pairs(incidences))
     links = written(join.links(done, classes, frequent))
-    parts = written(graph.components(links))
-    turn, ready = 0, True
-    while True:
-        turn += 1
-        mixed = written(join.mixed(incidences, parts))
-        pairs = join.chosen_pairs(mixed, turn) if ready else join.remaining_pairs(mixed)
+    for turn in range(TURNS + 1):
+        choosing = turn < TURNS
+        mixed = written(join.mixed(incidences, graph.components(links, ROUNDS), CHOICES + 1 if choosing else 2))
+        pairs = join.chosen_pairs(mixed, turn) if choosing else join.remaining_pairs(mixed)
         pairs = written(pairs.join(done, ["a", "b"], "left_anti"))
-        more = written(join.links(pairs, classes, frequent))
-        found = more.count()
-        if found:
-            links, done = links.unionByName(more), done.unionByName(pairs)
-            parts = written(graph.components(links))
-        if not ready:
-            break
-        ready = found * READY >= pairs.count() and found * MATTERS >= mixed.count() > 0
+        links = links.unionByName(written(join.links(pairs, classes, frequent)))
+        done = done.unionByName(pairs)
+    parts = graph.components(links)
     part = F.coalesce("component", "key").alias("part")
     placed = classes.join(parts.withColumnRenamed("node", "key"), "key", "left").select("doc_id", "n_shingles", part)
     least = placed.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"))

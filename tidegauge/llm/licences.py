@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegauge.llm import textops
 from tidegauge.session import written
 
 LEAST = 0.6
@@ -187,6 +188,7 @@ def scan(files: DataFrame, is_licence_file: Column | None = None, path: str = "p
 
     ``is_licence_file`` is a condition on ``file`` and ``own``; by default the customary file names.
     """
+    textops.small_batches(files.sparkSession)
     kept = F.struct(*[F.col(f"`{c}`") for c in files.columns if c != text]).alias("file")
     licence = own_licence(files, text)(F.col(text).cast("string")).alias("own")
     scanned = written(files.select(kept, licence, folder_of(F.col(path)).alias("folder")))

@@ -184,6 +184,7 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         if packer:
             yield from packer.pack(last=True)
 
+    textops.small_batches(docs.sparkSession)
     doc_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (
         f"doc_id {doc_type}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"

@@ -136,6 +136,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
     """Fit on at most ``rows`` documents labelled in ``labels`` (doc_id, quality)."""
+    textops.small_batches(docs.sparkSession)
     one = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     one = one.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     # The sample is bounded, so it may be broadcast and its features collected.
@@ -165,7 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
 
 def scorer(docs: DataFrame, machine: Machine):
     """A column function: text to score."""
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    shared = textops.small_batches(docs.sparkSession).sparkContext.broadcast(machine)
 
     @F.arrow_udf(T.DoubleType())
     def score(texts: pa.Array) -> pa.Array:

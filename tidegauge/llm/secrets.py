@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegauge.llm import textops
 from tidegauge.session import written
 
 #: Kind, pattern, the group whose length counts, and its least length. The first three.
@@ -73,6 +74,7 @@ def content_of(text: Column) -> Column:
 
 def scan_unseen(texts: DataFrame, ledger: DataFrame | None = None, text: str = "text") -> DataFrame:
     """Ledger rows for the contents of ``texts`` that ``ledger`` lacks under the present rules."""
+    textops.small_batches(texts.sparkSession)
     content = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     unseen = texts.select(content_of(F.col(text)).alias("content"), content)
     if ledger is not None:

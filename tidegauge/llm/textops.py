@@ -12,10 +12,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SHINGLE = 5
 
+#: Rows sent to a Python worker at a time; texts are long.
+BATCH_ROWS = 1000
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _BYTE_HASH = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
@@ -25,6 +29,14 @@ _INVERSE = pow(_FACTOR, -1, 2**64)
 _PLACES = np.random.default_rng(12).integers(1, 2**63, 2 * SHINGLE, dtype=np.uint64) | np.uint64(1)
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Let this session send rows to Python workers in batches of at most ``BATCH_ROWS``."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting, "0")) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+    return spark
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
