@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -142,6 +143,11 @@ def _split(token: np.ndarray) -> list[tuple[int, slice]]:
     return [(int(bucket[s]), slice(s, e)) for s, e in zip(edges.tolist(), ends)]
 
 
+def _written_small(df: DataFrame) -> DataFrame:
+    """``df`` as a table in files of the advised size, however many tasks made it."""
+    return written(df.hint("rebalance"))
+
+
 def _shortener(bits: int):
     """Bucket (of so many bits) and 32 bits within it; two shingles of one short token only make candidates."""
     return lambda hashes: hashes >> np.uint64(32 - bits)
@@ -171,7 +177,7 @@ class Join:
                 )
 
         kind = self.docs.schema["doc_id"].dataType.simpleString()
-        return written(self.docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, key long"))
+        return _written_small(self.docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, key long"))
 
     def frequent(self) -> np.ndarray:
         """Short tokens of the frequent shingles, ascending: a list of bounded size."""
@@ -221,7 +227,7 @@ class Join:
             return pa.table({"token": token[many].astype(np.int64) + number, "documents": total[many]})
 
         gathered = self.docs.select("text").mapInArrow(gather, "bucket int, tokens binary, counts binary")
-        counted = written(gathered.groupBy("bucket").applyInArrow(count, "token long, documents long"))
+        counted = _written_small(gathered.groupBy("bucket").applyInArrow(count, "token long, documents long"))
         least = FREQUENT
         while counted.where(F.col("documents") > least).count() > LISTED:
             least *= 2
@@ -307,7 +313,7 @@ class Join:
             return pa.table({"token": token, "key": key, "place": place.astype(np.int64)})
 
         gathered = self.docs.select("text").mapInArrow(gather, "bucket int, tokens binary, keys binary, places binary")
-        return written(gathered.groupBy("bucket").applyInArrow(meet, "token long, key long, place long"))
+        return gathered.groupBy("bucket").applyInArrow(meet, "token long, key long, place long")
 
     def sets(self, classes: DataFrame, keys: DataFrame, frequent) -> DataFrame:
         """``key`` and ``set`` of the wanted classes, in the order of the trie.
@@ -332,15 +338,18 @@ class Join:
         if wanted.count() <= BROADCAST_DOCS:
             wanted = F.broadcast(wanted)
         texts = self.docs.join(wanted, "doc_id", "left_semi").select("text")
-        return written(texts.mapInArrow(run, "key long, set binary"))
+        # Kept by the executors, and read from the documents again where one is lost.
+        return texts.mapInArrow(run, "key long, set binary").persist(StorageLevel.DISK_ONLY)
 
     def links(self, pairs: DataFrame, classes: DataFrame, frequent) -> DataFrame:
-        """The similar ones of ``pairs`` (a, b)."""
+        """The similar ones of ``pairs`` (a, b), as a table."""
         met = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
         sets = self.sets(classes, met, frequent)
         of_b = pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
         both = of_b.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
-        return both.select("a", "set_a", "b", "set_b").mapInArrow(_compare, "a long, b long")
+        found = _written_small(both.select("a", "set_a", "b", "set_b").mapInArrow(_compare, "a long, b long"))
+        sets.unpersist()
+        return found
 
     def first_pairs(self, incidences: DataFrame) -> DataFrame:
         """Every class with the smallest of each group it is in."""
@@ -414,13 +423,13 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     sizes = classes.where("key is not null").groupBy("key").agg(F.min("n_shingles").alias("n"))
     incidences = written(join.incidences(frequent).join(sizes, "key"))
     done = written(join.first_pairs(incidences))
-    links = written(join.links(done, classes, frequent))
+    links = join.links(done, classes, frequent)
     for turn in range(TURNS + 1):
         choosing = turn < TURNS
         mixed = written(join.mixed(incidences, graph.components(links, ROUNDS), CHOICES + 1 if choosing else 2))
         pairs = join.chosen_pairs(mixed, turn) if choosing else join.remaining_pairs(mixed)
         pairs = written(pairs.join(done, ["a", "b"], "left_anti"))
-        links = links.unionByName(written(join.links(pairs, classes, frequent)))
+        links = links.unionByName(join.links(pairs, classes, frequent))
         done = done.unionByName(pairs)
     parts = graph.components(links)
     part = F.coalesce("component", "key").alias("part")
