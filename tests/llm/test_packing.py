@@ -28,7 +28,10 @@ HOSTILE = [
 ]
 
 
-def test_ids_equal_the_tokenizers(tokenizer):
+@pytest.mark.parametrize("remembered", [400_000, 60])
+def test_ids_equal_the_tokenizers(tokenizer, monkeypatch, remembered):
+    monkeypatch.setattr(tokens, "REMEMBERED_WORDS", remembered)
+    monkeypatch.setattr(tokens, "KEPT_WORDS", remembered // 2)
     draw = random.Random(2)
     alphabet = list("aB .,!'\n-_é1") + ["́", "Σ", "ñ", "<|", "\t", "İ", "’"]
     texts = HOSTILE + ["".join(draw.choices(alphabet, k=draw.randint(1, 40))) for _ in range(2000)]

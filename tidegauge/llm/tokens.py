@@ -2,8 +2,8 @@
 
 The tokenizer divides a text at white space, so the ids of a text are those of its words one after
 another; and a word between letters or digits and other marks, so the ids of a word are those of its
-runs. Each distinct word is looked at once per worker process and each distinct run encoded once;
-texts are put together from the tables with numpy.
+runs. Each distinct word is looked at and each distinct run encoded once per worker process, as long
+as it is remembered; texts are put together from the table of words with numpy.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ import unicodedata
 
 import numpy as np
 
-#: Words a worker remembers (some 200 bytes each); beyond that it starts anew.
-REMEMBERED_WORDS = 1_000_000
+#: Words a worker remembers at most (some 200 bytes each), and how many of the most used it keeps then.
+REMEMBERED_WORDS = 400_000
+KEPT_WORDS = 200_000
 _RUN = re.compile(r"[^\W_]+|(?:[^\w]|_)+")
 
 
@@ -38,67 +39,66 @@ def _joined(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray, chosen: np.
     return pool[np.repeat(starts[chosen] - (ends - own), own) + np.arange(total)], ends
 
 
-class _Pool:
-    """Number arrays one after another, by number."""
-
-    def __init__(self):
-        self.starts = self.sizes = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
-
-    def add(self, sizes: np.ndarray, values: np.ndarray) -> None:
-        self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.pool = np.concatenate([self.pool, values])
-
-
 class Words:
-    """Ids by word."""
+    """Ids by word: those of word ``k`` are ``pool[starts[k] : starts[k] + sizes[k]]``."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.words, self.runs = _Numbers(), _Numbers()
-        self.word_ids, self.run_ids = _Pool(), _Pool()
+        self.words = _Numbers()
+        self.starts = self.sizes = self.used = np.zeros(0, np.int64)
         self.ends = np.zeros(0, bool)
+        self.pool = np.zeros(0, np.int32)
+
+    def _forget(self) -> None:
+        """Keep the words used most."""
+        chosen = np.sort(np.argpartition(-self.used, KEPT_WORDS)[:KEPT_WORDS])
+        every = list(self.words)
+        self.words = _Numbers((every[k], n) for n, k in enumerate(chosen.tolist()))
+        self.pool, ends = _joined(self.pool, self.starts, self.sizes, chosen)
+        self.sizes, self.ends, self.used = self.sizes[chosen], self.ends[chosen], self.used[chosen]
+        self.starts = ends - self.sizes
 
     def _encode_new(self) -> None:
-        new = list(itertools.islice(self.words, len(self.ends), None))
-        if not new:
-            return
-        counts, runs = [], []
-        for word in new:
+        known = len(self.sizes)
+        composite: list[int] = []
+        counts, parts = [], []
+        for k, word in enumerate(list(itertools.islice(self.words, known, None)), known):
             # Whole: what is joined across marks (contractions, special tokens, the dot of a lower-cased İ) or
             # composed of several characters.
             if word.isalnum() or any(x in word for x in ("'", "<|", "İ")) or not (word.isascii() or _composed(word)):
-                parts = [word]
-            else:
-                parts = _RUN.findall(word)
-            counts.append(len(parts))
-            runs += parts
-        known = len(self.run_ids.sizes)
-        chosen = np.fromiter(map(self.runs.__getitem__, runs), np.int64, len(runs))
-        ids = [
-            e.ids
-            for e in self.tokenizer.encode_batch_fast(
-                list(itertools.islice(self.runs, known, None)), add_special_tokens=False
-            )
-        ]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.run_ids.add(sizes, np.fromiter(itertools.chain.from_iterable(ids), np.int32))
-        values, ends = _joined(self.run_ids.pool, self.run_ids.starts, self.run_ids.sizes, chosen)
-        word_ends = np.concatenate([[0], ends])[np.cumsum(counts)]
-        self.word_ids.add(np.diff(word_ends, prepend=0), values)
+                continue
+            runs = _RUN.findall(word)
+            if len(runs) > 1:
+                composite.append(k)
+                counts.append(len(runs))
+                parts += [self.words[run] for run in runs]  # runs are words too, and new ones follow
+        new = list(itertools.islice(self.words, known, None))
+        if not new:
+            return
+        divided = np.zeros(len(new), bool)
+        divided[np.array(composite, np.int64) - known] = True
+        whole = np.flatnonzero(~divided)
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([new[k] for k in whole], add_special_tokens=False)]
+        sizes, starts = np.zeros((2, len(new)), np.int64)
+        sizes[whole] = np.fromiter(map(len, ids), np.int64, len(ids))
+        starts[whole] = len(self.pool) + np.cumsum(sizes[whole]) - sizes[whole]
+        self.pool = np.concatenate([self.pool, np.fromiter(itertools.chain.from_iterable(ids), np.int32)])
+        self.sizes, self.starts = np.concatenate([self.sizes, sizes]), np.concatenate([self.starts, starts])
+        values, ends = _joined(self.pool, self.starts, self.sizes, np.array(parts, np.int64))
+        word_ends = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
+        self.sizes[composite] = np.diff(word_ends)
+        self.starts[composite] = len(self.pool) + word_ends[:-1]
+        self.pool = np.concatenate([self.pool, values])
         self.ends = np.concatenate([self.ends, np.array([w[-1:] in (".", "!", "?") and w != "" for w in new], bool)])
+        self.used = np.concatenate([self.used, np.zeros(len(new), np.int64)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts together, tokens before each text (one more at the end), sentence ends."""
         if len(self.words) > REMEMBERED_WORDS:
-            self._clear()
+            self._forget()
         words, counts = [], [0]
         for text in texts:
             low = text.lower()
@@ -109,7 +109,8 @@ class Words:
             counts.append(len(words))
         numbers = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         self._encode_new()
-        ids, ends = _joined(self.word_ids.pool, self.word_ids.starts, self.word_ids.sizes, numbers)
+        self.used += np.bincount(numbers, minlength=len(self.used))
+        ids, ends = _joined(self.pool, self.starts, self.sizes, numbers)
         at = np.concatenate([[0], ends])[counts]
         return ids, at, ends[self.ends[numbers]]
 
