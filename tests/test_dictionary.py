@@ -30,31 +30,42 @@ def test_empty_dictionary(spark):
 def test_small_dictionary_is_broadcast_and_a_large_one_is_not(spark, device_types):
     large = d.Dictionary(device_types.frame, device_types.rows, broadcast_rows=4)
     one_hot_id = events(spark, [3] * 400 + [1, 9])
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        assert "BroadcastHashJoin" in plan(enrich(one_hot_id, device_types))
-        shuffled = enrich(one_hot_id, large)
-        assert "Broadcast" not in plan(shuffled)
-        assert "_salt" in plan(shuffled)
-        assert per_type(shuffled) == per_type(enrich(one_hot_id, device_types))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "BroadcastHashJoin" in plan(enrich(one_hot_id, device_types))
+    shuffled = enrich(one_hot_id, large)
+    assert per_type(shuffled) == per_type(enrich(one_hot_id, device_types))
+    # At the session's own threshold, which five rows are far below.
+    assert "SortMergeJoin" in plan(shuffled) and "Broadcast" not in plan(shuffled)
 
 
 def plan(df):
+    df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_salts_spread_identical_events_of_one_id(spark, device_types):
+def test_a_hot_id_is_split_into_more_tasks_as_it_grows(spark, device_types):
     large = d.Dictionary(device_types.frame, device_types.rows, broadcast_rows=0)
-    same = events(spark, [3] * 3200)
-    spread = enrich(same, large, salts=8)
-    assert per_type(spread) == {"weather_station": 3200}
-    salts = same.select(F.floor(F.rand(seed=8) * 8).alias("s")).groupBy("s").count().collect()
-    assert len(salts) == 8 and max(r["count"] for r in salts) < 800
+    small_limits = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+    }
+    for key, value in small_limits.items():
+        spark.conf.set(key, value)
+    try:
+        tasks = []
+        for size in (2_000, 20_000):
+            ids = spark.range(size).select(F.when(F.col("id") % 50 == 0, F.col("id") % 4).otherwise(3).alias("i"))
+            rows = ids.select(
+                F.col("i").cast("int").alias("device_type_id"), F.lit(0).cast("timestamp").alias("event_time"),
+                F.rand(1).alias("temperature"), F.rand(2).alias("humidity"),
+            ).repartition(16)
+            joined = enrich(rows, large)
+            tasks.append(joined._jdf.queryExecution().toRdd().getNumPartitions())
+            assert joined.count() == size
+        assert tasks[1] > 2 * tasks[0]
+    finally:
+        for key in small_limits:
+            spark.conf.unset(key)
 
 
 def test_snapshot_does_not_see_later_changes(spark, tmp_path):
@@ -125,3 +136,9 @@ def test_jdbc_read_takes_two_columns_and_the_callers_credentials(spark):
     assert Session.read.calls == [
         ("jdbc", ("jdbc:postgresql://host/db", "device_types"), {"properties": {"user": "u", "password": "p"}})
     ]
+
+
+def test_a_wide_id_is_written_in_its_type(spark, tmp_path):
+    path = str(tmp_path / "types")
+    d.replace_table(spark.createDataFrame([(1, "a")], "id LONG, type_name STRING"), path)
+    assert [tuple(r) for r in d.read_table(spark, path).collect()] == [(1, "a")]

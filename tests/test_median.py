@@ -84,3 +84,10 @@ def test_written_tables_are_the_default(spark):
     groups = random_groups(3)
     rows = weighted_median(counted(spark, groups), ["g"], "v", "n", large_group=100, range_rows=50).collect()
     assert {r["g"]: r["median"] for r in rows} == {g: statistics.median(v) for g, v in groups.items()}
+
+
+@pytest.mark.parametrize("large_group", [10**6, 0])
+def test_the_middle_of_an_odd_group_is_the_reading_itself(spark, large_group):
+    groups = {"one": [1.7e308], "three": [-1.7e308, 1.7e308, 1.7e308]}
+    assert {g: r[2] for g, r in medians(counted(spark, groups), large_group=large_group, range_rows=1).items()} == {
+        "one": 1.7e308, "three": 1.7e308}

@@ -67,3 +67,14 @@ def test_mean_of_special_values(spark):
     assert mean(spark, [1.0, math.inf]) == math.inf
     assert math.isnan(mean(spark, [math.inf, -math.inf]))
     assert mean(spark, [1e300, 1e300, 3.0]) == (1e300 + 1e300) / 3
+
+
+def test_fine_and_large_readings(spark):
+    assert mean(spark, [1e-20]) == 1e-20
+    assert mean(spark, [3.3e-6]) == 3.3e-6
+    draw = random.Random(12)
+    for _ in range(12):
+        values = [draw.choice([-1, 1]) * math.ldexp(1 + draw.random(), draw.randint(-300, 300)) for _ in range(40)]
+        expected = math.fsum(values) / len(values)
+        for partitions in (1, 3):
+            assert math.isclose(mean(spark, values, partitions), expected, rel_tol=1e-12)

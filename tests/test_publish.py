@@ -91,3 +91,26 @@ def test_topics_need_only_the_connector(spark, tmp_path):
     for attempt in attempts:
         with pytest.raises(AnalysisException, match="(?i)kafka"):
             attempt()
+
+
+def test_bad_aggregate_messages_are_kept_apart(spark):
+    from tidegauge.operators.publish import read_aggregate_messages, rejected_aggregate_messages
+
+    good = (
+        '{"window_start":"10:00","window_end":"10:01","device_type":"a","avg_temperature":1.5,"median_humidity":null}'
+    )
+    partial = '{"window_start":"10:00","window_end":"10:01","device_type":"a"}'
+    wrong = good.replace("1.5", '"warm"')
+    df = spark.createDataFrame([(t,) for t in (good, "garbage", "", None, partial, wrong, "[1]")], "value STRING")
+    assert [tuple(r) for r in read_aggregate_messages(df).collect()] == [("10:00", "10:01", "a", 1.5, None)]
+    rejected = {r.value: r.reason for r in rejected_aggregate_messages(df).collect()}
+    assert rejected == {
+        "garbage": "malformed_json", "": "malformed_json", None: "malformed_json", "[1]": "malformed_json",
+        wrong: "malformed_json", partial: "missing_avg_temperature",
+    }
+
+
+def test_no_batch_written_means_no_rows(spark, tmp_path):
+    from tidegauge.sources.sinks import read_aggregates
+
+    assert read_aggregates(spark, str(tmp_path / "none")).collect() == []

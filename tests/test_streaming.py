@@ -11,7 +11,7 @@ from tidegauge.sources.dictionary import Dictionary
 from tidegauge.sources.messages import read_files, stream_files
 from tidegauge.sources.sinks import files_writer, read_aggregates
 from tidegauge.streaming import sensor_stream
-from tidegauge.streaming.progress import DeliveryListener, delivery_report
+from tidegauge.streaming.progress import DeliveryListener, DeliveryTotals, delivery_report
 
 
 class Feed:
@@ -227,3 +227,39 @@ def test_rocksdb_state_store(spark, feed):
     finally:
         feed.stop()
         spark.conf.set(key, before)
+
+
+def test_totals_hold_every_batch_however_short_the_history(spark, device_types, tmp_path):
+    folder = tmp_path / "messages"
+    folder.mkdir()
+    for i in range(5):
+        (folder / f"{i}.json").write_text("\n".join([message(), "broken"]) + "\n")
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        with DeliveryTotals(spark) as deliveries:
+            query = sensor_stream.start(
+                stream_files(spark, str(folder), max_files=1), device_types, files_writer(str(tmp_path / "rows")),
+                str(tmp_path / "checkpoint"), availableNow=True,
+            )
+            totals = deliveries.wait(query)
+        assert totals == {"input_rows": 10, "rejected": 5, "late_groups_dropped": 0}
+        assert sum(r["input_rows"] for r in delivery_report(query)) < 10
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+
+
+def test_one_parse_serves_both_outcomes(spark, device_types, tmp_path):
+    folder = tmp_path / "messages"
+    folder.mkdir()
+    texts = [at("2026-06-01T23:59:10Z", humidity="1"), "broken", at("2026-06-01T23:59:20Z", humidity="3"), at("2026-06-02T00:00:05Z")]
+    (folder / "1.json").write_text("\n".join(texts) + "\n")
+    split = str(tmp_path / "split")
+    query = sensor_stream.start_split(stream_files(spark, str(folder)), split, str(tmp_path / "c1"), availableNow=True)
+    query.awaitTermination()
+    assert [tuple(r) for r in sensor_stream.read_rejected(spark, split).collect()] == [("broken", "malformed_json")]
+    sensor_stream.start(
+        sensor_stream.stream_accepted(spark, split), device_types, files_writer(str(tmp_path / "rows")), str(tmp_path / "c2"),
+        availableNow=True,
+    ).awaitTermination()
+    assert [tuple(r) for r in read_aggregates(spark, str(tmp_path / "rows")).collect()] == [CLOSED]

@@ -1,11 +1,12 @@
-"""Rounding and averaging that do not depend on how rows were partitioned."""
+"""Rounding, and averaging that for ordinary readings does not depend on how rows were partitioned."""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Readings below this size are summed as integers, cut into a whole part and three limbs of 21 bits.
-# No limb sum can overflow before 2^42 rows, and 63 fraction bits hold every double from 2^-10 up.
+# Readings below this size that are whole counts of 2^-63 (all from 2^-10 up are) are summed as integers,
+# cut into a whole part and three limbs of 21 bits. No limb sum can overflow before 2^42 rows.
 EXACT_BELOW = 2.0**20
+UNIT = 2.0**-63
 LIMB = 2**21
 
 
@@ -21,7 +22,8 @@ def round2(x: Column) -> Column:
 
 
 def _is_exact(x: Column) -> Column:
-    return F.abs(x) < EXACT_BELOW
+    counts = x * (1 / UNIT)  # scaling by a power of two is exact
+    return (F.abs(x) < EXACT_BELOW) & (F.rint(counts) == counts)
 
 
 def _limbs(x: Column) -> list[Column]:
@@ -44,10 +46,13 @@ def exact_sum(x: Column) -> Column:
 
 
 def float_sum(x: Column) -> Column:
-    """Sum of the NaN, infinite and very large readings, zero when there are none."""
+    """Sum of the NaN, infinite, very large and very fine readings, zero when there are none.
+
+    A floating-point sum: only for such readings does a mean depend, in its last bits, on their order.
+    """
     return F.sum(F.when(_is_exact(x), 0.0).otherwise(x))
 
 
 def mean_of_sums(exact: Column, floating: Column, n: Column) -> Column:
     """Mean from added-up :func:`exact_sum` and :func:`float_sum`; the sum is rounded once."""
-    return (exact.cast("double") * 2.0**-63 + floating) / n
+    return (exact.cast("double") * UNIT + floating) / n

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidegauge.schemas import UNKNOWN_TYPE
 from tidegauge.sources.dictionary import Dictionary
 
-# How many ways a hot id is spread when the dictionary is too large to broadcast.
+# How many ways a stream spreads an id when the dictionary is too large to broadcast.
 SALTS = 32
 
 
@@ -14,17 +14,21 @@ def enrich(events: DataFrame, dictionary: Dictionary, salts: int = SALTS) -> Dat
     """Left join on the id: one output row per event, ``device_type`` never null.
 
     A dictionary whose counted size allows it is broadcast, so events are not shuffled. A larger
-    one is joined by shuffle; each entry is then copied once per salt, and the events of one id are
-    spread over the salts, so a hot id (also one made of identical events) is no single task.
+    one is joined by shuffle. In batch, adaptive execution splits the events of a hot id into as
+    many tasks as its size asks for. A stream has no such help: there each entry is copied once per
+    salt and the events of an id are spread over the salts.
     """
     entries = dictionary.frame.select(F.col("id").alias("device_type_id"), "type_name")
     keys = ["device_type_id"]
     if dictionary.is_broadcastable:
         entries = F.broadcast(entries)
+    elif not events.isStreaming:
+        entries = entries.hint("merge")
     else:
         entries = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         # Seeded, so a retried scan task deals out the same salts; any value finds its entry.
         events = events.withColumn("_salt", F.floor(F.rand(seed=salts) * salts).cast("int"))
+        entries = entries.hint("merge")
         keys.append("_salt")
     joined = events.join(entries, keys, "left")
     return joined.select(

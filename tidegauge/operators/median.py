@@ -14,8 +14,6 @@ from tidegauge.session import written
 LARGE_GROUP = 500_000
 # Rows of a value range, the share of a split group that one task sorts.
 RANGE_ROWS = 500_000
-# More shuffle partitions than this cost more than larger (spilling) sorts.
-MAX_RANGES = 20_000
 # Group keys up to this many are small enough to broadcast.
 BROADCAST_GROUPS = 100_000
 
@@ -39,15 +37,16 @@ def weighted_median(
     if counts.count() <= large_group:
         return _sorted_groups(counts, keys, value, n, sums)
     sizes = counts.groupBy(*keys).agg(F.count("*").alias("values")).where(F.col("values") > large_group)
+    sizes = keep(sizes.select(*[F.col(k).alias(f"_{k}") for k in keys], "values"))
     found = sizes.agg(F.count("*").alias("groups"), F.sum("values").alias("rows")).first()
     if not found["groups"]:
         return _sorted_groups(counts, keys, value, n, sums)
     small_enough = F.broadcast if found["groups"] <= BROADCAST_GROUPS else lambda df: df
-    large = small_enough(keep(sizes.select(*[F.col(k).alias(f"_{k}") for k in keys])))
+    large = small_enough(sizes.drop("values"))
     same_group = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     small = counts.join(large, same_group, "left_anti")
     big = counts.join(large, same_group, "left_semi")
-    tasks = min(math.ceil(found["rows"] / range_rows), MAX_RANGES)
+    tasks = math.ceil(found["rows"] / range_rows)
     return _sorted_groups(small, keys, value, n, sums).unionByName(
         _split_groups(big, keys, value, n, sums, keep, tasks, small_enough)
     )
@@ -71,7 +70,9 @@ def _holds(rank: Column, end: str, n: str) -> Column:
 def _median(value: str, end: str, n: str, total: str) -> Column:
     lower = F.max(F.when(_holds(_lower(total), end, n), F.col(value)))
     upper = F.max(F.when(_holds(_upper(total), end, n), F.col(value)))
-    return (lower + upper) / 2
+    # The middle element itself if there is one: adding it to itself could overflow.
+    odd = F.first(F.col(total)) % 2 == 1
+    return F.when(odd, lower).otherwise((lower + upper) / 2)
 
 
 def _sorted_groups(counts, keys, value, n, sums) -> DataFrame:

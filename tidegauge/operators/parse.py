@@ -1,5 +1,7 @@
 """Raw messages to typed events, with rejected messages kept apart."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +40,12 @@ def _field_reason(fields: dict[str, Field]) -> Column:
     return reason
 
 
-def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
+def parse_events(messages: DataFrame, value: str = "value", keep: Sequence[str] | None = None) -> DataFrame:
     """Add the five event columns and ``reject_reason`` (null for an accepted message).
 
+    ``keep`` names the columns of the messages and of the event that are needed; the others are
+    checked all the same but not carried along. By default all are.
+
     Every message yields exactly one row. The reason is the first rule that fails: the shape of the
     message, its time, then the other fields. To use accepted and rejected rows of a large batch,
     keep the result with :func:`tidegauge.session.written`, so that it is parsed once.
@@ -56,16 +61,19 @@ def parse_events(messages: DataFrame, value: str = "value") -> DataFrame:
         "_time": fields["event_time"].json_string(),
         "_shape": _shape_reason(fields["event_time"]),
     }).withColumn("_fields", _field_reason(fields))
-    values = [name for name in EVENT_SCHEMA.names if name != "event_time"]
-    timed = parse_event_times(_bound(typed, *messages.columns, *values, "_time", "_shape", "_fields"), "_time")
+    given = [name for name in messages.columns if keep is None or name in keep]
+    wanted = [name for name in EVENT_SCHEMA.names if keep is None or name in keep or name == "event_time"]
+    values = [name for name in wanted if name != "event_time"]
+    timed = parse_event_times(_bound(typed, *given, *values, "_time", "_shape", "_fields"), "_time")
     bad_time = F.when(F.col("event_time").isNull(), "bad_event_time")
     checked = timed.withColumn("reject_reason", F.coalesce("_shape", bad_time, "_fields"))
-    return _bound(checked, *messages.columns, *EVENT_SCHEMA.names, "reject_reason")
+    return _bound(checked, *given, *wanted, "reject_reason")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
-    """The events of :func:`parse_events` that passed every rule."""
-    return parsed.where(F.col("reject_reason").isNull()).select(*EVENT_SCHEMA.names)
+    """The events of :func:`parse_events` that passed every rule, with the event columns it kept."""
+    columns = [name for name in EVENT_SCHEMA.names if name in parsed.columns]
+    return parsed.where(F.col("reject_reason").isNull()).select(*columns)
 
 
 def quarantined(parsed: DataFrame, value: str = "value") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidegauge.functions.event_time import format_event_time
 from tidegauge.schemas import AGGREGATE_SCHEMA
@@ -31,9 +32,29 @@ def aggregate_messages(rows: DataFrame) -> DataFrame:
 
 
 def read_aggregate_messages(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Aggregate messages (text or UTF-8 bytes) back to rows."""
+    """Aggregate messages (text or UTF-8 bytes) back to rows; bad messages are left out."""
+    parsed = _parsed_aggregates(messages, value)
+    return parsed.where(F.col("reason").isNull()).select("row.*")
+
+
+def rejected_aggregate_messages(messages: DataFrame, value: str = "value") -> DataFrame:
+    """The messages that :func:`read_aggregate_messages` leaves out, with a ``reason``."""
+    return _parsed_aggregates(messages, value).where(F.col("reason").isNotNull()).select("value", "reason")
+
+
+def _parsed_aggregates(messages: DataFrame, value: str) -> DataFrame:
     text = F.col(value).cast("string")
-    return messages.select(F.from_json(text, AGGREGATE_SCHEMA).alias("row")).select("row.*")
+    given = F.map_keys(F.from_json(text, "map<string,string>"))
+    broken = "_broken"
+    schema = StructType([*AGGREGATE_SCHEMA.fields, StructField(broken, StringType())])
+    read = F.from_json(text, schema, {"columnNameOfCorruptRecord": broken})
+    # Bound to a generator, so that the parse is not repeated for each condition on it.
+    parsed = messages.select(F.inline(F.array(F.struct(text.alias("value"), read.alias("row"), given.alias("given")))))
+    reason = F.when(F.col("given").isNull() | F.col(f"row.{broken}").isNotNull(), "malformed_json")
+    for name in AGGREGATE_SCHEMA.names:
+        reason = reason.when(~F.array_contains("given", name), f"missing_{name}")
+    row = F.struct(*[F.col(f"row.{name}").alias(name) for name in AGGREGATE_SCHEMA.names]).alias("row")
+    return parsed.select("value", row, reason.alias("reason"))
 
 
 def round_robin(messages: DataFrame, partitions: int) -> DataFrame:

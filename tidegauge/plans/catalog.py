@@ -28,7 +28,7 @@ from tidegauge.sources.dictionary import read_table, replace_table, snapshot
 from tidegauge.sources.messages import decode_value, stream_files
 from tidegauge.sources.sinks import files_writer, read_aggregates
 from tidegauge.streaming import sensor_stream
-from tidegauge.streaming.progress import delivery_report
+from tidegauge.streaming.progress import DeliveryTotals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,11 +73,11 @@ def quarantine_messages(spark, folder):
 
 
 def quarantine_stream(spark, folder):
+    """The rejected part of a stream that parses each message once for both outcomes."""
     out = shared_folder(spark)
     messages = damaged_messages(stream_events(spark, folder))
-    query = sensor_stream.start_quarantine(messages, f"{out}/rejected", f"{out}/checkpoint", availableNow=True)
-    query.awaitTermination()
-    return spark.read.schema("value STRING, reason STRING").json(f"{out}/rejected")
+    sensor_stream.start_split(messages, f"{out}/split", f"{out}/checkpoint", availableNow=True).awaitTermination()
+    return sensor_stream.read_rejected(spark, f"{out}/split")
 
 
 def coerced_fields(spark, folder):
@@ -234,9 +234,15 @@ def aggregates_written(spark, folder):
 
 
 def round_robin_partitions(spark, folder):
-    """Partition numbers dealt out to all event messages, and how many messages got one."""
+    """Partition numbers dealt out to all event messages, how many messages got one, and whether evenly.
+
+    Each reading task deals on its own, so partitions may differ by one message for each.
+    """
     dealt = round_robin(to_events(read_events(spark, folder)).select(event_json().alias("value")), 4)
-    return dealt.agg(F.count_distinct("partition").alias("partitions"), F.count("partition").alias("messages"))
+    counts = dealt.withColumn("task", F.spark_partition_id()).groupBy("partition")
+    counts = counts.agg(F.count("*").alias("n"), F.max("task").alias("task"))
+    uneven = F.max("n") - F.min("n") > F.max("task") + 1
+    return counts.agg(F.count("*").alias("partitions"), F.sum("n").alias("messages"), (~uneven).alias("even"))
 
 
 def window_stats_stream(spark, folder):
@@ -275,32 +281,29 @@ def late_rows_dropped(spark, folder):
 
 
 def restart_no_duplicates(spark, folder):
-    """Three ten-day arrivals with a restart from the checkpoint before each."""
+    """Three arrivals, each a third of the time the events span, with a restart from the checkpoint before each."""
     events = read_events(spark, folder)
-    day = F.dayofmonth("ts")
-    return _run_arrivals(
-        spark, folder, [events.where(day <= 10), events.where((day > 10) & (day <= 20)), events.where(day > 20)]
-    )
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    first, last = events.agg(F.min(at), F.max(at)).first()
+    third = F.floor((at - F.lit(first)) * 3 / F.lit(max(1, last - first + 1)))
+    return _run_arrivals(spark, folder, [events.where(third == k) for k in range(3)])
 
 
 def stream_delivery_report(spark, folder):
     """Counters of a streaming run over damaged messages: read, rejected, late, and rows written."""
     out = shared_folder(spark)
     written = []
-    query = sensor_stream.start(
-        damaged_messages(stream_events(spark, folder)),
-        region_dictionary(spark, folder),
-        files_writer(f"{out}/rows"),
-        f"{out}/checkpoint",
-        on_written=lambda batch_id, rows: written.append(rows),
-        availableNow=True,
-    )
-    query.awaitTermination()
-    counters = ["input_rows", "rejected", "late_groups_dropped"]
-    batches = [[batch[c] for c in counters] for batch in delivery_report(query)]
-    report = spark.createDataFrame(batches, ", ".join(f"{c} LONG" for c in counters))
-    totals = report.agg(*[F.sum(c).alias(c) for c in counters])
-    return totals.withColumn("rows_written", F.lit(sum(written)).cast("long"))
+    with DeliveryTotals(spark) as deliveries:
+        query = sensor_stream.start(
+            damaged_messages(stream_events(spark, folder)),
+            region_dictionary(spark, folder),
+            files_writer(f"{out}/rows"),
+            f"{out}/checkpoint",
+            on_written=lambda batch_id, rows: written.append(rows),
+            availableNow=True,
+        )
+        totals = deliveries.wait(query) | {"rows_written": sum(written)}
+    return spark.createDataFrame([tuple(totals.values())], ", ".join(f"{name} LONG" for name in totals))
 
 
 QUERIES: dict[str, Query] = {

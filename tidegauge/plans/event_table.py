@@ -14,9 +14,12 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, folder: str) -> DataFrame:
-    """The same table as a stream of its files."""
-    reader = spark.readStream.schema(read_events(spark, folder).schema)
-    return reader.option("pathGlobFilter", "events.parquet").parquet(folder)
+    """The same table, one file or a folder of part files, as a stream of its files.
+
+    Without such a table, reading its schema fails.
+    """
+    # A stream takes a single file only by a pattern; this one matches the name and nothing else.
+    return spark.readStream.schema(read_events(spark, folder).schema).parquet(f"{folder}/event[s].parquet")
 
 
 def to_events(table: DataFrame, *extra: str) -> DataFrame:

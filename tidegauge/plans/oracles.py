@@ -152,7 +152,7 @@ FROM e GROUP BY date_trunc('minute', ts)""",
     "window_stats_hour": _HOURS,
     "sql_projection": _HOURS,
     "read_aggregates": _MINUTES,
-    "round_robin_partitions": "SELECT CAST(4 AS BIGINT) AS partitions, count(*) AS messages FROM events",
+    "round_robin_partitions": "SELECT CAST(4 AS BIGINT) AS partitions, count(*) AS messages, true AS even FROM events",
     "window_stats_stream": _STREAMED,
     "late_rows_dropped": _LATE,
     "restart_no_duplicates": _STREAMED,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tidegauge.operators.enrich import enrich
 from tidegauge.operators.parse import accepted, parse_events
 from tidegauge.operators.windows import aggregate_rows, window_stats
-from tidegauge.schemas import WINDOW_SIZE
+from tidegauge.schemas import STATISTICS_INPUT, WINDOW_SIZE
 from tidegauge.sources.dictionary import Dictionary
 
 VIEW = "iot_aggregates_view"
@@ -15,7 +15,7 @@ VIEW = "iot_aggregates_view"
 
 def enriched_events(messages: DataFrame, dictionary: Dictionary) -> DataFrame:
     """Messages to enriched events; works on batch and streaming frames alike."""
-    return enrich(accepted(parse_events(messages)), dictionary)
+    return enrich(accepted(parse_events(messages, keep=STATISTICS_INPUT)), dictionary)
 
 
 def sensor_stats(messages: DataFrame, dictionary: Dictionary, size: str = WINDOW_SIZE) -> DataFrame:

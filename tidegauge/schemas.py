@@ -37,3 +37,6 @@ AGGREGATE_SCHEMA = T.StructType([
     T.StructField("avg_temperature", T.DoubleType()),
     T.StructField("median_humidity", T.DoubleType()),
 ])
+
+# What the statistics need of an event.
+STATISTICS_INPUT = ("device_type_id", "event_time", "temperature", "humidity")

@@ -47,14 +47,18 @@ def _check(df: DataFrame) -> int:
     return found["rows"]
 
 
+def _copy(source: DataFrame) -> DataFrame:
+    """The dictionary's columns in their types, computed once: what is checked is what is used."""
+    return written(source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DICTIONARY_SCHEMA]))
+
+
 def snapshot(source: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Dictionary:
     """Read ``source`` once, write the copy to the shared folder and check it.
 
     A plain stream-static join would read a database table again in every micro-batch. Ids must be
     unique, otherwise the lookup would multiply events.
     """
-    columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in DICTIONARY_SCHEMA]
-    frame = written(source.select(*columns))
+    frame = _copy(source)
     return Dictionary(frame, _check(frame), broadcast_rows)
 
 
@@ -64,8 +68,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str = TABLE, properties: dic
 
 
 def replace_jdbc(df: DataFrame, url: str, table: str = TABLE, properties: dict | None = None) -> None:
-    """Drop and recreate the database table with these rows."""
-    checked = df.select("id", "type_name")
+    """Drop and recreate the database table with these rows.
+
+    Spark names column types but no key or NOT NULL; rows are checked for both before they are written.
+    """
+    checked = _copy(df)
     _check(checked)
     (
         checked.write.mode("overwrite")
@@ -82,7 +89,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def replace_table(df: DataFrame, path: str) -> None:
     """Replace the Parquet dictionary with these rows."""
-    checked = df.select("id", "type_name")
+    checked = _copy(df)
     _check(checked)
     checked.write.mode("overwrite").parquet(path)
 

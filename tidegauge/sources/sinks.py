@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegauge.operators.publish import aggregate_messages, event_messages, read_aggregate_messages, round_robin
-from tidegauge.schemas import INPUT_TOPIC, OUTPUT_TOPIC
+from tidegauge.schemas import AGGREGATE_SCHEMA, INPUT_TOPIC, OUTPUT_TOPIC
 from tidegauge.sources.messages import read_kafka
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -66,7 +66,10 @@ def publish_kafka_stream(
 
 
 def read_aggregates(spark: SparkSession, path: str) -> DataFrame:
-    """The aggregate rows under a folder of :func:`files_writer`."""
+    """The aggregate rows under a folder of :func:`files_writer`; none if no batch has been written yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], AGGREGATE_SCHEMA)
     return read_aggregate_messages(spark.read.schema("value STRING").text(path))
 
 

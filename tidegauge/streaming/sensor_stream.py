@@ -5,23 +5,31 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidegauge.operators.enrich import enrich
 from tidegauge.operators.parse import accepted, parse_events, quarantined
 from tidegauge.operators.windows import aggregate_rows, stats_from_counts, value_counts, with_watermark
-from tidegauge.schemas import MAX_OUT_OF_ORDER, WINDOW_SIZE
+from tidegauge.schemas import EVENT_SCHEMA, MAX_OUT_OF_ORDER, STATISTICS_INPUT, WINDOW_SIZE
 from tidegauge.sources.dictionary import Dictionary
 from tidegauge.sources.sinks import BatchWriter
 
+ACCEPTED, REJECTED = "accepted", "rejected"
+
 
 def closed_window_counts(
     messages: DataFrame, dictionary: Dictionary, size: str = WINDOW_SIZE, delay: str = MAX_OUT_OF_ORDER
 ) -> DataFrame:
-    """Value counts of each window, emitted once, when the watermark has passed its end."""
-    parsed = parse_events(messages).observe(
+    """Value counts of each window, emitted once, when the watermark has passed its end.
+
+    ``messages`` are raw messages, or events that :func:`start_split` has parsed already.
+    """
+    if set(EVENT_SCHEMA.names) <= set(messages.columns):
+        return value_counts(with_watermark(enrich(messages, dictionary), delay), size)
+    parsed = parse_events(messages, keep=STATISTICS_INPUT).observe(
         "messages",
         F.count("*").alias("read"),
         F.count("reject_reason").alias("rejected"),
@@ -95,3 +103,40 @@ def start_quarantine(messages: DataFrame, path: str, checkpoint: str, **trigger)
         .option("checkpointLocation", checkpoint)
     )
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def start_split(messages: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Parse every message once into a table of files split by outcome, accepted and rejected.
+
+    The statistics then read the accepted part (:func:`stream_accepted`), so that keeping rejected
+    messages (:func:`read_rejected`) costs no second pass over the topic.
+    """
+    outcome = F.when(F.col("reject_reason").isNull(), ACCEPTED).otherwise(REJECTED)
+    # The message itself is kept only where it was refused.
+    value = F.when(F.col("reject_reason").isNotNull(), F.col("value"))
+    writer = (
+        parse_events(messages)
+        .select(*EVENT_SCHEMA.names, value.alias("value"), "reject_reason", outcome.alias("outcome"))
+        .writeStream.format("parquet")
+        .partitionBy("outcome")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def stream_accepted(spark: SparkSession, path: str) -> DataFrame:
+    """The accepted events of :func:`start_split`, as a stream."""
+    split = spark.readStream.schema(_split_schema()).parquet(path)
+    return split.where(F.col("outcome") == ACCEPTED).select(*EVENT_SCHEMA.names)
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """The rejected messages of :func:`start_split` with the reason, as they are now."""
+    split = spark.read.schema(_split_schema()).parquet(path)
+    return split.where(F.col("outcome") == REJECTED).select("value", F.col("reject_reason").alias("reason"))
+
+
+def _split_schema() -> StructType:
+    texts = [StructField(name, StringType()) for name in ("value", "reject_reason", "outcome")]
+    return StructType([*EVENT_SCHEMA.fields, *texts])
