@@ -30,17 +30,21 @@ def files_writer(path: str, files: int | None = None) -> BatchWriter:
     return write
 
 
-def kafka_writer(servers: str, topic: str = OUTPUT_TOPIC, partitions: int | None = None) -> BatchWriter:
+def kafka_writer(
+    servers: str, topic: str = OUTPUT_TOPIC, partitions: int | None = None, **options: str
+) -> BatchWriter:
     """Write aggregate rows to a topic, at least once (needs the Kafka connector package).
 
     ``partitions`` deals the messages out in turn; without it the producer's own partitioner does.
+    ``options`` are passed on, for a secured connection for one.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
         messages = aggregate_messages(rows)
         if partitions:
             messages = round_robin(messages, partitions)
-        messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+        chosen = {"kafka.bootstrap.servers": servers, "topic": topic, **options}
+        messages.write.format("kafka").options(**chosen).save()
 
     return write
 
