@@ -34,7 +34,7 @@ SEQUENCE_COST, SENTENCE_COST, WORD_COST = 1, 4, 16
 #: Where no sentence ends for so many tokens, a sequence may end within it.
 LONG_SENTENCE = 128
 #: Of the sentences that end within one such step the first is a candidate.
-SENTENCE_STEP = 32
+SENTENCE_STEP = 48
 #: Lengths other than the full one that need no padding and are worth a sequence.
 SHORT_LENGTHS = (1024, 512, 256, 128)
 STRETCH = 1 << 18

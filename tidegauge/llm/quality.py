@@ -31,6 +31,8 @@ FACTORS = 8
 TRAIN_ROWS = 8000
 EPOCHS = 8
 BATCH = 128
+#: Steps at least, also where few rows are labelled.
+LEAST_STEPS = 400
 RATE = 0.01
 DECAY = 1e-5
 KEEP_SCORE = 0.3
@@ -109,9 +111,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
     weights = np.concatenate([machine.linear[:, None], machine.latent], 1)
     moment, square = np.zeros_like(weights), np.zeros_like(weights)
     bias = float(np.log(labels.mean() / (1 - labels.mean())))
-    for step in range(EPOCHS):
-        rate = RATE * (1 - step / EPOCHS)
-        for chosen in np.array_split(rng.permutation(len(labels)), -(-len(labels) // BATCH)):
+    batches = -(-len(labels) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // batches))
+    for step in range(epochs):
+        rate = RATE * (1 - step / epochs)
+        for chosen in np.array_split(rng.permutation(len(labels)), batches):
             ids = np.concatenate([vectors[i][0] for i in chosen])
             x = np.concatenate([vectors[i][1] for i in chosen])[:, None]
             sizes = [len(vectors[i][0]) for i in chosen]

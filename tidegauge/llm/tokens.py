@@ -18,8 +18,8 @@ import unicodedata
 import numpy as np
 
 #: Words a worker remembers at most (some 200 bytes each), and how many of the most used it keeps then.
-REMEMBERED_WORDS = 400_000
-KEPT_WORDS = 200_000
+REMEMBERED_WORDS = 700_000
+KEPT_WORDS = 400_000
 _RUN = re.compile(r"[^\W_]+|(?:[^\w]|_)+")
 
 
@@ -68,7 +68,7 @@ class Words:
         for k, word in enumerate(list(itertools.islice(self.words, known, None)), known):
             # Whole: what is joined across marks (contractions, special tokens, the dot of a lower-cased İ) or
             # composed of several characters.
-            if word.isalnum() or any(x in word for x in ("'", "<|", "İ")) or not (word.isascii() or _composed(word)):
+            if word.isalnum() or "'" in word or "<|" in word or "İ" in word or not (word.isascii() or _composed(word)):
                 continue
             runs = _RUN.findall(word)
             if len(runs) > 1:
