@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,22 @@ def spanning_stars(links: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(x, r) for x in list(parent) if (r := root(x)) != x]
 
 
+#: Rows of a file of a compact table.
+FILE_ROWS = 1_000_000
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """``df`` as a table of few files in the shared folder, however many tasks made it.
+
+    The rows are held by the executors until they are counted and written; what is lost meanwhile is made again.
+    """
+    held = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        return written(held.coalesce(held.count() // FILE_ROWS + 1))
+    finally:
+        held.unpersist()
+
+
 #: Links a task gathers before it passes their forest on.
 GATHERED = 500_000
 
@@ -71,7 +88,7 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     connected nodes may be in several.
     """
     links = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = written(links.mapInArrow(_contract, "a long, b long").distinct())
+    links = compact(links.mapInArrow(_contract, "a long, b long").distinct())
     seen = None if rounds else _fingerprint(links)
     done = 0
     while True:
@@ -86,7 +103,7 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
         if done == rounds:
             ends = small.unionByName(small.select(F.col("b").alias("a"), "b"))
             return ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))
-        links = written(small.distinct())
+        links = compact(small.distinct())
         if rounds:
             continue
         now = _fingerprint(links)

@@ -143,11 +143,6 @@ def _split(token: np.ndarray) -> list[tuple[int, slice]]:
     return [(int(bucket[s]), slice(s, e)) for s, e in zip(edges.tolist(), ends)]
 
 
-def _written_small(df: DataFrame) -> DataFrame:
-    """``df`` as a table in files of the advised size, however many tasks made it."""
-    return written(df.hint("rebalance"))
-
-
 def _shortener(bits: int):
     """Bucket (of so many bits) and 32 bits within it; two shingles of one short token only make candidates."""
     return lambda hashes: hashes >> np.uint64(32 - bits)
@@ -177,7 +172,7 @@ class Join:
                 )
 
         kind = self.docs.schema["doc_id"].dataType.simpleString()
-        return _written_small(self.docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, key long"))
+        return graph.compact(self.docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, key long"))
 
     def frequent(self) -> np.ndarray:
         """Short tokens of the frequent shingles, ascending: a list of bounded size."""
@@ -227,7 +222,7 @@ class Join:
             return pa.table({"token": token[many].astype(np.int64) + number, "documents": total[many]})
 
         gathered = self.docs.select("text").mapInArrow(gather, "bucket int, tokens binary, counts binary")
-        counted = _written_small(gathered.groupBy("bucket").applyInArrow(count, "token long, documents long"))
+        counted = graph.compact(gathered.groupBy("bucket").applyInArrow(count, "token long, documents long"))
         least = FREQUENT
         while counted.where(F.col("documents") > least).count() > LISTED:
             least *= 2
@@ -334,7 +329,7 @@ class Join:
                 )
 
         wanted = classes.join(keys, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-        wanted = written(wanted.select("doc_id"))
+        wanted = graph.compact(wanted.select("doc_id"))
         if wanted.count() <= BROADCAST_DOCS:
             wanted = F.broadcast(wanted)
         texts = self.docs.join(wanted, "doc_id", "left_semi").select("text")
@@ -347,7 +342,7 @@ class Join:
         sets = self.sets(classes, met, frequent)
         of_b = pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
         both = of_b.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
-        found = _written_small(both.select("a", "set_a", "b", "set_b").mapInArrow(_compare, "a long, b long"))
+        found = graph.compact(both.select("a", "set_a", "b", "set_b").mapInArrow(_compare, "a long, b long"))
         sets.unpersist()
         return found
 
@@ -421,14 +416,14 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     classes = join.classes()
     frequent = join.spark.sparkContext.broadcast(join.frequent())
     sizes = classes.where("key is not null").groupBy("key").agg(F.min("n_shingles").alias("n"))
-    incidences = written(join.incidences(frequent).join(sizes, "key"))
-    done = written(join.first_pairs(incidences))
+    incidences = graph.compact(join.incidences(frequent).join(sizes, "key"))
+    done = graph.compact(join.first_pairs(incidences))
     links = join.links(done, classes, frequent)
     for turn in range(TURNS + 1):
         choosing = turn < TURNS
-        mixed = written(join.mixed(incidences, graph.components(links, ROUNDS), CHOICES + 1 if choosing else 2))
+        mixed = graph.compact(join.mixed(incidences, graph.components(links, ROUNDS), CHOICES + 1 if choosing else 2))
         pairs = join.chosen_pairs(mixed, turn) if choosing else join.remaining_pairs(mixed)
-        pairs = written(pairs.join(done, ["a", "b"], "left_anti"))
+        pairs = graph.compact(pairs.join(done, ["a", "b"], "left_anti"))
         links = links.unionByName(join.links(pairs, classes, frequent))
         done = done.unionByName(pairs)
     parts = graph.components(links)
@@ -445,7 +440,7 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
 
     A row that is there again, with its number and text, goes too; null numbers are not compared and stay.
     """
-    found = written(similar_documents(docs))
+    found = graph.compact(similar_documents(docs))
     gone = found.where("doc_id != component_id").select("doc_id").distinct()
     if gone.count() <= BROADCAST_DOCS:
         gone = F.broadcast(gone)
