@@ -18,8 +18,8 @@ import unicodedata
 import numpy as np
 
 #: Words a worker remembers at most (some 200 bytes each), and how many of the most used it keeps then.
-REMEMBERED_WORDS = 700_000
-KEPT_WORDS = 400_000
+REMEMBERED_WORDS = 350_000
+KEPT_WORDS = 200_000
 _RUN = re.compile(r"[^\W_]+|(?:[^\w]|_)+")
 
 
