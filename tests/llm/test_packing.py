@@ -69,6 +69,18 @@ def test_cuts_are_the_cheapest():
         assert cost(packing.cuts(ends, costs, 16, (8, 4)), allowed, 16, (8, 4)) == best
 
 
+def test_every_sentence_end_is_a_candidate():
+    ends, costs = packing.candidate_ends(np.array([145]), np.array([1, 47, 144]), 145)
+    assert (ends.tolist(), costs.tolist()) == ([1, 47, 144, 145], [packing.SENTENCE_COST] * 3 + [0])
+    draw = np.random.default_rng(4)
+    sentences = np.cumsum(draw.integers(1, 40, 3000))
+    docs, total = sentences[99::100] + 1, int(sentences[-1]) + 1
+    ends, costs = packing.candidate_ends(docs, sentences, total)
+    assert set(ends.tolist()) == {*sentences.tolist(), *docs.tolist()}
+    assert set(ends[costs == packing.SENTENCE_COST].tolist()) == set(sentences.tolist()) - set(docs.tolist())
+    assert packing.WORD_COST not in costs
+
+
 def check(rows, docs, tokenizer):
     """``rows`` as returned by pack; ``docs`` as (doc_id, text) with distinct numbers."""
     pieces, sequences = defaultdict(list), defaultdict(list)

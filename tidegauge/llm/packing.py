@@ -33,8 +33,6 @@ CLOSING_ID = 1
 SEQUENCE_COST, SENTENCE_COST, WORD_COST = 1, 4, 16
 #: Where no sentence ends for so many tokens, a sequence may end within it.
 LONG_SENTENCE = 128
-#: Of the sentences that end within one such step the first is a candidate.
-SENTENCE_STEP = 48
 #: Lengths other than the full one that need no padding and are worth a sequence.
 SHORT_LENGTHS = (1024, 512, 256, 128)
 STRETCH = 1 << 18
@@ -45,34 +43,43 @@ def cuts(ends: np.ndarray, costs: np.ndarray, length: int = LENGTH, short=SHORT_
 
     ``costs`` are the penalties of the ends. No two ends may lie more than ``length`` apart.
     """
-    places = [0, *ends.tolist()]
-    best, back = [0], [0]
-    number = {0: 0}
+    places = np.concatenate([[0], ends])
+    # The first place within reach of each, and the pairs (end, start) that lie a short length apart.
+    reach = np.searchsorted(places, places - length).tolist()
+    pairs = []
+    for size in short:
+        start = np.searchsorted(places, places - size)
+        hit = np.flatnonzero(places[start] == places - size)
+        pairs.append(np.stack([hit, start[hit], np.full(len(hit), size)]))
+    pairs = np.concatenate(pairs, axis=1)
+    pairs = pairs[:, np.argsort(pairs[0], kind="stable")]
+    paired, starts, sizes = [*pairs[0].tolist(), -1], pairs[1].tolist(), pairs[2].tolist()
+    pair = 0
+    # Key of a place: its least cost and itself, so that a padded sequence adds ``length`` to its start's key.
+    key, back = [0], [0]
     # The queue: starts within reach, their keys ascending from ``head`` on.
-    keys, queued, head = [0], [0], 0
-    for j, cost in enumerate(costs.tolist(), 1):
-        end = places[j]
-        while places[queued[head]] < end - length:
+    queued, head = [0], 0
+    for j, cost in enumerate((costs + SEQUENCE_COST).tolist(), 1):
+        low = reach[j]
+        while queued[head] < low:
             head += 1
         i = queued[head]
-        least = keys[head] + length - end
-        for size in short:
-            k = number.get(end - size)
-            if k is not None and best[k] < least:
-                least, i = best[k], k
-        number[end] = j
-        least += cost + SEQUENCE_COST
-        best.append(least)
+        least = key[i] + length
+        while paired[pair] == j:
+            k = starts[pair]
+            if key[k] + sizes[pair] < least:
+                i = k
+                least = key[k] + sizes[pair]
+            pair += 1
+        least += cost
+        key.append(least)
         back.append(i)
-        key = least + end
-        while len(keys) > head and keys[-1] >= key:
-            keys.pop()
+        while len(queued) > head and key[queued[-1]] >= least:
             queued.pop()
-        keys.append(key)
         queued.append(j)
     out, j = [], len(places) - 1
     while j:
-        out.append(places[j])
+        out.append(int(places[j]))
         j = back[j]
     return out[::-1]
 
@@ -86,7 +93,6 @@ def _merged(*parts: np.ndarray) -> np.ndarray:
 def candidate_ends(doc_ends: np.ndarray, sentence_ends: np.ndarray, total: int, step: int = LONG_SENTENCE):
     """Possible ends in ``(0, total]`` with their penalties, none more than ``step`` apart."""
     docs, sentences = (x[(x > 0) & (x <= total)] for x in (doc_ends, sentence_ends))
-    sentences = sentences[np.diff(sentences // SENTENCE_STEP, prepend=-1) > 0]
     ends = _merged(docs, sentences, np.array([total]))
     gaps = np.diff(ends, prepend=0)
     if (gaps > step).any():
