@@ -80,6 +80,50 @@ def test_the_beam_widens_until_the_audit_passes():
     assert all(similar[i, own].all() for i, own in enumerate(found))
 
 
+class Poor:
+    """A graph whose beams find everything only from 96 on; narrower ones lose what ``lost`` says."""
+
+    def __init__(self, vectors, lost):
+        self.vectors, self.lost = vectors, lost
+
+    def similar(self, query, least, beam, known=None):
+        every = np.flatnonzero(self.vectors @ query >= least)
+        if beam < 96 and self.lost(every):
+            return every[:0] if known is None else np.array([known])
+        return every
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_few_links_are_all_found(same):
+    draw = np.random.default_rng(10)
+    one, other = draw.normal(size=(2, 1500, 48))
+    # Links of vectors that an evenly spread sample of 256 does not hold.
+    apart = np.setdiff1d(np.arange(1500), np.linspace(0, 1499, 256).astype(int))[::40][:24]
+    for i, k in zip(apart[:12], apart[12:]):
+        (one if same else other)[k] = one[i] + draw.normal(size=48) * 0.01
+    one, other = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (one, other))
+    queried = one if same else other
+    similar = one @ queried.T >= 0.98
+    if same:
+        np.fill_diagonal(similar, False)
+    assert similar.sum() == (24 if same else 12)
+    for index in (hnsw.Graph(queried), Poor(queried, lambda every: True)):
+        found = embeddings.links_between(one, index, same)
+        assert [sorted(own.tolist()) for own in found] == [np.flatnonzero(row).tolist() for row in similar]
+
+
+def test_certain_and_easy_hits_do_not_pass_the_audit(monkeypatch):
+    """The query itself and one large group are found, but of the other vectors' links only a part."""
+    monkeypatch.setattr(embeddings, "LINKED", 50)
+    draw = np.random.default_rng(11)
+    vectors = np.concatenate([np.tile(draw.normal(size=16), (700, 1)), np.repeat(draw.normal(size=(300, 16)), 2, 0)])
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    similar = vectors @ vectors.T >= 0.98
+    np.fill_diagonal(similar, False)
+    found = embeddings.links_between(vectors, Poor(vectors, lambda every: len(every) == 2 and every[0] % 4 == 0), True)
+    assert sum(map(len, found)) == similar.sum()
+
+
 def test_query_recall(spark):
     folder = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]

@@ -3,7 +3,9 @@
 The vectors of a label are dealt to shards, each shard's graph is built once and written, and the
 vectors of every shard query the graphs of every shard of their label. A query widens its beam until
 an audit passes: for a sample of the querying vectors all links are computed by brute force, and the
-beam doubles until at least ``RECALL`` of them are found. Links are verified by cosine in double
+beam doubles until at least ``RECALL`` of them are found, over all and on average of a vector that has any.
+The sample grows until ``LINKED`` vectors in it have links besides themselves; where fewer have, it comes
+to hold every vector, and the links are those of the brute force. Links are verified by cosine in double
 precision and never leave the task: what does is a count for each vector and a spanning forest, from
 which components follow by Spark jobs.
 
@@ -29,7 +31,8 @@ LEAST = 0.98
 SHARD_VECTORS = 8192
 BEAM = 24
 RECALL = 0.995
-AUDITED = 256
+#: Queries are audited in blocks of this size, until so many have links (other than to themselves) or all are audited.
+AUDITED, LINKED = 256, 200
 
 
 def _unit(values: pa.ListArray, width: int) -> np.ndarray:
@@ -52,22 +55,41 @@ def _build(shard: pa.Table) -> pa.Table:
 
 def links_between(queries: np.ndarray, index: hnsw.Graph, same: bool, least: float = LEAST) -> list[np.ndarray]:
     """For every query the nodes it links with, itself left out if the queries are the index's vectors."""
+
+    def others(i: int, nodes: np.ndarray) -> np.ndarray:
+        return nodes[nodes != i] if same else nodes
+
+    def walked(i: int, beam: int) -> np.ndarray:
+        return others(i, index.similar(queries[i], least, beam, i if same else None))
+
     n = len(queries)
-    audited = np.unique(np.linspace(0, n - 1, min(n, AUDITED)).astype(int))
-    truth = [np.flatnonzero(index.vectors @ queries[i] >= least) for i in audited]
+    order = np.random.default_rng(n).permutation(n)
+    truth: dict[int, np.ndarray] = {}
+    linked: list[int] = []
+    for start in range(0, n, AUDITED):
+        block = order[start : start + AUDITED]
+        for i, similar in zip(block.tolist(), queries[block] @ index.vectors.T >= least):
+            truth[i] = others(i, np.flatnonzero(similar))
+            if len(truth[i]):
+                linked.append(i)
+        if len(linked) >= LINKED:
+            break
     beam = BEAM
-    while beam < len(index.vectors):
-        hits = sum(len(np.intersect1d(index.similar(queries[i], least, beam, i if same else None), t)) for i, t in zip(audited, truth))
-        if hits >= RECALL * sum(map(len, truth)):
+    # Once every query has been audited, its links are known; else both links and queries must be found.
+    while len(truth) < n and beam < len(index.vectors):
+        hits = np.array([len(np.intersect1d(walked(i, beam), truth[i])) for i in linked])
+        real = np.array([len(truth[i]) for i in linked])
+        if hits.sum() >= RECALL * real.sum() and (hits / real).mean() >= RECALL:
             break
         beam *= 2
     found = []
     for i in range(n):
-        if beam < len(index.vectors):
-            own = index.similar(queries[i], least, beam, i if same else None)
+        if i in truth:
+            found.append(truth[i])
+        elif beam < len(index.vectors):
+            found.append(walked(i, beam))
         else:
-            own = np.flatnonzero(index.vectors @ queries[i] >= least)
-        found.append(own[own != i] if same else own)
+            found.append(others(i, np.flatnonzero(index.vectors @ queries[i] >= least)))
     return found
 
 
