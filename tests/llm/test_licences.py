@@ -46,6 +46,40 @@ def test_similarity_equals_brute_force(spark):
     assert (got["f1"].unit, got["f1"].line) == ("line", 1) and got["f7"].unit == "header"
 
 
+def gnu_header(kind, version, work="program", mark=";"):
+    return (
+        f"# This {work} is free software{mark} you can redistribute it and/or modify\n# it under the terms of the GNU {kind} General Public "
+        f"License as published by\n# the Free Software Foundation{mark} either version {version} of the License, or\n# (at your option) any later "
+        f"version.\n#\n# This {work} is distributed in the hope that it will be useful,\n# but WITHOUT ANY WARRANTY; without even the implied "
+        "warranty of\n# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\n"
+        f"# GNU {kind} General Public License for more details.\nimport os\nprint(os.getcwd())"
+    )
+
+
+def test_versions_and_variants_are_told_apart(spark):
+    texts = {
+        "GPL-2.0": gnu_header("", "2"), "GPL-3.0": gnu_header("", "3", mark=":"), "LGPL-2.1": gnu_header("Lesser", "2.1", "library"),
+        "LGPL-3.0": gnu_header("Lesser", "3", "library", ":"), "AGPL-3.0": gnu_header("Affero", "3", mark=":"),
+        "LGPL-2.0": gnu_header("Library", "2", "library"), "EPL-2.0": "Eclipse Public License - v 2.0", "GPL": "Licensed under the GNU "
+        "General Public License", "BSD-3-Clause": "x = 1\nLicensed under the BSD 3-Clause License.", "ISC": "code\nLicensed under the ISC license",
+        "Unlicense": "This is free and unencumbered software released into the public domain.", "CC0-1.0": "licensed under CC0 1.0 Universal",
+    }
+    got = {r.file.path: r.licence for r in scan(spark, [(name + "/f", t) for name, t in texts.items()])}
+    assert got == {name + "/f": name for name in texts}
+
+
+def test_full_texts_are_recognised(spark):
+    texts = dict(licences.full_texts())
+    assert {"GPL-2.0", "LGPL-2.1", "AGPL-3.0", "ISC", "EPL-1.0", "Unlicense", "CC0-1.0", "BSD-2-Clause", "BSD-3-Clause"} <= set(texts)
+    start = "Copyright (c) 2019 Some Author. All rights reserved.\n\n"
+    rows = [(f"{name}/LICENSE", start + t) for name, t in texts.items()] + [(f"{name}/a/b.c", "int x;") for name in texts]
+    got = {r.file.path: (r.licence, r.own.unit if r.own else None) for r in scan(spark, rows)}
+    for name in texts:
+        assert got[f"{name}/LICENSE"] == (name, "file") and got[f"{name}/a/b.c"][0] == name
+    later = texts["EPL-1.0"].replace("v 1.0", "v 2.0")
+    assert scan(spark, [("LICENSE", later)])[0].licence == "EPL-2.0"
+
+
 def test_the_nearest_directory_above_counts(spark):
     mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
     rows = [
