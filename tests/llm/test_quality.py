@@ -57,6 +57,20 @@ def test_defined_cases(spark):
     assert scores(spark, [], [(0, 1)]) == []
 
 
+def test_one_row_a_number_reaches_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(500)] + [(i, "good words") for i in range(2, 12)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)], "doc_id LONG, quality INT")
+    collected, to_pandas = [], type(docs).toPandas
+
+    def counted(df):
+        collected.append(to_pandas(df))
+        return collected[-1]
+
+    monkeypatch.setattr(type(docs), "toPandas", counted)
+    quality.train(docs, labels)
+    assert [sorted(got["doc_id"]) for got in collected] == [list(range(1, 12))]
+
+
 def test_other_columns_are_kept(spark):
     df = spark.createDataFrame([(1, "a", "b", 2.0)], SCHEMA + ", _score STRING, score DOUBLE")
     labels = spark.createDataFrame([], "doc_id LONG, quality INT")

@@ -9,7 +9,8 @@ Training uses a bounded sample of labelled rows (``TRAIN_ROWS``, taken by hash o
 number); scoring covers every whole text.
 
 Defined cases: null and empty texts are scored as texts without words; a null label is no label; a
-document with several labels counts once, with the lowest; without labels of both kinds every score
+document with several labels counts once, with the lowest; of several texts under one labelled number
+the smallest is learned from; without labels of both kinds every score
 is 0.5; extra columns are kept and never read.
 """
 
@@ -160,9 +161,10 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
 
     schema = "doc_id long, quality int, ids binary, values binary, stats binary"
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    labelled = texts.join(sample, "doc_id").select("doc_id", F.col("quality").cast("int"), "text")
-    got: pd.DataFrame = labelled.mapInArrow(featurise, schema).toPandas().sort_values(["doc_id", "ids", "stats"])
-    got = got.drop_duplicates("doc_id")
+    # One text a number before anything is sent on, however often a number is there.
+    labelled = texts.join(sample, "doc_id").groupBy("doc_id", F.col("quality").cast("int").alias("quality"))
+    one_text = labelled.agg(F.min("text").alias("text"))
+    got: pd.DataFrame = one_text.mapInArrow(featurise, schema).toPandas().sort_values("doc_id")
     kinds = (np.int32, np.float32, np.float32)
     rows_ = [tuple(np.frombuffer(b, k) for b, k in zip(r, kinds)) for r in zip(got["ids"], got["values"], got["stats"])]
     return fit(rows_, got["quality"].to_numpy(np.float64))
