@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter
 
 import pytest
@@ -119,3 +120,15 @@ def test_query(spark):
             assert got[doc_id].licence in found and got[doc_id].inherited_from is None
         elif got[doc_id].cosine is None and got[doc_id].licence:
             assert got[doc_id].path.startswith(got[doc_id].inherited_from)
+
+
+def test_query_inherits_from_above(spark):
+    above = 0
+    for r in queries.op5_licences(spark, "/root/testdata/sf0.01").collect():
+        folder = r.path.rpartition("/")[0]
+        dealt = zlib.crc32(str(r.doc_id).encode())
+        assert folder.count("/") == (0 if dealt % 100 == 0 else 1 if dealt % 10 == 0 else 2)
+        if r.inherited_from is not None:
+            assert f"{folder}/".startswith(f"{r.inherited_from}/")
+            above += r.inherited_from != folder
+    assert above

@@ -53,12 +53,23 @@ def op4_benchmark(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def dealt(doc_id):
+    return F.crc32(F.encode(doc_id.cast("string"), "UTF-8"))
+
+
 def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as files of ``source / hundreds of the number / lang``; a first line is a folder's notice."""
+    """Documents as files of ``source / hundreds of the number / lang``; a first line is a folder's notice.
+
+    By a hash of the number one in a hundred lies in ``source`` and others of one in ten in ``source / hundreds``;
+    a licence of theirs, in whatever line, is that of their folder and those below.
+    """
     docs = table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
     hundred = F.floor(F.col("doc_id") / 100).cast("string")
-    path = F.concat_ws("/", F.coalesce("source", F.lit("")), hundred, F.coalesce("lang", F.lit("")), F.col("doc_id").cast("string"))
-    notice = (F.col("own.line") == 0) & (F.col("own.unit") == "line")
+    # concat_ws leaves out nulls.
+    hundred = F.when(F.coalesce(dealt(F.col("doc_id")) % 100 != 0, F.lit(True)), hundred)
+    lang = F.when(F.coalesce(dealt(F.col("doc_id")) % 10 != 0, F.lit(True)), F.coalesce("lang", F.lit("")))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), hundred, lang, F.col("doc_id").cast("string"))
+    notice = (F.col("own.line") == 0) & (F.col("own.unit") == "line") | (dealt(F.col("file.doc_id")) % 10 == 0)
     found = licences.scan(docs.select("doc_id", path.alias("path"), "text"), notice)
     return found.select(
         F.col("file.doc_id").alias("doc_id"), F.col("file.path").alias("path"), "licence",
