@@ -41,15 +41,15 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{_application_folder(spark)}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def written(df: DataFrame, **options: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back. ``options`` are the Parquet writer's.
 
     Cuts the lineage: what follows can read it several times, and an executor loss costs at most
     the tasks that were running, never a second pass over the source.
     """
     spark = df.sparkSession
     path = shared_folder(spark)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
