@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import chat, decontaminate, embeddings, jaccard, licences, packing, quality, secrets, shards, urls
+from tidegauge.llm import (
+    chat,
+    decontaminate,
+    embeddings,
+    fingerprints,
+    jaccard,
+    licences,
+    packing,
+    quality,
+    runs,
+    search,
+    secrets,
+    shards,
+    urls,
+)
 from tidegauge.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +158,51 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.against_neighbours(table(spark, folder, "documents"))
+
+
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def with_cycles(docs: DataFrame) -> DataFrame:
+    """One document in ten, by a hash of its number, repeats its words from some word on with some period."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    hashed = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    chosen = docs.select("*", hashed.alias("h"), F.when(hashed % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = (g % n).alias("a")
+    chosen = chosen.select("*", n.alias("n"), g.alias("g"), F.when(n > 0, a).alias("a"))
+    period = 1 + F.call_function("div", F.col("n") - F.col("a"), 3 + F.col("g") % 8)
+    chosen = chosen.select("*", period.alias("p"))
+    cycled = F.transform(
+        F.sequence(F.lit(0), (F.col("n") - 1).cast("int")),
+        lambda i: F.get("words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")),
+    )
+    return chosen.select(
+        "doc_id", F.when(F.col("n") > 0, F.array_join(cycled, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op13_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    found = runs.with_runs(with_cycles(docs))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        runs.longest(F.col("runs")).alias("longest"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+    return found.select(
+        "doc_id", "n_runs", "longest.*",
+        F.call_function("div", 1000 * F.col("longest.length"), F.col("longest.period")).alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_shards": op2_shards,
@@ -155,6 +214,9 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard": op8_jaccard,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_search": op12_search,
+    "op13_runs": op13_runs,
 }
 
 
@@ -182,5 +244,31 @@ SELECT conv_id, count(*) AS n_turns,
     sha256(coalesce(string_agg(text, '' ORDER BY number) FILTER (role = 'assistant'), '')) AS loss_sha256,
     sum(length(written) + CASE WHEN merged THEN 8 ELSE length(written_role) + 13 END)::BIGINT AS formatted_chars
 FROM marked GROUP BY conv_id
+""",
+    "op12_search": """
+WITH split AS (
+    SELECT 0 AS kind, row_number() OVER () AS row, doc_id AS id, coalesce(text, '') AS text FROM documents
+    UNION ALL SELECT 1, 0, item_id, coalesce(text, '') FROM benchmark
+), terms AS (
+    SELECT kind, row, id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM split
+), held AS (SELECT row, id AS doc_id, term, count(*) AS tf FROM terms WHERE kind = 0 GROUP BY ALL),
+asked AS (SELECT id AS item_id, term, count(*) AS repeats FROM terms WHERE kind = 1 GROUP BY ALL),
+sizes AS (SELECT row, sum(tf)::BIGINT AS n FROM held GROUP BY row),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM held, whole GROUP BY term, docs
+), scored AS (
+    SELECT item_id, row, doc_id,
+        sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN held USING (term) JOIN sizes USING (row), whole
+    GROUP BY item_id, row, doc_id
+), placed AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM placed WHERE rank <= 10
 """,
 }
