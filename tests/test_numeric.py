@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidegauge.functions.numeric import exact_sum, float_sum, mean_of_sums, round2
+from tidegauge.functions.numeric import exact_sum, float_sum, mean_of_ranges, number_range, round2
 
 
 def rounded(spark, values):
@@ -29,11 +29,20 @@ def test_round2_special_values(spark):
     assert math.copysign(1, results["-0.001"]) == -1
 
 
-def mean(spark, values, partitions=4):
-    frame = spark.createDataFrame([(v,) for v in values], "x DOUBLE").repartition(partitions)
+def means(rows):
+    """Mean of x by i."""
     x = F.col("x")
-    sums = frame.agg(exact_sum(x).alias("e"), float_sum(x).alias("f"), F.count("*").alias("n"))
-    return sums.select(mean_of_sums(F.col("e"), F.col("f"), F.col("n"))).first()[0]
+    sums = rows.groupBy("i", number_range(x).alias("range")).agg(
+        exact_sum(x).alias("exact_sum"), float_sum(x).alias("f"), F.count("*").alias("n")
+    )
+    parts = sums.groupBy("i").agg(
+        F.collect_list(F.struct("range", "exact_sum")).alias("ranges"), F.sum("f").alias("f"), F.sum("n").alias("n")
+    )
+    return {r[0]: r[1] for r in parts.select("i", mean_of_ranges(F.col("ranges"), F.col("f"), F.col("n"))).collect()}
+
+
+def mean(spark, values, partitions=4):
+    return means(spark.createDataFrame([(0, v) for v in values], "i INT, x DOUBLE").repartition(partitions))[0]
 
 
 def test_mean_does_not_depend_on_order_or_partitioning(spark):
@@ -50,10 +59,7 @@ def test_mean_of_two_equals_plain_addition(spark):
     draw = random.Random(4)
     pairs = [(round(draw.uniform(-50, 150), 2), round(draw.uniform(0, 150), 2)) for _ in range(4000)]
     frame = spark.createDataFrame([(i, x) for i, pair in enumerate(pairs) for x in pair], "i INT, x DOUBLE")
-    x = F.col("x")
-    sums = frame.groupBy("i").agg(exact_sum(x).alias("e"), float_sum(x).alias("f"), F.count("*").alias("n"))
-    means = sums.select("i", mean_of_sums(F.col("e"), F.col("f"), F.col("n")).alias("m")).collect()
-    assert all(r["m"] == sum(pairs[r["i"]]) / 2 for r in means)
+    assert all(m == sum(pairs[i]) / 2 for i, m in means(frame).items())
 
 
 def test_long_sums_do_not_overflow(spark):
@@ -69,12 +75,22 @@ def test_mean_of_special_values(spark):
     assert mean(spark, [1e300, 1e300, 3.0]) == (1e300 + 1e300) / 3
 
 
-def test_fine_and_large_readings(spark):
-    assert mean(spark, [1e-20]) == 1e-20
-    assert mean(spark, [3.3e-6]) == 3.3e-6
+def test_means_of_all_magnitudes_equal_fsum(spark):
+    """In any partitioning, with sums that cancel, and down to the smallest doubles."""
     draw = random.Random(12)
-    for _ in range(12):
-        values = [draw.choice([-1, 1]) * math.ldexp(1 + draw.random(), draw.randint(-300, 300)) for _ in range(40)]
-        expected = math.fsum(values) / len(values)
-        for partitions in (1, 3):
-            assert math.isclose(mean(spark, values, partitions), expected, rel_tol=1e-12)
+    groups = [[1e-20], [3.3e-6], [5e-324] * 3, [1e308, -1e308, 1.0], [1.0, 2.0**-53], [1.0, 2.0**-53, 2.0**-900], [1.0, 2.0**-53, -(2.0**-900)]]
+    for low, high in [(-300, 300), (-1074, -1000), (900, 1015), (-5, 5), (-64, 30), (-1074, 1010)]:
+        for size in (1, 2, 3, 10, 40, 100):
+            for cancel in (False, True):
+                values = [draw.choice([-1, 1]) * math.ldexp(1 + draw.random(), draw.randint(low, high)) for _ in range(size)]
+                groups.append(values + [-v for v in values[: size // 2] if cancel] + [v for v in (1.0, 2.0**-53) if cancel])
+    rows = [(i, v) for i, values in enumerate(groups) for v in values]
+    expected = {i: math.fsum(values) / len(values) for i, values in enumerate(groups)}
+    for partitions in (1, 3, 7):
+        draw.shuffle(rows)
+        assert means(spark.createDataFrame(rows, "i INT, x DOUBLE").repartition(partitions)) == expected
+
+
+def test_sum_beyond_the_largest_double(spark):
+    assert mean(spark, [1e308] * 5) == math.inf
+    assert mean(spark, [-1e308] * 5 + [1.0]) == -math.inf

@@ -119,7 +119,7 @@ def test_restart_resumes_without_repeating(feed):
 def test_repeated_batch_leaves_one_copy(spark, device_types, tmp_path):
     counts = spark.sql(
         "SELECT timestamp'2026-06-01 23:59:00' AS window_start, timestamp'2026-06-02 00:00:00' AS window_end, "
-        "'weather_station' AS device_type, 2D AS humidity, 1L AS n, CAST(0 AS DECIMAL(38,0)) AS exact_sum, "
+        "'weather_station' AS device_type, 2D AS humidity, 0 AS range, 1L AS n, CAST(0 AS DECIMAL(38,0)) AS exact_sum, "
         "25.31D AS float_sum"
     )
     finish = sensor_stream.finish_batch(files_writer(str(tmp_path)))

@@ -7,7 +7,7 @@ from collections import defaultdict
 from conftest import message, messages_frame
 from pyspark.sql import functions as F
 
-from tidegauge.operators.windows import aggregate_rows, tumbling, value_counts, window_stats
+from tidegauge.operators.windows import aggregate_rows, tumbling, value_counts, window_means, window_stats
 from tidegauge.plans.sensor_stats import enriched_events, select_from_view, sensor_stats
 from tidegauge.schemas import AGGREGATE_SCHEMA, DICTIONARY_SCHEMA
 from tidegauge.sources.dictionary import snapshot
@@ -127,6 +127,21 @@ def test_copies_are_one_count(spark, device_types):
     assert (row["n"], row["exact_sum"], row["float_sum"]) == (500, 500 * int(25.31 * 2**48) * 2**15, 0.0)
 
 
+def test_means_of_large_and_fine_readings_are_exact(spark, device_types):
+    """One minute with readings out of the ordinary range, one without."""
+    draw = random.Random(5)
+    first = [draw.choice([-1, 1]) * math.ldexp(1 + draw.random(), draw.randint(-300, 300)) for _ in range(60)]
+    first += [-x for x in first[:20]]
+    second = [round(draw.uniform(-50, 50), 2) for _ in range(60)]
+    messages = [message(**at(f"2026-06-02T16:5{k}:10Z", temperature=repr(x))) for k, values in ((4, first), (5, second)) for x in values]
+    events = enriched_events(messages_frame(spark, messages).repartition(5), device_types)
+    expected = [math.fsum(values) / len(values) for values in (first, second)]
+    for stats_of in (window_means, window_stats):
+        rows = stats_of(events).orderBy("window_start").collect()
+        assert [r["avg_temperature"] for r in rows] == expected
+        assert [r["events"] for r in rows] == [80, 60]
+
+
 def test_view_projection(spark, device_types):
     rows = select_from_view(sensor_stats(messages_frame(spark, [message()]), device_types))
     assert rows.columns == AGGREGATE_SCHEMA.names

@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.functions.event_time import minute_label
-from tidegauge.functions.numeric import exact_sum, float_sum, mean_of_sums, round2
+from tidegauge.functions.numeric import (
+    ORDINARY,
+    exact_sum,
+    float_sum,
+    mean_of_ranges,
+    mean_of_sums,
+    number_range,
+    round2,
+)
 from tidegauge.operators.median import weighted_median
 from tidegauge.schemas import AGGREGATE_SCHEMA, MAX_OUT_OF_ORDER, WINDOW_SIZE
 from tidegauge.session import written
@@ -39,18 +47,44 @@ def value_counts(events: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
 
     The only shuffle that sees the events. Map-side aggregation folds copies before it, and the
     humidity in the key spreads a hot (window, type) over all tasks. Also the streaming state: it
-    grows with distinct values, not with events.
+    grows with distinct values, not with events. Temperatures out of the ordinary range of magnitude
+    (``range``) are summed in rows of their own.
     """
     return tumbling(
-        events,
+        events.withColumn("range", number_range(F.col("temperature"))),
         size,
         F.count("*").alias("n"),
         exact_sum(F.col("temperature")).alias("exact_sum"),
         float_sum(F.col("temperature")).alias("float_sum"),
-        keys=("device_type", "humidity"),
+        keys=("device_type", "humidity", "range"),
     )
 
 
+def window_means(events: DataFrame, size: str = WINDOW_SIZE) -> DataFrame:
+    """Number of events and mean temperature per window and type: the exact sum, rounded once, by the number.
+
+    Two aggregations, the second over one row for each range of magnitude of a group. No row order or
+    partitioning changes the result.
+    """
+    ranges = tumbling(
+        events.withColumn("range", number_range(F.col("temperature"))),
+        size,
+        exact_sum(F.col("temperature")).alias("exact_sum"),
+        float_sum(F.col("temperature")).alias("float_sum"),
+        F.count("*").alias("events"),
+        keys=("device_type", "range"),
+    )
+    parts = ranges.groupBy(*GROUP).agg(
+        _by_range().alias("ranges"), F.sum("float_sum").alias("float_sum"), F.sum("events").alias("events")
+    )
+    mean = mean_of_ranges(F.col("ranges"), F.col("float_sum"), F.col("events"))
+    return parts.select(*GROUP, "events", mean.alias("avg_temperature"))
+
+
+def _by_range() -> Column:
+    return F.collect_list(F.struct("range", "exact_sum"))
+
+
 def stats_from_counts(
     counts: DataFrame,
     keep: Callable[[DataFrame], DataFrame] = written,
@@ -64,11 +98,15 @@ def stats_from_counts(
     result = weighted_median(
         counts, GROUP, "humidity", "n", sums=("exact_sum", "float_sum"), keep=keep, **limits
     )
+    mean = mean_of_sums(F.col("exact_sum"), F.col("float_sum"), F.col("n"))
+    if (counts.agg(F.max("range")).first()[0] or ORDINARY) != ORDINARY:
+        # At most one row for each range of magnitude of a group.
+        ranges = counts.groupBy(*GROUP, "range").agg(F.sum("exact_sum").alias("exact_sum"))
+        ranges = ranges.groupBy(*[F.col(k).alias(f"_{k}") for k in GROUP]).agg(_by_range().alias("ranges"))
+        result = result.join(ranges, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in GROUP])
+        mean = mean_of_ranges(F.col("ranges"), F.col("float_sum"), F.col("n"))
     return result.select(
-        *GROUP,
-        F.col("n").alias("events"),
-        mean_of_sums(F.col("exact_sum"), F.col("float_sum"), F.col("n")).alias("avg_temperature"),
-        F.col("median").alias("median_humidity"),
+        *GROUP, F.col("n").alias("events"), mean.alias("avg_temperature"), F.col("median").alias("median_humidity")
     )
 
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.functions.event_time import event_time_millis, minute_label, parse_event_times
-from tidegauge.functions.numeric import exact_sum, float_sum, mean_of_sums, round2
+from tidegauge.functions.numeric import round2
 from tidegauge.operators.enrich import enrich
 from tidegauge.operators.parse import accepted, parse_events, quarantined
 from tidegauge.operators.publish import event_json, event_messages, round_robin
-from tidegauge.operators.windows import aggregate_rows, tumbling, window_stats
+from tidegauge.operators.windows import aggregate_rows, tumbling, window_means, window_stats
 from tidegauge.plans.event_table import (
     damaged_messages,
     read_dictionary,
@@ -170,17 +170,17 @@ def shared_type_name(spark, folder):
 # Windows and aggregates
 
 def tumbling_avg(spark, folder):
-    parts = tumbling(
-        _enriched(spark, folder),
-        "1 minute",
-        exact_sum(F.col("temperature")).alias("exact_sum"),
-        float_sum(F.col("temperature")).alias("float_sum"),
-        F.count("*").alias("events"),
-    )
-    mean = mean_of_sums(F.col("exact_sum"), F.col("float_sum"), F.col("events"))
-    return _window_in_millis(parts).select(
-        "window_start", "window_end", "device_type", "events", mean.alias("avg_temperature")
-    )
+    return _window_in_millis(window_means(_enriched(spark, folder)))
+
+
+def mean_of_all_magnitudes(spark, folder):
+    """Mean of readings of one type in a day that lie up to 800 binades apart, with both signs."""
+    number = F.col("event_id")
+    power = F.pow(F.lit(2.0), 100 * (number % 9) - 400)
+    sign = F.when(number % 2 == 0, 1).otherwise(-1)
+    scaled = to_events(read_events(spark, folder), "event_id").withColumn("temperature", F.col("temperature") * power * sign)
+    means = window_means(enrich(scaled, region_dictionary(spark, folder)), "1 day")
+    return _window_in_millis(means).select("window_start", "device_type", "events", "avg_temperature")
 
 
 def tumbling_median(spark, folder):
@@ -322,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "dictionary_snapshot": dictionary_snapshot,
     "shared_type_name": shared_type_name,
     "tumbling_avg": tumbling_avg,
+    "mean_of_all_magnitudes": mean_of_all_magnitudes,
     "tumbling_median": tumbling_median,
     "median_large_groups": median_large_groups,
     "window_labels": window_labels,

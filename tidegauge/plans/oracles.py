@@ -19,6 +19,9 @@ MESSAGE = """concat('{"device_id":"', device_id, '","device_type_id":', device_t
 MEAN = """(CAST(CAST(sum(CAST(temperature * 1152921504606846976.0 AS HUGEINT)) AS VARCHAR) AS DOUBLE)
   / 1152921504606846976.0 / count(*))"""
 
+# A compensated sum in floating point: of the few readings of a minute it is the exact one, rounded.
+COMPENSATED_MEAN = "(fsum(temperature) / count(*))"
+
 DAMAGED = f"""
 m AS (SELECT event_id, {MESSAGE} AS value FROM e),
 d AS (
@@ -130,8 +133,25 @@ FROM e""",
     "shared_type_name": f"WITH {EVENTS} "
     + _stats("hour", device_type="(CASE WHEN device_type_id <= 1 THEN 'SHARED' ELSE device_type END)"),
     "tumbling_avg": f"""WITH {EVENTS}
-SELECT {_millis("date_trunc('minute', ts)", "minute")}, device_type, count(*) AS events, {MEAN} AS avg_temperature
+SELECT {_millis("date_trunc('minute', ts)", "minute")}, device_type, count(*) AS events,
+       {COMPENSATED_MEAN} AS avg_temperature
 FROM x GROUP BY date_trunc('minute', ts), device_type""",
+    # The largest magnitude of a group decides, as an integer; the next one only whether a half is rounded up or down.
+    "mean_of_all_magnitudes": f"""WITH {EVENTS},
+c AS (
+  SELECT date_trunc('day', ts) AS d, device_type, event_id % 9 AS m, count(*) AS n,
+         sum(CAST(temperature * 1152921504606846976.0 * CASE WHEN event_id % 2 = 0 THEN 1 ELSE -1 END AS HUGEINT)) AS s
+  FROM x GROUP BY ALL),
+t AS (SELECT *, sum(n) OVER (PARTITION BY d, device_type) AS events FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY d, device_type ORDER BY s = 0, m DESC) AS place FROM t),
+p AS (
+  SELECT d, device_type, max(events) AS events, max(s) FILTER (place = 1) AS top, max(m) FILTER (place = 1) AS m,
+         coalesce(max(sign(s)) FILTER (place = 2), 0) AS below
+  FROM o GROUP BY d, device_type)
+SELECT epoch_ms(CAST(d AS TIMESTAMP)) AS window_start, device_type, CAST(events AS BIGINT) AS events,
+       CAST(CAST(4 * top + CAST(below AS HUGEINT) AS VARCHAR) AS DOUBLE) / 4 / 1152921504606846976.0
+         * pow(2, 100 * m - 400) / events AS avg_temperature
+FROM p""",
     "tumbling_median": f"""WITH {EVENTS}
 SELECT {_millis("date_trunc('hour', ts)", "hour")}, device_type, count(*) AS events,
        median(humidity) AS median_humidity
