@@ -1,0 +1,178 @@
+import os
+
+import pytest
+from conftest import message
+from pyspark.sql import functions as F
+
+from tidegauge.sources import versions
+from tidegauge.sources.messages import stream_files
+from tidegauge.sources.sinks import files_writer, read_aggregates
+from tidegauge.streaming import arrivals, refreshed, sensor_stream
+from tidegauge.streaming.state import open_windows, watermark
+
+
+def at(text, **changes):
+    return message(event_time=f'"2026-06-01T{text}Z"', **changes)
+
+
+class Intake:
+    """Files that arrive one by one, each taken in as one batch."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.number = spark, folder, 0
+        (folder / "messages").mkdir()
+
+    def arrive(self, *texts):
+        self.number += 1
+        path = self.folder / "messages" / f"{self.number:04}.json"
+        path.write_text("\n".join(texts) + "\n")
+        os.utime(path, (1_700_000_000 + 10 * self.number,) * 2)
+        self.run()
+
+    def run(self):
+        messages = stream_files(self.spark, str(self.folder / "messages"))
+        arrivals.start(messages, self.path, str(self.folder / "checkpoint"), availableNow=True).awaitTermination()
+
+    @property
+    def path(self):
+        return str(self.folder / "taken")
+
+    def rows(self, outcome, *columns):
+        return sorted(map(tuple, arrivals.read(self.spark, self.path, outcome).select(*columns).collect()))
+
+
+@pytest.fixture
+def intake(spark, tmp_path):
+    return Intake(spark, tmp_path)
+
+
+def test_late_events_are_told_one_by_one(intake, spark, device_types):
+    intake.arrive(at("10:00:10", humidity="1"), at("10:01:05", humidity="2"), "no message")
+    # 10:00 closed at 10:01:05; its events are late, copies too. The newest time of this batch counts from the next one on.
+    intake.arrive(at("10:00:59.999", humidity="3"), at("10:00:59.999", humidity="3"), at("10:01:00", humidity="4"), at("10:09:00"))
+    intake.arrive(at("10:01:59", humidity="5"), at("10:08:54"), "[]")
+    assert intake.rows(arrivals.LATE, "batch", "humidity", "late_by_ms") == [(1, 3.0, 1), (1, 3.0, 1), (2, 5.0, 416_000)]
+    assert intake.rows(arrivals.REJECTED, "value", "reject_reason") == [("[]", "not_an_object"), ("no message", "malformed_json")]
+    assert len(intake.rows(arrivals.ACCEPTED, "event_time")) == 5
+    # A job on the accepted events drops nothing.
+    query = sensor_stream.start(
+        arrivals.stream_accepted(spark, intake.path), device_types, files_writer(str(intake.folder / "rows")),
+        str(intake.folder / "statistics"), availableNow=True,
+    )
+    query.awaitTermination()
+    assert sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators) == 0
+    medians = {r["window_start"]: r["median_humidity"] for r in read_aggregates(spark, str(intake.folder / "rows")).collect()}
+    assert medians == {"10:00": 1.0, "10:01": 3.0}
+
+
+def test_receipts_tell_what_is_missing(intake, spark):
+    intake.arrive(at("10:00:10"), at("10:00:20"), "no message")
+    intake.arrive(at("10:05:00"))
+    found = arrivals.verified_receipts(spark, intake.path)
+    assert sorted((r["batch"], r["outcome"], r["rows"], r["readable"]) for r in found.collect()) == [
+        (0, "accepted", 2, 2), (0, "rejected", 1, 1), (1, "accepted", 1, 1)
+    ]
+    [lost] = (intake.folder / "taken/rows/batch=0/outcome=accepted").glob("part-*")
+    lost.unlink()
+    spark.catalog.clearCache()
+    missing = arrivals.verified_receipts(spark, intake.path).where("readable < rows").collect()
+    assert [(r["batch"], r["file"], r["readable"]) for r in missing] == [(0, lost.name, 0)]
+
+
+def test_repeated_batch_is_there_once(intake, spark):
+    intake.arrive(at("10:00:10"), at("10:00:20"))
+    # As after a failure between the writing and the commit of a batch.
+    for entry in (intake.folder / "checkpoint/commits").iterdir():
+        entry.unlink()
+    intake.run()
+    assert len(intake.rows(arrivals.ACCEPTED, "event_time")) == 2
+    assert arrivals.receipts(spark, intake.path).agg(F.sum("rows")).first()[0] == 2
+
+
+def test_nothing_taken_in_yet(spark, tmp_path):
+    assert arrivals.receipts(spark, str(tmp_path)).count() == 0
+
+
+def test_open_windows(spark, device_types, tmp_path):
+    (tmp_path / "messages").mkdir()
+    texts = [at("10:00:10"), at("10:01:00", humidity="1"), at("10:01:01", humidity="1"), at("10:01:05", humidity="2")]
+    (tmp_path / "messages/1.json").write_text("\n".join(texts))
+    sensor_stream.start(
+        stream_files(spark, str(tmp_path / "messages")), device_types, files_writer(str(tmp_path / "rows")),
+        str(tmp_path / "checkpoint"), availableNow=True,
+    ).awaitTermination()
+    rows = open_windows(spark, str(tmp_path / "checkpoint"))
+    rows = rows.select(F.date_format("window_start", "HH:mm"), "device_type", "events", "state_rows", "age_ms", "waits_ms")
+    assert list(map(tuple, rows.collect())) == [("10:01", "weather_station", 3, 2, 0, 60_000)]
+    assert watermark(spark, str(tmp_path / "checkpoint")) == 1780308060000
+
+
+DICTIONARY = "id INT, type_name STRING"
+
+
+def test_versions_replace_at_one_stroke(spark, tmp_path):
+    path = str(tmp_path / "dictionary")
+    with pytest.raises(ValueError, match="no version"):
+        versions.read(spark, path)
+    assert versions.replace(spark.createDataFrame([(1, "a")], DICTIONARY), path) == 1
+    first = versions.read(spark, path)
+    with pytest.raises(ValueError, match="repeated ids"):
+        versions.replace(spark.createDataFrame([(1, "a"), (1, "b")], DICTIONARY), path)
+    assert versions.read(spark, path).collect() == [(1, "a")]
+    assert versions.replace(spark.createDataFrame([(1, "b"), (2, "c")], DICTIONARY), path) == 2
+    # Who has read the first version keeps it.
+    assert first.collect() == versions.read(spark, path, 1).collect() == [(1, "a")]
+    assert sorted(versions.read(spark, path).collect()) == [(1, "b"), (2, "c")]
+    told = versions.versions(spark, path).orderBy("version").collect()
+    assert [(r["version"], r["rows"]) for r in told] == [(1, 1), (2, 2)]
+
+
+def test_a_failed_write_leaves_the_last_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "dictionary")
+    versions.replace(spark.createDataFrame([(1, "a")], DICTIONARY), path)
+    # The check passes and the rows are written, then the writer is gone.
+    monkeypatch.setattr(versions, "versions", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError, match="gone"):
+        versions.replace(spark.createDataFrame([(1, "b")], DICTIONARY), path)
+    monkeypatch.undo()
+    assert versions.read(spark, path).collect() == [(1, "a")]
+
+
+def test_of_two_writers_of_a_version_one_wins(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "dictionary")
+    versions.replace(spark.createDataFrame([(1, "a")], DICTIONARY), path)
+    known = versions.versions(spark, path).where("version < 1")
+    monkeypatch.setattr(versions, "versions", lambda *_: known)
+    with pytest.raises(RuntimeError, match="another writer"):
+        versions.replace(spark.createDataFrame([(1, "b")], DICTIONARY), path)
+    monkeypatch.undo()
+    assert versions.read(spark, path).collect() == [(1, "a")]
+
+
+def test_a_rename_shows_from_the_next_batch_on(spark, tmp_path):
+    path, events = str(tmp_path / "dictionary"), str(tmp_path / "events")
+    schema = "device_type_id INT, event_time TIMESTAMP, temperature DOUBLE, humidity DOUBLE"
+
+    def arrive():
+        rows = spark.sql("SELECT 1 AS device_type_id, timestamp'2026-06-01 10:00:00' AS event_time, 1D AS temperature, 2D AS humidity")
+        rows.write.mode("append").parquet(events)
+        stream = spark.readStream.schema(schema).parquet(events)
+        refreshed.start(stream, path, str(tmp_path / "named"), str(tmp_path / "checkpoint"), availableNow=True).awaitTermination()
+        return sorted(map(tuple, refreshed.read(spark, str(tmp_path / "named")).select("batch", "version", "device_type").collect()))
+
+    versions.replace(spark.createDataFrame([(1, "old")], DICTIONARY), path)
+    assert arrive() == [(0, 1, "old")]
+    versions.replace(spark.createDataFrame([(1, "new")], DICTIONARY), path)
+    assert arrive() == [(0, 1, "old"), (1, 2, "new")]
+    # A batch that is repeated takes the version it took.
+    versions.replace(spark.createDataFrame([(1, "newest")], DICTIONARY), path)
+    for entry in (tmp_path / "checkpoint/commits").iterdir():
+        if entry.name.strip(".").split(".")[0] == "1":
+            entry.unlink()
+    assert arrive() == [(0, 1, "old"), (1, 2, "new"), (2, 3, "newest")]
+    closed = sensor_stream.start(
+        refreshed.stream(spark, str(tmp_path / "named")), None, files_writer(str(tmp_path / "rows")),
+        str(tmp_path / "statistics"), delay="0 seconds", availableNow=True,
+    )
+    closed.awaitTermination()
+    assert sum(s.numRowsTotal for s in closed.lastProgress.stateOperators) == 3

@@ -24,11 +24,13 @@ from tidegauge.plans.event_table import (
 )
 from tidegauge.plans.sensor_stats import select_from_view, sensor_stats
 from tidegauge.session import configure, shared_folder
+from tidegauge.sources import versions
 from tidegauge.sources.dictionary import read_table, replace_table, snapshot
 from tidegauge.sources.messages import decode_value, stream_files
 from tidegauge.sources.sinks import files_writer, read_aggregates
-from tidegauge.streaming import sensor_stream
+from tidegauge.streaming import arrivals, refreshed, sensor_stream, window_logic
 from tidegauge.streaming.progress import DeliveryTotals
+from tidegauge.streaming.state import open_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -306,6 +308,77 @@ def stream_delivery_report(spark, folder):
     return spark.createDataFrame([tuple(totals.values())], ", ".join(f"{name} LONG" for name in totals))
 
 
+def window_logic_stream(spark, folder):
+    """Mean and median as a user's own logic, with a state and a timer per window and type."""
+    out = shared_folder(spark)
+    events = enrich(to_events(stream_events(spark, folder)), region_dictionary(spark, folder))
+    window_logic.start(
+        spark, events, files_writer(f"{out}/rows"), f"{out}/checkpoint", availableNow=True
+    ).awaitTermination()
+    return read_aggregates(spark, f"{out}/rows")
+
+
+def windows_left_open(spark, folder):
+    """The hours that a job which waits three days for late events has not closed at the end of the table."""
+    out = shared_folder(spark)
+    sensor_stream.start(
+        to_messages(stream_events(spark, folder)),
+        region_dictionary(spark, folder),
+        files_writer(f"{out}/rows"),
+        f"{out}/checkpoint",
+        size="1 hour",
+        delay="3 days",
+        availableNow=True,
+    ).awaitTermination()
+    return _window_in_millis(open_windows(spark, f"{out}/checkpoint"))
+
+
+def _taken_in(spark, folder):
+    """Two arrivals of messages, the second of every fifth event after all others."""
+    out = shared_folder(spark)
+    events = read_events(spark, folder)
+    late = F.col("event_id") % 5 == 0
+    for arrival in (events.where(~late), events.where(late)):
+        damaged_messages(arrival).write.mode("append").text(f"{out}/messages")
+        arrivals.start(
+            stream_files(spark, f"{out}/messages"), f"{out}/taken", f"{out}/checkpoint", availableNow=True
+        ).awaitTermination()
+    return f"{out}/taken"
+
+
+def late_events(spark, folder):
+    """Every event that came after its window had closed, and how late it was."""
+    late = arrivals.read(spark, _taken_in(spark, folder), arrivals.LATE)
+    return _with_millis(late.select("device_id", "event_time", "temperature", "batch", "late_by_ms"))
+
+
+def batch_receipts(spark, folder):
+    """What each batch says it has written, and what is found of it."""
+    found = arrivals.verified_receipts(spark, _taken_in(spark, folder))
+    return found.groupBy("batch", "outcome").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("readable").alias("readable"),
+        F.unix_millis(F.min("oldest")).alias("oldest_ms"),
+        F.unix_millis(F.max("newest")).alias("newest_ms"),
+    )
+
+
+def dictionary_refresh(spark, folder):
+    """Two arrivals of events; between them the dictionary is replaced by one with lower-case names."""
+    out = shared_folder(spark)
+    names = read_dictionary(spark, folder)
+    events = read_events(spark, folder)
+    for k, dictionary in enumerate((names, names.withColumn("type_name", F.lower("type_name")))):
+        versions.replace(dictionary, f"{out}/dictionary")
+        events.where(F.col("event_id") % 2 == k).write.mode("append").parquet(f"{out}/events")
+        arrived = spark.readStream.schema(events.schema).parquet(f"{out}/events")
+        refreshed.start(
+            to_events(arrived), f"{out}/dictionary", f"{out}/named", f"{out}/checkpoint", availableNow=True
+        ).awaitTermination()
+    named = refreshed.read(spark, f"{out}/named")
+    return named.groupBy("batch", "version", "device_type").agg(F.count("*").alias("events"))
+
+
 QUERIES: dict[str, Query] = {
     "publish_events": publish_events,
     "decode_values": decode_values,
@@ -336,6 +409,11 @@ QUERIES: dict[str, Query] = {
     "late_rows_dropped": late_rows_dropped,
     "restart_no_duplicates": restart_no_duplicates,
     "stream_delivery_report": stream_delivery_report,
+    "window_logic_stream": window_logic_stream,
+    "windows_left_open": windows_left_open,
+    "late_events": late_events,
+    "batch_receipts": batch_receipts,
+    "dictionary_refresh": dictionary_refresh,
 }
 
 

@@ -80,6 +80,18 @@ _LATE = (
 )
 
 
+# The second arrival finds the watermark that the first has left. A time that could be read is kept of a rejected message too.
+_ARRIVED = """passed AS (
+  SELECT max(ms) - INTERVAL 5 second AS mark FROM e JOIN d USING (event_id) WHERE reason IS NULL AND event_id % 5 <> 0),
+arrived AS (
+  SELECT e.*, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS batch,
+         CASE WHEN reason IN ('malformed_json', 'not_an_object', 'bad_event_time') THEN NULL ELSE ms END AS seen,
+         reason IS NULL AND event_id % 5 = 0 AND date_trunc('minute', ms) + INTERVAL 1 minute <= mark AS closed,
+         CASE WHEN reason IS NOT NULL THEN 'rejected' WHEN closed THEN 'late' ELSE 'accepted' END AS outcome,
+         CASE WHEN closed THEN epoch_ms(mark) - epoch_ms(ms) END AS late_by_ms
+  FROM e JOIN d USING (event_id), passed)"""
+
+
 def _millis(start: str, unit: str) -> str:
     return f"epoch_ms({start}) AS window_start, epoch_ms({start} + INTERVAL 1 {unit}) AS window_end"
 
@@ -181,4 +193,22 @@ good AS (SELECT x.* FROM x JOIN d USING (event_id) WHERE reason IS NULL),
 closed AS ({_stats("minute", rows="good", having="HAVING " + _closed_by("SELECT max(ms) FROM good"))})
 SELECT CAST(count(*) AS BIGINT) AS input_rows, count(reason) AS rejected,
        CAST(0 AS BIGINT) AS late_groups_dropped, (SELECT count(*) FROM closed) AS rows_written FROM d""",
+    "window_logic_stream": _STREAMED,
+    "windows_left_open": f"""WITH {EVENTS},
+passed AS (SELECT epoch_ms(max(ms)) - 259200000 AS mark FROM e),
+w AS (SELECT *, epoch_ms(date_trunc('hour', ts)) AS window_start FROM x)
+SELECT window_start, window_start + 3600000 AS window_end, device_type, count(*) AS events,
+       count(DISTINCT humidity) AS state_rows, max(mark) - window_start AS age_ms,
+       window_start + 3600000 - max(mark) AS waits_ms
+FROM w, passed WHERE window_start + 3600000 > mark GROUP BY window_start, device_type""",
+    "late_events": f"""WITH {EVENTS}, {DAMAGED}, {_ARRIVED}
+SELECT device_id, epoch_ms(ms) AS event_time_ms, temperature, batch, late_by_ms FROM arrived WHERE outcome = 'late'""",
+    "batch_receipts": f"""WITH {EVENTS}, {DAMAGED}, {_ARRIVED}
+SELECT batch, outcome, count(*) AS rows, count(*) AS readable,
+       epoch_ms(min(seen)) AS oldest_ms, epoch_ms(max(seen)) AS newest_ms
+FROM arrived GROUP BY batch, outcome""",
+    "dictionary_refresh": f"""WITH {EVENTS}
+SELECT CAST(event_id % 2 AS INTEGER) AS batch, event_id % 2 + 1 AS version,
+       CASE WHEN event_id % 2 = 1 THEN lower(device_type) ELSE device_type END AS device_type, count(*) AS events
+FROM x GROUP BY ALL""",
 }

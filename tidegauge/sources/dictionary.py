@@ -52,6 +52,12 @@ def _copy(source: DataFrame) -> DataFrame:
     return written(source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DICTIONARY_SCHEMA]))
 
 
+def checked_copy(source: DataFrame) -> tuple[DataFrame, int]:
+    """A copy of ``source`` that has passed the checks of a dictionary, and its number of rows."""
+    copy = _copy(source)
+    return copy, _check(copy)
+
+
 def snapshot(source: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> Dictionary:
     """Read ``source`` once, write the copy to the shared folder and check it.
 

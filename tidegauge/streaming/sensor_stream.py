@@ -21,12 +21,15 @@ ACCEPTED, REJECTED = "accepted", "rejected"
 
 
 def closed_window_counts(
-    messages: DataFrame, dictionary: Dictionary, size: str = WINDOW_SIZE, delay: str = MAX_OUT_OF_ORDER
+    messages: DataFrame, dictionary: Dictionary | None, size: str = WINDOW_SIZE, delay: str = MAX_OUT_OF_ORDER
 ) -> DataFrame:
     """Value counts of each window, emitted once, when the watermark has passed its end.
 
-    ``messages`` are raw messages, or events that :func:`start_split` has parsed already.
+    ``messages`` are raw messages, or events that :func:`start_split` has parsed already, or that
+    :mod:`~tidegauge.streaming.refreshed` has named already.
     """
+    if "device_type" in messages.columns:
+        return value_counts(with_watermark(messages, delay), size)
     if set(EVENT_SCHEMA.names) <= set(messages.columns):
         return value_counts(with_watermark(enrich(messages, dictionary), delay), size)
     parsed = parse_events(messages, keep=STATISTICS_INPUT).observe(
@@ -73,7 +76,7 @@ def finish_batch(write: BatchWriter, on_written: Callable[[int, int], None] | No
 
 def start(
     messages: DataFrame,
-    dictionary: Dictionary,
+    dictionary: Dictionary | None,
     write: BatchWriter,
     checkpoint: str,
     size: str = WINDOW_SIZE,
