@@ -73,6 +73,64 @@ def test_null_numbers_never_name_a_component(spark):
     assert {tuple(r) for r in got.collect()} == {(None, 1, 5), (5, 1, 5)}
 
 
+WORDS = [f"w{i}" for i in range(60)]
+
+
+def changed(k, n=1):
+    """Sixty words, ``n`` of them changed from the place k on: similar to texts whose changes are near."""
+    return " ".join(["x" if k <= i < k + n else w for i, w in enumerate(WORDS)])
+
+
+def test_rows_without_numbers_bridge_components(spark):
+    # The first and the last are not similar; both are to the one in between.
+    docs = [(2, " ".join(WORDS)), (None, " ".join(WORDS[6:])), (9, " ".join(WORDS[12:] + ["y"])), (4, "other words")]
+    sets = [plain_shingles(t) for _, t in docs]
+    near = lambda a, b: len(a & b) / len(a | b)
+    assert near(sets[0], sets[2]) < 0.8 <= min(near(sets[0], sets[1]), near(sets[1], sets[2]))
+    got = jaccard.similar_documents(spark.createDataFrame(docs, "doc_id LONG, text STRING")).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(2, 2), (None, 2), (9, 2), (4, 4)}
+    alone = jaccard.similar_documents(spark.createDataFrame([(None, "a b"), (None, "c d")], "doc_id LONG, text STRING"))
+    assert [r["component_id"] for r in alone.collect()] == [None, None]
+
+
+def test_texts_under_one_number_are_rows_of_their_own(spark):
+    x, near = " ".join(WORDS), changed(30)
+    docs = [(3, x), (5, near), (5, "not like it at all"), (7, "other"), (7, "other"), (None, changed(31)), (None, "alone"), (None, "alone"), (5, None)]
+    got = jaccard.one_of_each_group(spark.createDataFrame(docs, "doc_id LONG, text STRING"))
+    kept = [(3, x), (5, "not like it at all"), (7, "other"), (None, "alone"), (5, None)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, kept))
+
+
+def test_similar_texts_under_one_number(spark):
+    docs = [(5, changed(30)), (5, changed(31)), (None, changed(32))]
+    got = jaccard.one_of_each_group(spark.createDataFrame(docs, "doc_id LONG, text STRING"))
+    assert [r["doc_id"] for r in got.collect()] == [5]
+
+
+@pytest.mark.parametrize("copies", [700])
+def test_blocks_that_texts_share(spark, copies):
+    """Texts of two of twenty blocks with one word changed: groups of many texts, few of them similar."""
+    draw = random.Random(4)
+    blocks = [[f"b{k}_{i}" for i in range(40)] for k in range(20)]
+    texts = []
+    for _ in range(copies):
+        own = [w for block in draw.sample(blocks, 2) for w in block]
+        own[draw.randrange(80)] = f"c{draw.randrange(10**6)}"
+        texts.append(" ".join(own))
+    docs = list(enumerate(texts))
+    assert result(spark, docs) == brute_force(docs)
+
+
+def test_the_number_of_jobs_does_not_grow(spark):
+    jobs = []
+    for n in (10, 300):
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        docs = spark.createDataFrame(list(enumerate(texts_with_copies(random.Random(n), groups=n // 5))), "doc_id LONG, text STRING")
+        jaccard.similar_documents(docs).count()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before)
+    assert max(jobs) < 100 and jobs[1] - jobs[0] < 15
+
+
 def test_the_trie_finds_what_counting_finds():
     draw = np.random.default_rng(5)
     base = np.sort(draw.choice(10**6, 150, replace=False)).astype(np.uint64)
@@ -98,7 +156,9 @@ def test_bounds():
                 assert similar[0] > a - jaccard.prefix_size(a)
 
 
-def test_components_of_paths_stars_and_rings(spark):
+@pytest.mark.parametrize("at_once", [0, graph.GATHERED])
+def test_components_of_paths_stars_and_rings(spark, monkeypatch, at_once):
+    monkeypatch.setattr(graph, "AT_ONCE", at_once)
     draw = random.Random(6)
     links = [(i, i + 1) for i in range(100, 160)] + [(1000, i) for i in range(500, 700)] + [(i, 900 + (i + 1) % 9) for i in range(900, 909)]
     links += [(5, 5), (7, 6), (6, 7)]

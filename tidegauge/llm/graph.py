@@ -48,6 +48,8 @@ def compact(df: DataFrame) -> DataFrame:
 
 #: Links a task gathers before it passes their forest on.
 GATHERED = 500_000
+#: Links of all forests that one task contracts.
+AT_ONCE = GATHERED
 
 
 def _forest(links: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -80,7 +82,8 @@ def _with_least(links: DataFrame) -> DataFrame:
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """``node`` and ``component``, the smallest node it is connected to, for every node of ``links`` (a, b).
 
-    Links are contracted task by task first. Then large and small stars alternate until nothing
+    Links are contracted task by task first. If at most ``AT_ONCE`` are left, one task contracts those.
+    Beyond that, large and small stars alternate until nothing
     changes: each hangs a node's neighbours on the smallest of them, so that the number of rounds
     grows with the logarithm of the longest path, and no task ever holds a node's links together.
 
@@ -88,7 +91,10 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     connected nodes may be in several.
     """
     links = links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = compact(links.mapInArrow(_contract, "a long, b long").distinct())
+    links = compact(links.mapInArrow(_contract, "a long, b long"))
+    if links.count() <= AT_ONCE:
+        return _with_roots(written(links.coalesce(1).mapInArrow(_contract, "a long, b long")))
+    links = links.distinct()
     seen = None if rounds else _fingerprint(links)
     done = 0
     while True:
@@ -108,7 +114,11 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
             continue
         now = _fingerprint(links)
         if now == seen:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
+            return _with_roots(links)
         seen = now
+
+
+def _with_roots(stars: DataFrame) -> DataFrame:
+    """Nodes and components of finished stars, the roots among the nodes."""
+    roots = stars.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

@@ -10,13 +10,14 @@ once, and a subtree is pruned where overlap and remaining length cannot reach th
 
 A group is the sets that share a shingle; two of them are compared if what follows that shingle in both
 is long enough for the similarity. Not all pairs of a group are: every set is first compared with the
-smallest of its groups; then, where a large group lies in several components, ``TURNS`` times with a
-few sets that the group chooses by hash. All of this is linear, and it leaves large groups of copies in one
+smallest of its groups, and with ``CHOICES`` sets of a larger group, which are chosen by a hash, the same
+in groups of the same sets. This is linear, and it leaves large groups of copies in one
 component. The remaining pairs of a group in different components are then compared, all of them.
 Equal sets are one class throughout.
 
 Defined cases: null and empty texts have no set and link with nothing; texts of fewer than five
-words have one shingle, the whole sequence; repeated rows and numbers keep their rows; texts are
+words have one shingle, the whole sequence; repeated rows and numbers keep their rows, and texts under one number
+link only if they are similar; rows without a number link like others; texts are
 read whole; an empty table gives no rows; other columns are ignored.
 """
 
@@ -46,10 +47,9 @@ TRIE_SETS = 512
 #: Numbers of compared documents are broadcast up to this many.
 BROADCAST_DOCS = 1_000_000
 STEP = 64
-#: Sets a group of more members chooses at a time, and how often it does before the rest is compared.
-CHOICES = 48
-TURNS = 2
-#: Rounds of joining components between the turns; sets taken to be unconnected only cost comparisons.
+#: Sets that a group of more members chooses.
+CHOICES = 96
+#: Rounds of joining components in between; sets taken to be unconnected only cost comparisons.
 ROUNDS = 2
 
 
@@ -153,12 +153,14 @@ class Join:
 
     def __init__(self, docs: DataFrame):
         self.spark = textops.small_batches(docs.sparkSession)
-        self.docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+        text = F.col("text").cast("string")
+        # A row is told by its number and text; numbers may be null or repeated.
+        self.docs = docs.select("doc_id", F.xxhash64(text).alias("hash"), text.alias("text"))
         # So many buckets that a bucket's share of the shingles fits in a task at any size of input.
         self.bits = max(8, math.ceil(math.log2(8 * self.docs.rdd.getNumPartitions())))
 
     def classes(self) -> DataFrame:
-        """``doc_id``, ``n_shingles``, ``key`` of its set (null without one)."""
+        """``doc_id``, ``hash`` of the text, ``n_shingles``, ``key`` of its set (null without one)."""
 
         def run(batches):
             for batch in batches:
@@ -167,12 +169,12 @@ class Join:
                     sizes.append(len(own))
                     keys.append(set_key(own) if len(own) else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())],
-                    names=["doc_id", "n_shingles", "key"],
+                    [batch["doc_id"], batch["hash"], pa.array(sizes, pa.int64()), pa.array(keys, pa.int64())],
+                    names=["doc_id", "hash", "n_shingles", "key"],
                 )
 
         kind = self.docs.schema["doc_id"].dataType.simpleString()
-        return graph.compact(self.docs.mapInArrow(run, f"doc_id {kind}, n_shingles long, key long"))
+        return graph.compact(self.docs.mapInArrow(run, f"doc_id {kind}, hash long, n_shingles long, key long"))
 
     def frequent(self) -> np.ndarray:
         """Short tokens of the frequent shingles, ascending: a list of bounded size."""
@@ -313,65 +315,64 @@ class Join:
     def sets(self, classes: DataFrame, keys: DataFrame, frequent) -> DataFrame:
         """``key`` and ``set`` of the wanted classes, in the order of the trie.
 
-        Each class is read from its first document; a number that other texts share brings their sets too.
+        Each class is read from one of its texts; rows with the number and text of that one are counted once.
         """
         short = _shortener(self.bits)
 
         def run(batches):
+            seen: set[int] = set()
             for batch in batches:
                 keys, blobs = [], []
                 for _, own in _sets(batch):
+                    key = set_key(own)
+                    if key in seen:
+                        continue
+                    seen.add(key)
                     hot = _listed(short(own), frequent.value)
-                    keys.append(set_key(own))
+                    keys.append(key)
                     blobs.append(np.concatenate([own[hot], own[~hot]]).astype(">u8").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], names=["key", "set"]
                 )
 
-        wanted = classes.join(keys, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-        wanted = graph.compact(wanted.select("doc_id"))
+        wanted = classes.join(keys, "key", "left_semi").groupBy("key").agg(F.min(F.struct("hash", "doc_id")).alias("row"))
+        wanted = graph.compact(wanted.select(F.col("row.doc_id").alias("wanted_id"), F.col("row.hash").alias("wanted_hash")))
         if wanted.count() <= BROADCAST_DOCS:
             wanted = F.broadcast(wanted)
-        texts = self.docs.join(wanted, "doc_id", "left_semi").select("text")
+        same = (F.col("hash") == F.col("wanted_hash")) & F.col("doc_id").eqNullSafe(F.col("wanted_id"))
+        texts = self.docs.join(wanted, same, "left_semi").select("text")
+        sets = texts.mapInArrow(run, "key long, set binary").groupBy("key").agg(F.first("set").alias("set"))
         # Kept by the executors, and read from the documents again where one is lost.
-        return texts.mapInArrow(run, "key long, set binary").persist(StorageLevel.DISK_ONLY)
+        return sets.persist(StorageLevel.DISK_ONLY)
 
-    def links(self, pairs: DataFrame, classes: DataFrame, frequent) -> DataFrame:
+    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The similar ones of ``pairs`` (a, b), as a table."""
-        met = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-        sets = self.sets(classes, met, frequent)
         of_b = pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
         both = of_b.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
-        found = graph.compact(both.select("a", "set_a", "b", "set_b").mapInArrow(_compare, "a long, b long"))
-        sets.unpersist()
-        return found
+        ordered = both.select("a", "set_a", "b", "set_b")
+        return graph.compact(ordered.mapInArrow(_compare, "a long, b long"))
 
     def first_pairs(self, incidences: DataFrame) -> DataFrame:
-        """Every class with the smallest of each group it is in."""
-        smallest = incidences.groupBy("token").agg(F.min(_other("key")).alias("other"))
-        return _comparable(incidences.join(smallest, "token").where(F.col("key") != F.col("other.key")))
-
-    def mixed(self, incidences: DataFrame, parts: DataFrame, least: int) -> DataFrame:
-        """The incidences of groups of ``least`` sets in several components, with the component of each as ``part``."""
-        part = F.coalesce("component", "key").alias("part")
-        placed = incidences.join(parts.withColumnRenamed("node", "key"), "key", "left")
-        placed = placed.select("token", "key", "place", "n", part)
-        several = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y"), F.count("*").alias("sets"))
-        several = several.where((F.col("x") != F.col("y")) & (F.col("sets") >= least))
-        return placed.join(several.select("token"), "token", "left_semi")
-
-    def chosen_pairs(self, mixed: DataFrame, turn: int) -> DataFrame:
-        """Every class with the ``CHOICES`` that each of its groups makes by hash."""
+        """Every class with the smallest of each group it is in, and with the ``CHOICES`` of each larger group."""
 
         def choice(k: int):
-            return F.min(_other(F.xxhash64("key", "token", F.lit(turn * CHOICES + k)).alias("order"), "key", "part"))
+            return F.min(_other(F.xxhash64("key", F.lit(k)).alias("order"), "key"))
 
-        chosen = mixed.groupBy("token").agg(F.array(*[choice(k) for k in range(CHOICES)]).alias("others"))
+        smallest = F.min(_other(F.lit(0).cast("long").alias("order"), "key"))
+        # A group of few is left to the smallest, and to the pairs that remain.
+        several = [F.when(F.count("*") > CHOICES, choice(k)) for k in range(CHOICES)]
+        others = F.array_distinct(F.array_compact(F.array(smallest, *several)))
+        chosen = incidences.groupBy("token").agg(others.alias("others"))
         chosen = chosen.select("token", F.explode("others").alias("other"))
-        return _comparable(mixed.join(chosen, "token").where(F.col("part") != F.col("other.part")))
+        return _comparable(incidences.join(chosen, "token").where(F.col("key") != F.col("other.key")))
 
-    def remaining_pairs(self, mixed: DataFrame) -> DataFrame:
+    def remaining_pairs(self, incidences: DataFrame, parts: DataFrame) -> DataFrame:
         """All pairs of a group in different components."""
+        part = F.coalesce("component", "key").alias("part")
+        placed = incidences.join(parts.withColumnRenamed("node", "key"), "key", "left")
+        placed = placed.select("token", "key", "place", "n", part)
+        several = placed.groupBy("token").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x != y")
+        mixed = graph.compact(placed.join(several.select("token"), "token", "left_semi"))
         two = mixed.select("token", _other("key", "part").alias("other"))
         met = mixed.join(two, "token").where(
             (F.col("key") < F.col("other.key")) & (F.col("part") != F.col("other.part"))
@@ -410,45 +411,62 @@ def _listed(token: np.ndarray, listed: np.ndarray) -> np.ndarray:
     return listed[np.minimum(np.searchsorted(listed, token), len(listed) - 1)] == token
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``n_shingles``, and ``component_id``, the smallest number reachable by links."""
+def _parts(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``hash`` of its text, ``n_shingles`` and ``part``, null without words."""
     join = Join(docs)
     classes = join.classes()
     frequent = join.spark.sparkContext.broadcast(join.frequent())
     sizes = classes.where("key is not null").groupBy("key").agg(F.min("n_shingles").alias("n"))
     incidences = graph.compact(join.incidences(frequent).join(sizes, "key"))
-    done = graph.compact(join.first_pairs(incidences))
-    links = join.links(done, classes, frequent)
-    for turn in range(TURNS + 1):
-        choosing = turn < TURNS
-        mixed = graph.compact(join.mixed(incidences, graph.components(links, ROUNDS), CHOICES + 1 if choosing else 2))
-        pairs = join.chosen_pairs(mixed, turn) if choosing else join.remaining_pairs(mixed)
-        pairs = graph.compact(pairs.join(done, ["a", "b"], "left_anti"))
-        links = links.unionByName(join.links(pairs, classes, frequent))
-        done = done.unionByName(pairs)
+    sets = join.sets(classes, incidences.select("key").distinct(), frequent)
+    first = graph.compact(join.first_pairs(incidences))
+    links = join.links(first, sets)
+    rest = join.remaining_pairs(incidences, graph.components(links, ROUNDS))
+    links = links.unionByName(join.links(graph.compact(rest.join(first, ["a", "b"], "left_anti")), sets))
+    sets.unpersist()
     parts = graph.components(links)
     part = F.coalesce("component", "key").alias("part")
-    placed = classes.join(parts.withColumnRenamed("node", "key"), "key", "left").select("doc_id", "n_shingles", part)
-    least = placed.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"))
-    return placed.join(least, "part", "left").select(
-        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")
+    placed = classes.join(parts.withColumnRenamed("node", "key"), "key", "left")
+    return placed.select("doc_id", "hash", "n_shingles", part)
+
+
+def _least(placed: DataFrame, least) -> DataFrame:
+    """``placed`` with the value of the aggregate ``least`` of its part as ``least``."""
+    # A part of one row is left out: there are nearly as many of these as rows.
+    found = graph.compact(
+        placed.where("part is not null").groupBy("part").agg(least.alias("least"), F.count("*").alias("rows")).where("rows > 1")
     )
+    if found.count() <= BROADCAST_DOCS:
+        found = F.broadcast(found)
+    return placed.join(found.select("part", "least"), "part", "left")
+
+
+def similar_documents(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: ``doc_id``, ``n_shingles``, and ``component_id``, the smallest number reachable by links.
+
+    A row without a number links like any other; ``component_id`` is null where no number is reachable.
+    """
+    found = _least(_parts(docs), F.min("doc_id"))
+    return found.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """``docs`` with the document of the smallest number of every group of similar ones, all columns kept.
+    """``docs`` with one document of every group of similar ones, all columns kept: that of the smallest number.
 
-    A row that is there again, with its number and text, goes too; null numbers are not compared and stay.
+    Rows are told by number and text: of a repeated number only the similar texts go, and of rows that are equal in both
+    one stays. A row without a number comes after those with one. Different texts without words all stay.
     """
-    found = graph.compact(similar_documents(docs))
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    if gone.count() <= BROADCAST_DOCS:
-        gone = F.broadcast(gone)
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    repeated = written(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
-    if repeated.isEmpty():
-        return left
-    if repeated.count() <= BROADCAST_DOCS:
-        repeated = F.broadcast(repeated)
-    again = left.join(repeated, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(again)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "hash")
+    found = graph.compact(_least(_parts(docs), F.min(order)))
+    same = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("hash") == F.col("least.hash"))
+    same = F.col("least").isNull() | same
+    # Per number and text: whether it stays, and how often it is there.
+    rows = found.groupBy(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), same.alias("_stays"))
+    told = graph.compact(rows.agg(F.count("*").alias("_rows")).where("not _stays or _rows > 1"))
+    if told.count() <= BROADCAST_DOCS:
+        told = F.broadcast(told)
+    is_told = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_hash"))
+    marked = docs.join(told, is_told, "left")
+    left = marked.where("_stays is null").select(docs.columns)
+    again = marked.where("_stays").dropDuplicates(["_id", "_hash"]).select(docs.columns)
+    return left.unionByName(again)
