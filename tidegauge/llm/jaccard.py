@@ -345,12 +345,15 @@ class Join:
         # Kept by the executors, and read from the documents again where one is lost.
         return sets.persist(StorageLevel.DISK_ONLY)
 
-    def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def links(self, pairs: DataFrame, classes: DataFrame, frequent) -> DataFrame:
         """The similar ones of ``pairs`` (a, b), as a table."""
+        met = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+        sets = self.sets(classes, met, frequent)
         of_b = pairs.join(sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
         both = of_b.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a")
-        ordered = both.select("a", "set_a", "b", "set_b")
-        return graph.compact(ordered.mapInArrow(_compare, "a long, b long"))
+        found = graph.compact(both.select("a", "set_a", "b", "set_b").mapInArrow(_compare, "a long, b long"))
+        sets.unpersist()
+        return found
 
     def first_pairs(self, incidences: DataFrame) -> DataFrame:
         """Every class with the smallest of each group it is in, and with the ``CHOICES`` of each larger group."""
@@ -418,12 +421,11 @@ def _parts(docs: DataFrame) -> DataFrame:
     frequent = join.spark.sparkContext.broadcast(join.frequent())
     sizes = classes.where("key is not null").groupBy("key").agg(F.min("n_shingles").alias("n"))
     incidences = graph.compact(join.incidences(frequent).join(sizes, "key"))
-    sets = join.sets(classes, incidences.select("key").distinct(), frequent)
     first = graph.compact(join.first_pairs(incidences))
-    links = join.links(first, sets)
+    links = join.links(first, classes, frequent)
     rest = join.remaining_pairs(incidences, graph.components(links, ROUNDS))
-    links = links.unionByName(join.links(graph.compact(rest.join(first, ["a", "b"], "left_anti")), sets))
-    sets.unpersist()
+    rest = graph.compact(rest.join(first, ["a", "b"], "left_anti"))
+    links = links.unionByName(join.links(rest, classes, frequent))
     parts = graph.components(links)
     part = F.coalesce("component", "key").alias("part")
     placed = classes.join(parts.withColumnRenamed("node", "key"), "key", "left")
