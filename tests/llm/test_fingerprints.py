@@ -53,6 +53,15 @@ def test_likeness_follows_edits():
         assert near > 0.7 and 0.35 < half < 0.65 and far < 0.2
 
 
+def test_shared_bands_are_those_in_both():
+    draw = random.Random(4)
+    for words in (0, 1, 3, 40, 41, 300):
+        text = prose(draw, words)
+        for other in (text, edited(draw, text or "a", 2), text[: len(text) // 2] + prose(draw, words), prose(draw, 3 * words)):
+            a, b = fingerprints.fingerprint(text), fingerprints.fingerprint(other)
+            assert fingerprints.shared_bands(a, b) == len(set(fingerprints.bands(a)) & set(fingerprints.bands(b)))
+
+
 def test_query_against_plain_texts(spark):
     rows = table(spark, FOLDER, "documents").select("doc_id", "text").collect()
     rows = sorted(rows, key=lambda r: -r["doc_id"])

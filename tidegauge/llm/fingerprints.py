@@ -78,6 +78,7 @@ def _sampled() -> tuple[np.ndarray, np.ndarray]:
 
 _STEPS, _WEIGHTS = _sampled()
 _BAND_PLACES = [[_draw.permutation(SAMPLES)[:BAND_SAMPLES].tolist() for _ in range(BANDS)] for _ in range(LEVELS)]
+_PLACES = np.array(_BAND_PLACES)
 
 
 class _ByCharacter(dict):
@@ -156,6 +157,19 @@ def bands(print_: str) -> list[str]:
     return keys
 
 
+def shared_bands(a: str, b: str) -> int:
+    """How many bands two fingerprints share."""
+    levels = [len(x) // SAMPLES for x in (a, b)]
+    if not all(levels):
+        return len(set(bands(a)) & set(bands(b)))
+    low, high = max(0, max(levels) - 2), min(levels)
+    if low >= high:
+        return 0
+    x, y = (np.frombuffer(p[: high * SAMPLES].encode(), np.uint8) for p in (a, b))
+    same = x == y
+    return sum(int(same[level * SAMPLES + _PLACES[level]].all(1).sum()) for level in range(low, high))
+
+
 def _texts(batch: pa.RecordBatch, name: str) -> list[str]:
     return batch[name].fill_null("").to_pylist()
 
@@ -241,11 +255,10 @@ def _compared(number, text: str, places: np.ndarray, step: int, own: str, follow
     edited = text[: len(text) - half] + following[:half]
     more, _ = walker.walk(following[:half], step)
     edited_print = _digits(edited, np.concatenate([places, len(text) - half + more])) if edited else ""
-    bands_own = set(bands(own))
     return (
         number, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), own, edited_print,
         likeness(own, edited_print), likeness(own, next_print),
-        len(bands_own & set(bands(edited_print))), len(bands_own & set(bands(next_print))),
+        shared_bands(own, edited_print), shared_bands(own, next_print),
     )
 
 
