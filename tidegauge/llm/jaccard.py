@@ -361,13 +361,14 @@ class Join:
         def choice(k: int):
             return F.min(_other(F.xxhash64("key", F.lit(k)).alias("order"), "key"))
 
-        smallest = F.min(_other(F.lit(0).cast("long").alias("order"), "key"))
+        groups = incidences.groupBy("token").agg(F.min(_other("key")).alias("other"), F.count("*").alias("members"))
         # A group of few is left to the smallest, and to the pairs that remain.
-        several = [F.when(F.count("*") > CHOICES, choice(k)) for k in range(CHOICES)]
-        others = F.array_distinct(F.array_compact(F.array(smallest, *several)))
-        chosen = incidences.groupBy("token").agg(others.alias("others"))
-        chosen = chosen.select("token", F.explode("others").alias("other"))
-        return _comparable(incidences.join(chosen, "token").where(F.col("key") != F.col("other.key")))
+        large = groups.where(F.col("members") > CHOICES).select("token")
+        chosen = incidences.join(large, "token", "left_semi").groupBy("token")
+        chosen = chosen.agg(F.array(*[choice(k) for k in range(CHOICES)]).alias("others"))
+        chosen = chosen.select("token", F.explode(F.array_distinct(F.transform("others", lambda o: o.dropFields("order")))))
+        others = groups.select("token", "other").unionByName(chosen.toDF("token", "other"))
+        return _comparable(incidences.join(others, "token").where(F.col("key") != F.col("other.key")))
 
     def remaining_pairs(self, incidences: DataFrame, parts: DataFrame) -> DataFrame:
         """All pairs of a group in different components."""
