@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -40,19 +41,64 @@ def test_more_kinds():
     assert [k for k, *_ in secrets.find_spans(text)] == ["github", "privatekey", "webtoken"]
 
 
-def test_only_unseen_contents_are_scanned(spark):
+def test_web_tokens_equal_the_plain_pattern():
+    draw = random.Random(8)
+    plain = re.compile(r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+    found = 0
+    for _ in range(20_000):
+        text = "".join(draw.choices(["eyJ", "eyJa", ".", ".", "x-_9", " ", "é", "ey"], k=draw.randint(1, 16)))
+        expected = [m.span() for m in plain.finditer(text)]
+        assert list(secrets._web_tokens(text)) == expected, text
+        found += len(expected)
+    assert found > 100
+
+
+def test_hostile_texts_take_linear_time():
+    started = time.perf_counter()
+    for text in ("eyJ" * 2_000_000, ".eyJa" * 1_000_000, "token" * 1_000_000, "-----BEGIN " + "A " * 2_000_000, "AKIA" * 1_000_000):
+        secrets.find_spans(text)
+    assert time.perf_counter() - started < 20
+    started = time.perf_counter()
+    assert secrets.find_spans("eyJ" * 2_000_000) == []
+    assert time.perf_counter() - started < 2
+
+
+def test_only_unseen_contents_are_scanned(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    assert secrets.read_ledger(spark, path).count() == 0
     day1 = spark.createDataFrame([(1, "token=abcdefgh1"), (2, "token=abcdefgh1"), (3, None)], SCHEMA)
-    ledger = secrets.update_ledger(day1)
-    assert ledger.count() == 2  # one for each content
-    day2 = spark.createDataFrame([(1, "token=abcdefgh1"), (4, "secret: 12345678"), (5, "")], SCHEMA)
-    new = secrets.scan_unseen(day2, ledger).collect()
+    assert secrets.update_ledger(day1, path).count() == 2  # one for each content
+    # Another version of text 1, and another path of its old one.
+    day2 = spark.createDataFrame([(6, "token=abcdefgh1"), (1, "secret: 12345678"), (5, "")], SCHEMA)
+    new = secrets.scan_unseen(day2, secrets.read_ledger(spark, path)).collect()
     assert [r.content for r in new] == [hashlib.sha256(b"secret: 12345678").hexdigest()]
-    ledger = secrets.update_ledger(day2, ledger)
+    ledger = secrets.update_ledger(day2, path)
     assert ledger.count() == 3
-    # Rows of other rules do not count as known, nor are they reported.
-    old = ledger.withColumn("version", F.lit("0"))
-    assert secrets.scan_unseen(day2, old).count() == 3
-    assert secrets.findings(day2, old).count() == 0
+    # An arrival that comes again adds nothing; the store holds every version ever seen.
+    assert secrets.update_ledger(day2, path).count() == secrets.update_ledger(day1, path).count() == 3
+    found = secrets.findings(day1.unionByName(day2), ledger)
+    assert sorted((r.path.doc_id, len(r.spans)) for r in found.collect()) == [(1, 1), (1, 1), (2, 1), (3, 0), (5, 0), (6, 1)]
+
+
+def test_new_rules_scan_everything_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ledger")
+    day1 = spark.createDataFrame([(1, "token=abcdefgh1"), (3, None)], SCHEMA)
+    old = secrets.update_ledger(day1, path)
+    monkeypatch.setattr(secrets, "RULES_VERSION", "2")
+    assert secrets.findings(day1, old).count() == 0
+    both = secrets.update_ledger(day1, path)
+    assert sorted(r["version"] for r in both.collect()) == ["1", "1", "2", "2"]
+    assert secrets.findings(day1, both).count() == 2
+
+
+def test_rows_that_two_writers_added_count_once(spark, tmp_path):
+    path = str(tmp_path / "ledger")
+    docs = spark.createDataFrame([(1, "token=abcdefgh1")], SCHEMA)
+    twice = secrets.update_ledger(docs, path)
+    twice.write.mode("append").parquet(path)
+    twice = secrets.read_ledger(spark, path)
+    assert twice.count() == 2
+    assert secrets.findings(docs, twice).count() == secrets.redacted(docs, twice).count() == 1
 
 
 def test_findings_reach_every_path(spark):

@@ -2,7 +2,9 @@
 
 Every version of every text is addressed by the SHA-256 of its UTF-8 bytes. The ledger keeps, per
 content and version of the rules, the spans found; only pairs it does not know are scanned, once
-each, however many paths share a content. Findings are joined back to all paths.
+each, however many paths share a content. It is a table in a folder, to which each arrival of texts adds what it brings
+(:func:`update_ledger`); an arrival that was repeated after a failure adds nothing, and rows that are there twice count
+once. Findings are joined back to all paths.
 
 Rules (``RULES``) find leftmost non-overlapping matches per kind. A span is ``kind``, ``start``,
 ``end`` in code points, end exclusive; spans are ordered by start, then by the kind's place in the
@@ -15,14 +17,15 @@ findings of their content; null paths are paths like any other; an empty table g
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm import textops
-from tidegauge.session import written
+from tidegauge.session import shared_folder
 
 #: Kind, pattern, the group whose length counts, and its least length. The first three.
 RULES = [
@@ -35,7 +38,7 @@ RULES = [
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]+", 0, 32),
     ("github", r"gh[opusr]_[A-Za-z0-9]+", 0, 40),
-    ("webtoken", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    ("webtoken", None, 0, 40),
     ("privatekey", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
 ]
 BASE_KINDS = ("assign", "access", "hex")
@@ -48,10 +51,34 @@ BROADCAST_CONTENTS = 100_000
 _SPANS_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
+_DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
+
+
+def _web_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Three parts joined by dots, of which the first two begin with ``eyJ`` and go on; in time linear in the text."""
+    if ".eyJ" not in text:
+        return
+    for run in _DOTTED.finditer(text):
+        if ".eyJ" not in run[0]:
+            continue
+        parts, at, i = run[0].split("."), run.start(), 0
+        while i + 2 < len(parts):
+            first = parts[i].find("eyJ")
+            if 0 <= first < len(parts[i]) - 3 and parts[i + 1][:3] == "eyJ" and len(parts[i + 1]) > 3 and parts[i + 2]:
+                end = at + len(parts[i]) + len(parts[i + 1]) + len(parts[i + 2]) + 2
+                yield at + first, end
+                at, i = end + 1, i + 3
+            else:
+                at, i = at + len(parts[i]) + 1, i + 1
+
+
 def find_spans(text: str) -> list[tuple[str, int, int]]:
     """All spans of one text."""
     found = []
     for place, (kind, pattern, group, least) in enumerate(RULES):
+        if pattern is None:
+            found += [(start, place, end, kind) for start, end in _web_tokens(text) if end - start >= least]
+            continue
         # A run of 32 hexadecimal digits is the same whether shorter runs are passed over or dropped.
         pattern = "[0-9a-f]{32,}" if kind == "hex" else pattern
         for m in re.finditer(pattern, text):
@@ -72,29 +99,44 @@ def content_of(text: Column) -> Column:
     return F.sha2(F.encode(F.coalesce(text.cast("string"), F.lit("")), "UTF-8"), 256)
 
 
-def scan_unseen(texts: DataFrame, ledger: DataFrame | None = None, text: str = "text") -> DataFrame:
+def scan_unseen(texts: DataFrame, ledger: DataFrame, text: str = "text") -> DataFrame:
     """Ledger rows for the contents of ``texts`` that ``ledger`` lacks under the present rules."""
     textops.small_batches(texts.sparkSession)
     content = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     unseen = texts.select(content_of(F.col(text)).alias("content"), content)
-    if ledger is not None:
-        known = ledger.where(F.col("version") == RULES_VERSION).select("content")
-        unseen = unseen.join(known, "content", "left_anti")
-    once = unseen.dropDuplicates(["content"])
+    known = ledger.where(F.col("version") == RULES_VERSION).select("content")
+    # Both need the rows of a content together: one shuffle.
+    once = unseen.join(known, "content", "left_anti").dropDuplicates(["content"])
     return once.select("content", F.lit(RULES_VERSION).alias("version"), _scan("text").alias("spans"))
 
 
-def update_ledger(texts: DataFrame, ledger: DataFrame | None = None, text: str = "text") -> DataFrame:
-    """The ledger with every content of ``texts`` in it, its new rows written to the shared folder."""
-    new = written(scan_unseen(texts, ledger, text))
-    return new if ledger is None else ledger.unionByName(new)
+LEDGER = T.StructType().add("content", "string").add("version", "string").add("spans", SPANS)
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger in the folder ``path``, a row for each content and version of the rules; empty before the first arrival."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(path)
+
+
+def update_ledger(texts: DataFrame, path: str | None = None, text: str = "text") -> DataFrame:
+    """Add the contents of ``texts`` that the ledger in ``path`` lacks, and give the whole ledger.
+
+    Without ``path`` a new ledger is made in the shared folder.
+    """
+    spark = texts.sparkSession
+    path = path or shared_folder(spark)
+    scan_unseen(texts, read_ledger(spark, path), text).write.mode("append").parquet(path)
+    return read_ledger(spark, path)
 
 
 def findings(paths: DataFrame, ledger: DataFrame, text: str = "text") -> DataFrame:
     """``paths`` without its text, and the spans of each row's content under the present rules."""
     kept = [F.col(f"`{c}`") for c in paths.columns if c != text]
     own = paths.select(F.struct(*kept).alias("path"), content_of(F.col(text)).alias("content"))
-    known = ledger.where(F.col("version") == RULES_VERSION).select("content", "spans")
+    known = ledger.where(F.col("version") == RULES_VERSION).dropDuplicates(["content"]).select("content", "spans")
     return own.join(known, "content").select("path", "content", "spans")
 
 
@@ -115,7 +157,8 @@ def _redact(texts: pa.Array, spans: pa.Array) -> pa.Array:
 def redacted(docs: DataFrame, ledger: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span found replaced by a mark; the columns stay as they are."""
     record = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")
-    secret = ledger.where((F.col("version") == RULES_VERSION) & (F.size("spans") > 0)).select("content", "spans")
+    secret = ledger.where((F.col("version") == RULES_VERSION) & (F.size("spans") > 0))
+    secret = secret.dropDuplicates(["content"]).select("content", "spans")
     if secret.count() <= BROADCAST_CONTENTS:
         secret = F.broadcast(secret)
     found = docs.select(record, content_of(F.col(text)).alias("content")).join(secret, "content", "left")
