@@ -72,7 +72,7 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     """Row number and set of every row."""
     for start, end, words, rows in textops.rows_of_words(batch["text"]):
         yield from enumerate(textops.shingle_hashes(words, rows), start)
-    pa.default_memory_pool().release_unused()
+    textops.give_back()
 
 
 def overlap_tries(query: np.ndarray, blobs: list[bytes]) -> list[int]:
@@ -156,8 +156,8 @@ class Join:
         text = F.col("text").cast("string")
         # A row is told by its number and text; numbers may be null or repeated.
         self.docs = docs.select("doc_id", F.xxhash64(text).alias("hash"), text.alias("text"))
-        # So many buckets that a bucket's share of the shingles fits in a task at any size of input.
-        self.bits = max(8, math.ceil(math.log2(8 * self.docs.rdd.getNumPartitions())))
+        # So many buckets that a bucket's share of the shingles is small at any size of input.
+        self.bits = max(10, math.ceil(math.log2(32 * self.docs.rdd.getNumPartitions())))
 
     def classes(self) -> DataFrame:
         """``doc_id``, ``hash`` of the text, ``n_shingles``, ``key`` of its set (null without one)."""
@@ -220,6 +220,7 @@ class Join:
             token, inverse = np.unique(np.concatenate(tokens), return_inverse=True)
             total = np.bincount(inverse, np.concatenate(counts)).astype(np.int64)
             many = total > FREQUENT
+            textops.give_back()
             number = bucket["bucket"][0].as_py() << 32
             return pa.table({"token": token[many].astype(np.int64) + number, "documents": total[many]})
 
@@ -307,7 +308,9 @@ class Join:
                 shared[1:] |= same
                 shared[:-1] |= same
                 token, key, place = token[shared] + (number << 32), key[shared], place[shared]
-            return pa.table({"token": token, "key": key, "place": place.astype(np.int64)})
+            met = pa.table({"token": token, "key": key, "place": place.astype(np.int64)})
+            textops.give_back()
+            return met
 
         gathered = self.docs.select("text").mapInArrow(gather, "bucket int, tokens binary, keys binary, places binary")
         return gathered.groupBy("bucket").applyInArrow(meet, "token long, key long, place long")

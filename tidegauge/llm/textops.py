@@ -7,6 +7,8 @@ length of a text but for eight bytes per word.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +31,18 @@ _INVERSE = pow(_FACTOR, -1, 2**64)
 _PLACES = np.random.default_rng(12).integers(1, 2**63, 2 * SHINGLE, dtype=np.uint64) | np.uint64(1)
 
 
+@functools.cache
+def _trim():
+    """The C library's call that gives unused memory back to the system, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def give_back() -> None:
+    """Give memory that this worker does not use any more back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def small_batches(spark: SparkSession) -> SparkSession:
     """Let this session send rows to Python workers in batches of at most ``BATCH_ROWS``."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
