@@ -5,8 +5,9 @@ from conftest import message, messages_frame
 from pyspark.errors import AnalysisException
 
 from tidegauge.operators.parse import accepted, parse_events
-from tidegauge.operators.publish import aggregate_messages, event_messages, read_aggregate_messages, round_robin
+from tidegauge.operators.publish import aggregate_messages, event_messages, read_aggregate_messages, read_with_reasons, round_robin
 from tidegauge.schemas import AGGREGATE_SCHEMA
+from tidegauge.session import written
 from tidegauge.sources import messages, sinks
 
 
@@ -50,6 +51,28 @@ def test_value_is_decoded_and_the_rest_of_the_record_dropped(spark):
     assert decoded.first()["value"] == "é"
 
 
+def test_every_message_is_read_or_told(spark):
+    messages = messages_frame_of(spark)
+    told = {r["reason"]: r["rejected"] for r in read_with_reasons(messages).where("reason IS NOT NULL").collect()}
+    assert told == {"malformed_json": "{", "missing_avg_temperature": '{"window_start":"1","window_end":"2","device_type":"x","median_humidity":1}'}
+    rows = read_with_reasons(messages).where("reason IS NULL")
+    assert rows.drop("rejected", "reason").collect() == read_aggregate_messages(messages).collect()
+    assert rows.count() == 5 and rows.where("rejected IS NOT NULL").count() == 0
+
+
+def messages_frame_of(spark):
+    bad = [("{",), ('{"window_start":"1","window_end":"2","device_type":"x","median_humidity":1}',)]
+    return aggregate_messages(rows_frame(spark, 5)).select("value").unionByName(spark.createDataFrame(bad, "value STRING"))
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 40])
+def test_partitions_differ_by_one_whatever_the_tasks(spark, tasks):
+    messages = written(aggregate_messages(rows_frame(spark, 1003)).repartition(tasks, "value"))
+    dealt = round_robin(messages, 7).groupBy("partition").count().collect()
+    assert len(dealt) == 7 and max(r["count"] for r in dealt) - min(r["count"] for r in dealt) <= 1
+    assert round_robin(messages.limit(0), 7).count() == 0
+
+
 def test_round_robin_is_even(spark):
     dealt = round_robin(aggregate_messages(rows_frame(spark, 1000).repartition(3)), 4)
     sizes = {r["partition"]: r["count"] for r in dealt.groupBy("partition").count().collect()}

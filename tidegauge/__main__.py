@@ -7,6 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidegauge.operators.publish import read_with_reasons
 from tidegauge.schemas import INPUT_TOPIC, OUTPUT_TOPIC
 from tidegauge.session import configure
 from tidegauge.sources import dictionary, messages, sinks
@@ -86,9 +87,9 @@ def stream(spark: SparkSession, args) -> None:
 
 
 def read(spark: SparkSession, args) -> None:
-    """Show the aggregate rows as they arrive, until stopped."""
+    """Show the aggregate rows as they arrive, and what is no such row with the reason, until stopped."""
     source = messages.stream_kafka(spark, args.servers, args.output_topic, **_connection(args))
-    rows = sinks.read_aggregate_messages(source)
+    rows = read_with_reasons(source)
     rows.writeStream.format("console").option("truncate", "false").start().awaitTermination()
 
 

@@ -57,10 +57,31 @@ def _parsed_aggregates(messages: DataFrame, value: str) -> DataFrame:
     return parsed.select("value", row, reason.alias("reason"))
 
 
+def read_with_reasons(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Every message of aggregates: its row, or, where there is none, the message and the ``reason``."""
+    parsed = _parsed_aggregates(messages, value)
+    text = F.when(F.col("reason").isNotNull(), F.col("value"))
+    row = [F.when(F.col("reason").isNull(), F.col(f"row.{name}")).alias(name) for name in AGGREGATE_SCHEMA.names]
+    return parsed.select(*row, text.alias("rejected"), "reason")
+
+
 def round_robin(messages: DataFrame, partitions: int) -> DataFrame:
     """Deal messages out to ``partitions`` in turn, as the ``partition`` column of a Kafka write.
 
-    Batch only, which includes the frames a stream hands to its batch writer.
+    The messages of each task are counted first, so that a task goes on where the one before it ends, and partitions
+    differ by one message at most, however many tasks there are. What a task reads should be the same both times, as it is of
+    files and written tables; else the numbers are a little uneven. Batch only, which includes
+    the frames a stream hands to its batch writer.
     """
-    turn = F.monotonically_increasing_id() + F.spark_partition_id()
-    return messages.withColumn("partition", F.pmod(turn, F.lit(partitions)).cast("int"))
+    task = F.spark_partition_id()
+    counts = messages.select(task.alias("task")).groupBy("task").agg(F.count("*").alias("n")).collect()
+    first, before = {}, 0
+    for row in sorted(counts):
+        first[row["task"]] = before
+        before = (before + row["n"]) % partitions
+    starts = messages.sparkSession.createDataFrame(list(first.items()), "_task INT, _first INT")
+    # The lower 33 bits number the rows of a task.
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    placed = messages.withColumns({"_task": task, "_number": number}).join(F.broadcast(starts), "_task", "left")
+    turn = F.pmod(F.col("_number") + F.coalesce("_first", F.lit(0)), F.lit(partitions)).cast("int")
+    return placed.select(*messages.columns, turn.alias("partition"))

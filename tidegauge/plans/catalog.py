@@ -23,7 +23,7 @@ from tidegauge.plans.event_table import (
     to_messages,
 )
 from tidegauge.plans.sensor_stats import select_from_view, sensor_stats
-from tidegauge.session import configure, shared_folder
+from tidegauge.session import configure, shared_folder, written
 from tidegauge.sources import versions
 from tidegauge.sources.dictionary import read_table, replace_table, snapshot
 from tidegauge.sources.messages import decode_value, stream_files
@@ -236,15 +236,12 @@ def aggregates_written(spark, folder):
 
 
 def round_robin_partitions(spark, folder):
-    """Partition numbers dealt out to all event messages, how many messages got one, and whether evenly.
-
-    Each reading task deals on its own, so partitions may differ by one message for each.
-    """
-    dealt = round_robin(to_events(read_events(spark, folder)).select(event_json().alias("value")), 4)
-    counts = dealt.withColumn("task", F.spark_partition_id()).groupBy("partition")
-    counts = counts.agg(F.count("*").alias("n"), F.max("task").alias("task"))
-    uneven = F.max("n") - F.min("n") > F.max("task") + 1
-    return counts.agg(F.count("*").alias("partitions"), F.sum("n").alias("messages"), (~uneven).alias("even"))
+    """Partition numbers dealt out to all event messages in seven tasks, how many messages got one, and whether evenly."""
+    events = to_events(read_events(spark, folder)).select(event_json().alias("value"))
+    dealt = round_robin(written(events.repartition(7, "value")), 4)
+    counts = dealt.groupBy("partition").agg(F.count("*").alias("n"))
+    even = F.max("n") - F.min("n") <= 1
+    return counts.agg(F.count("*").alias("partitions"), F.sum("n").alias("messages"), even.alias("even"))
 
 
 def window_stats_stream(spark, folder):
@@ -294,17 +291,17 @@ def restart_no_duplicates(spark, folder):
 def stream_delivery_report(spark, folder):
     """Counters of a streaming run over damaged messages: read, rejected, late, and rows written."""
     out = shared_folder(spark)
-    written = []
+    rows_of_batches = []
     with DeliveryTotals(spark) as deliveries:
         query = sensor_stream.start(
             damaged_messages(stream_events(spark, folder)),
             region_dictionary(spark, folder),
             files_writer(f"{out}/rows"),
             f"{out}/checkpoint",
-            on_written=lambda batch_id, rows: written.append(rows),
+            on_written=lambda batch_id, rows: rows_of_batches.append(rows),
             availableNow=True,
         )
-        totals = deliveries.wait(query) | {"rows_written": sum(written)}
+        totals = deliveries.wait(query) | {"rows_written": sum(rows_of_batches)}
     return spark.createDataFrame([tuple(totals.values())], ", ".join(f"{name} LONG" for name in totals))
 
 
