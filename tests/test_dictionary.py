@@ -2,7 +2,7 @@ import pytest
 from conftest import message, messages_frame
 from pyspark.sql import functions as F
 
-from tidegauge.operators.enrich import enrich
+from tidegauge.operators.enrich import enrich, hot_ids
 from tidegauge.operators.parse import accepted, parse_events
 from tidegauge.schemas import DICTIONARY_SCHEMA
 from tidegauge.sources import dictionary as d
@@ -142,3 +142,32 @@ def test_a_wide_id_is_written_in_its_type(spark, tmp_path):
     path = str(tmp_path / "types")
     d.replace_table(spark.createDataFrame([(1, "a")], "id LONG, type_name STRING"), path)
     assert [tuple(r) for r in d.read_table(spark, path).collect()] == [(1, "a")]
+
+
+def test_hot_ids_are_found_and_joined_apart(spark):
+    """One id has a third of the events; only its entry is copied to all tasks."""
+    rows = 9000
+    given = spark.range(rows).selectExpr(
+        "CAST(IF(id % 3 = 0, 7, IF(id % 50 = 1, NULL, id)) AS INT) AS device_type_id",
+        "timestamp_seconds(id) AS event_time", "1D AS temperature", "CAST(id AS DOUBLE) AS humidity",
+    )
+    entries = spark.range(0, rows, 2).selectExpr("CAST(id AS INT) AS id", "concat('name ', id) AS type_name")
+    entries = entries.unionByName(spark.sql("SELECT 7 AS id, 'hot' AS type_name"))
+    large = d.snapshot(entries, broadcast_rows=0)
+    assert hot_ids(given) == [7]
+    assert hot_ids(given.limit(0)) == []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        apart = enrich(given, large, [7])
+        assert sorted(apart.collect()) == sorted(enrich(given, large).collect()) == sorted(enrich(given, d.snapshot(entries)).collect())
+        plan = apart._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" in plan and "Generate" not in plan
+        # The hot events are spread over the partitions of the shuffled join.
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spread = enrich(given, large, [7]).where("device_type = 'hot'").withColumn("task", F.spark_partition_id())
+        counts = [r["count"] for r in spread.groupBy("task").count().collect()]
+        assert sum(counts) == rows // 3 + 1 and len(counts) == 4 and max(counts) < rows // 9
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

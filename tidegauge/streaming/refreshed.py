@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegauge.operators.enrich import enrich
+from tidegauge.operators.enrich import enrich, hot_ids
 from tidegauge.sources import versions
 from tidegauge.sources.dictionary import BROADCAST_ROWS
 
@@ -31,7 +31,9 @@ def start(
             chosen = spark.range(1).select(F.lit(versions.newest(spark, dictionary_path)).cast("long").alias("version"))
             chosen.write.mode("overwrite").parquet(noted)
         version = spark.read.schema("version LONG").parquet(noted).first()["version"]
-        named = enrich(batch, versions.dictionary(spark, dictionary_path, version, broadcast_rows))
+        dictionary = versions.dictionary(spark, dictionary_path, version, broadcast_rows)
+        # A streaming job may run without adaptive execution; the batch itself tells which ids are hot.
+        named = enrich(batch, dictionary, () if dictionary.is_broadcastable else hot_ids(batch))
         named.withColumn("version", F.lit(version)).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
 
     writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)

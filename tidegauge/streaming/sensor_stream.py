@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,7 +21,11 @@ ACCEPTED, REJECTED = "accepted", "rejected"
 
 
 def closed_window_counts(
-    messages: DataFrame, dictionary: Dictionary | None, size: str = WINDOW_SIZE, delay: str = MAX_OUT_OF_ORDER
+    messages: DataFrame,
+    dictionary: Dictionary | None,
+    size: str = WINDOW_SIZE,
+    delay: str = MAX_OUT_OF_ORDER,
+    hot: Sequence[int] = (),
 ) -> DataFrame:
     """Value counts of each window, emitted once, when the watermark has passed its end.
 
@@ -31,13 +35,13 @@ def closed_window_counts(
     if "device_type" in messages.columns:
         return value_counts(with_watermark(messages, delay), size)
     if set(EVENT_SCHEMA.names) <= set(messages.columns):
-        return value_counts(with_watermark(enrich(messages, dictionary), delay), size)
+        return value_counts(with_watermark(enrich(messages, dictionary, hot), delay), size)
     parsed = parse_events(messages, keep=STATISTICS_INPUT).observe(
         "messages",
         F.count("*").alias("read"),
         F.count("reject_reason").alias("rejected"),
     )
-    return value_counts(with_watermark(enrich(accepted(parsed), dictionary), delay), size)
+    return value_counts(with_watermark(enrich(accepted(parsed), dictionary, hot), delay), size)
 
 
 def finish_batch(write: BatchWriter, on_written: Callable[[int, int], None] | None = None):
@@ -82,14 +86,17 @@ def start(
     size: str = WINDOW_SIZE,
     delay: str = MAX_OUT_OF_ORDER,
     on_written: Callable[[int, int], None] | None = None,
+    hot: Sequence[int] = (),
     **trigger,
 ) -> StreamingQuery:
     """Start the job. ``trigger`` is passed on, e.g. ``availableNow=True`` for a finite run.
 
+    ``hot`` are the ids that many events have; it matters for a dictionary too large to broadcast only.
+
     A restart with the same ``checkpoint`` resumes where the job stopped.
     """
     writer = (
-        closed_window_counts(messages, dictionary, size, delay)
+        closed_window_counts(messages, dictionary, size, delay, hot)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(finish_batch(write, on_written))
