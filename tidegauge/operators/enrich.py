@@ -12,8 +12,8 @@ from tidegauge.sources.dictionary import Dictionary
 HOT_SHARE = 1 / 64
 # Ids the sketch keeps track of: an id of a hot share cannot be missed.
 TRACKED = 4096
-# Keys over which the events of hot ids are spread; none of them has an entry.
-SPREAD = 1 << 20
+# Keys over which the events of hot ids are spread, from a number on that no id reaches.
+BEYOND_IDS, SPREAD = 1 << 40, 1 << 20
 
 
 def hot_ids(events: DataFrame) -> list[int]:
@@ -40,11 +40,13 @@ def enrich(events: DataFrame, dictionary: Dictionary, hot: Sequence[int] = ()) -
         joined = events.join(entries.hint("merge"), "device_type_id", "left")
     else:
         known = F.broadcast(entries.where(F.col("device_type_id").isin(*hot)).withColumnRenamed("type_name", "_hot_name"))
-        # Seeded, so that a retried task spreads its rows as before.
-        spread = F.when(F.col("device_type_id").isin(*hot), 1 + F.floor(F.rand(seed=1) * SPREAD)).otherwise(0)
-        told = events.join(known, "device_type_id", "left").withColumn("_spread", spread.cast("long"))
-        others = entries.withColumn("_spread", F.lit(0).cast("long")).hint("merge")
-        joined = told.join(others, ["device_type_id", "_spread"], "left")
+        # Keys beyond all ids, so that they meet no entry. Seeded, so that a retried task spreads its rows as before.
+        spread = BEYOND_IDS + F.floor(F.rand(seed=1) * SPREAD)
+        apart = F.col("device_type_id").isNull() | F.col("device_type_id").isin(*hot)
+        told = events.join(known, "device_type_id", "left")
+        told = told.withColumn("_key", F.when(apart, spread).otherwise(F.col("device_type_id").cast("long")))
+        others = entries.select(F.col("device_type_id").cast("long").alias("_key"), "type_name").hint("merge")
+        joined = told.join(others, "_key", "left")
         joined = joined.withColumn("type_name", F.coalesce("_hot_name", "type_name"))
     return joined.select(
         F.coalesce("type_name", F.lit(UNKNOWN_TYPE)).alias("device_type"),
