@@ -98,3 +98,47 @@ def test_query_equals_listed_rules_where_nothing_is_mined(spark):
         host, path, rule, verdict = plain_rule(pages[r.page_id])
         assert (r.host, r.path, r.rule) == (host, path, rule)
         assert verdict is None or r.verdict == verdict
+
+
+def rules_of(spark, rows, **mining):
+    labelled = spark.createDataFrame(rows, "url STRING, bad BOOLEAN")
+    return {tuple(r.tokens): (round(r.confidence, 6), round(r.support * len(rows))) for r in urls.mine_rules(labelled, **mining).collect()}
+
+
+def test_query_keys_that_occur_together_are_one_item(spark):
+    keys = "&".join(f"k{i:02}={i}" for i in range(30))
+    rows = [(f"http://h{i % 2}.org/p/{i}?{keys}", i % 2 == 0) for i in range(60)]
+    # The shared keys, host ending and path hold no rule: half of their pages are bad.
+    assert rules_of(spark, rows) == {("host:h0",): (1.0, 30)}
+    rows = [(f"http://h.org/{'x' * 20_000 if i % 2 else 'y'}?{keys if i % 2 else 'q'}", i % 2 == 1) for i in range(60)]
+    together = tuple(sorted(["path:" + "x" * 20_000, *(f"query:k{i:02}" for i in range(30))]))
+    assert rules_of(spark, rows) == {together: (1.0, 30)}
+
+
+def test_a_rare_host_is_learned_in_a_large_table(spark):
+    """30 bad pages of 20,000, one and a half in a thousand; and 19, which are too few."""
+    rows = [(f"http://h{i % 700}.org/a/{i}", i % 4 == 0) for i in range(19_951)]
+    rows += [(f"http://rare.example.net/b/{i}", True) for i in range(30)] + [("http://few.example.net/c", True)] * 19
+    got = rules_of(spark, rows)
+    assert got[("host:rare", "path:b")] == (1.0, 30)
+    assert not any("host:few" in rule for rule in got)
+
+
+def test_classes_of_items_give_the_same_rules(spark, monkeypatch):
+    rows, labels = sample()
+    rows = [(rows[i][1] + f"&k{i % 7}=1", bad) for i, bad in labels]
+    expected = rules_of(spark, rows)
+    assert len(expected) == 3 and any(len(rule) == 2 for rule in expected)
+    monkeypatch.setattr(urls, "ITEMS", 3)
+    assert rules_of(spark, rows) == expected
+
+
+def test_clashing_columns_and_long_urls(spark):
+    pages = spark.createDataFrame(
+        [(i, "http://bad.org/" + "/".join(f"s{k}" for k in range(3000)), "t", 1, True, "m") for i in range(40)]
+        + [(99, "http://fine.org/x", "t", 1, False, "m")],
+        "page_id LONG, url STRING, tokens STRING, pages INT, bad BOOLEAN, item STRING",
+    )
+    labels = spark.createDataFrame([(i, True, "u") for i in range(25)], "page_id LONG, bad BOOLEAN, url STRING")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, labels).collect()}
+    assert got.pop(99) == "allow" and len(got) == 40 and set(got.values()) == {"block"}

@@ -2,7 +2,11 @@
 
 Listed rules of host and path decide first, the longest that fits. The rest is judged by mined rules:
 FP-growth finds token combinations that frequently go with a bad label; rules below the confidence
-bound, and rules that a shorter one covers, are pruned. Each rule is indexed under its rarest token,
+bound, and rules that a shorter one covers, are pruned. How often is a number of bad pages, the same at
+every size of the table, so that a rare host is learned as soon as there is evidence. Tokens of fewer bad
+pages are in no rule and are left out first; tokens that the labelled URLs hold always together are one
+item, lest a dozen query keys of one link make thousands of combinations, and a rule names them all.
+Where more than ``ITEMS`` items are left, combinations are mined by class of their rarest item. Each rule is indexed under its rarest token,
 so that a page meets only the rules of tokens it has, whatever token most pages share.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path, no tokens, and is
@@ -12,10 +16,15 @@ counts; an empty label table yields no mined rules; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegauge.session import written
+
 #: (verdict, host, path), as given.
 LISTED = [
     ("allow", "com", "/"),
@@ -25,10 +34,13 @@ LISTED = [
     ("block", "net", "/fr/"),
 ]
 BAD = "bad"
-MIN_SUPPORT = 0.002
+#: Share of the labelled pages that a rule must rest on besides; 0: the number of pages alone decides.
+MIN_SUPPORT = 0.0
 MIN_CONFIDENCE = 0.6
-#: Pages a rule must rest on: fewer prove nothing, however small the table.
+#: Bad pages a rule must rest on: fewer prove nothing, however small the table.
 MIN_PAGES = 20
+#: Items of one run of FP-growth, whose driver holds their names and counts.
+ITEMS = 200_000
 #: Broadcast the mined rules up to this number (a rule has few short tokens).
 BROADCAST_RULES = 10_000
 
@@ -58,6 +70,47 @@ def tokens_of(url: Column) -> Column:
     return F.coalesce(F.array_distinct(present), F.expr("cast(array() as array<string>)"))
 
 
+def _items(urls: DataFrame, needed: int) -> DataFrame:
+    """Items of the tokens of at least ``needed`` bad pages: ``item`` and its ``members``, which the URLs hold always together.
+
+    ``urls`` holds distinct ``tokens`` with their hash ``own``, ``pages`` and ``bad`` pages. Names sort by number of
+    pages, fewest first.
+    """
+    token = urls.select("own", "pages", "bad", F.explode("tokens").alias("token"))
+    # Tokens of the same URLs have the same sums of their hashes.
+    same = [F.bit_xor(F.xxhash64(F.lit(k), "own")).alias(f"same_{k}") for k in range(2)]
+    counted = token.groupBy("token").agg(F.sum("pages").alias("pages"), F.sum("bad").alias("bad"), *same)
+    items = counted.where(F.col("bad") >= needed).groupBy("pages", "same_0", "same_1").agg(
+        F.array_sort(F.collect_set("token")).alias("members")
+    )
+    name = F.concat(F.lpad(F.col("pages").cast("string"), 18, "0"), F.lit(" "), F.col("members")[0])
+    return items.select(name.alias("item"), "members")
+
+
+def _class(item: Column, classes: int) -> Column:
+    return F.pmod(F.xxhash64(item), F.lit(classes))
+
+
+def _mined(baskets: DataFrame, needed: int, min_confidence: float, k: int, classes: int) -> DataFrame | None:
+    """Rules over ``items`` whose rarest item is in class ``k``: ``items``, ``confidence``, ``bad_pages``."""
+    if classes > 1:
+        # Sorted from the rarest on, the items of such a rule begin at one of class k.
+        first = F.array_position(F.transform("items", lambda x: _class(x, classes) == k), F.lit(True)).cast("int")
+        held = baskets.select("bad", "items", first.alias("first")).where("first > 0")
+        baskets = held.select("bad", F.slice("items", F.col("first"), F.size("items")).alias("items"))
+    count = baskets.count()
+    if count < needed:
+        return None
+    bad = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
+    # FP-growth rounds its least count up from the share.
+    growth = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / count, minConfidence=min_confidence)
+    found = growth.fit(baskets.select(F.concat("items", bad).alias("items"))).associationRules
+    rules = found.where(F.col("consequent")[0] == BAD).select(
+        F.array_sort("antecedent").alias("items"), "confidence", F.round(F.col("support") * count).cast("long").alias("bad_pages")
+    )
+    return rules.where(_class(F.col("items")[0], classes) == k)
+
+
 def mine_rules(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
@@ -68,35 +121,50 @@ def mine_rules(
 
     A rule is dropped if its confidence does not exceed that of a rule over a part of its tokens.
     """
-    items = tokens_of(F.col("url"))
-    bad = F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))
-    baskets = labelled.where(F.col("bad").isNotNull()).select(F.concat(items, bad).alias("items"))
-    spark = labelled.sparkSession
-    count = baskets.count()
-    if count < min_pages:
-        return spark.createDataFrame([], "tokens array<string>, confidence double, support double")
-    support = max(min_support, min_pages / count)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.col("consequent")[0] == BAD).select(
-        F.array_sort("antecedent").alias("tokens"), "confidence", "support"
+    known = written(
+        labelled.where(F.col("bad").isNotNull()).select(F.array_sort(tokens_of(F.col("url"))).alias("tokens"), "bad")
+    )
+    count = known.count()
+    needed = max(min_pages, math.ceil(min_support * count))
+    # Alike URLs are counted before their tokens are.
+    of_urls = known.groupBy("tokens").agg(F.count("*").alias("pages"), F.count_if("bad").alias("bad"))
+    of_urls = written(of_urls.withColumn("own", F.xxhash64("tokens")))
+    items = written(_items(of_urls, needed))
+    placed = of_urls.select("own", F.explode("tokens").alias("token")).join(
+        items.select("item", F.explode("members").alias("token")), "token"
     )
-    token = F.explode("tokens").alias("token")
-    # A covering rule shares its first token with the rule it covers.
+    held = placed.groupBy("own").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    baskets = written(known.select(F.xxhash64("tokens").alias("own"), "bad").join(held, "own").select("items", "bad"))
+    classes = -(-items.count() // ITEMS)
+    mined = [_mined(baskets, needed, min_confidence, k, classes) for k in range(classes)]
+    mined = [rules for rules in mined if rules is not None]
+    if not mined:
+        return labelled.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double")
+    rules = written(reduce(DataFrame.unionByName, mined))
+    item = F.explode("items").alias("item")
+    # A covering rule shares its rarest item with the rule it covers.
     by_first = rules.select(
-        F.col("tokens")[0].alias("token"), F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence")
+        F.col("items")[0].alias("item"), F.col("items").alias("part"), F.col("confidence").alias("part_confidence")
     )
     covered = (
-        rules.select("tokens", "confidence", token)
-        .join(by_first, "token")
+        rules.select("items", "confidence", item)
+        .join(by_first, "item")
         .where(
-            (F.size("part") < F.size("tokens"))
+            (F.size("part") < F.size("items"))
             & (F.col("part_confidence") >= F.col("confidence"))
-            & (F.size(F.array_except("part", "tokens")) == 0)
+            & (F.size(F.array_except("part", "items")) == 0)
         )
-        .select("tokens")
+        .select("items")
         .distinct()
     )
-    return rules.join(covered, "tokens", "left_anti")
+    left = rules.join(covered, "items", "left_anti")
+    return (
+        left.select("items", "confidence", "bad_pages", item)
+        .join(items, "item")
+        .groupBy("items", "confidence", "bad_pages")
+        .agg(F.array_sort(F.flatten(F.collect_list("members"))).alias("tokens"))
+        .select("tokens", "confidence", (F.col("bad_pages") / F.lit(max(count, 1))).alias("support"))
+    )
 
 
 def match_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
@@ -141,7 +209,7 @@ def judge(pages: DataFrame, labels: DataFrame, listed=LISTED, **mining) -> DataF
     """
     bad = labels.groupBy("page_id").agg(F.max("bad").alias("bad"))
     urls = pages.select("page_id", "url")
-    rules = mine_rules(urls.join(bad, "page_id"), **mining).persist()
+    rules = written(mine_rules(urls.join(bad, "page_id"), **mining))
     matched = match_rules(urls, rules).withColumn("mined", F.lit(True))
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     mined = F.coalesce("mined", F.lit(False))
