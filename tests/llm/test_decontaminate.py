@@ -1,5 +1,6 @@
 import random
 import re
+from collections import Counter
 
 from tidegauge.llm import decontaminate as d
 from tidegauge.llm import queries
@@ -12,21 +13,32 @@ def words(text):
 
 
 def brute_force(docs, items):
-    """All (doc_id, item_id) with a seed of equal words in a window of enough equal words, every diagonal tried."""
+    """All (doc_id, item_id) with a seed of equal words in a window of enough equal words, on any diagonal.
+
+    A diagonal is tried if enough words on it are equal at all. Items without room for a seed: all their words in a row.
+    """
     out = set()
+    others = [(item_id, words(item)) for item_id, item in items]
     for doc_id, text in docs:
         own = words(text)
-        for item_id, item in items:
-            other = words(item)
-            if len(other) < d.SPAN:
+        places = {}
+        for p, word in enumerate(own):
+            places.setdefault(word, []).append(p)
+        for item_id, other in others:
+            n = len(other)
+            if n < d.SPAN:
+                starts = places.get(other[0], []) if n else []
+                if any(own[p : p + n] == other and (n >= d.ALONE or len(own) == n) for p in starts):
+                    out.add((doc_id, item_id))
                 continue
-            needed = -(-68 * min(d.WINDOW, len(other)) // 100)
-            for shift in range(-len(own), len(other) + 1):
-                # places in the item; the document's place is ``q - shift``
-                equal = [0 <= q - shift < len(own) and own[q - shift] == other[q] for q in range(len(other))]
-                if sum(equal) < needed:
+            needed = -(-68 * min(d.WINDOW, n) // 100)
+            # places in the item; the document's place is ``q - shift``
+            met = Counter(q - p for q, word in enumerate(other) for p in places.get(word, []))
+            for shift, count in met.items():
+                if count < needed:
                     continue
-                for q in range(len(other) - d.SPAN + 1):
+                equal = [0 <= q - shift < len(own) and own[q - shift] == other[q] for q in range(n)]
+                for q in range(n - d.SPAN + 1):
                     if not any(all(equal[q + m] for m in mask) for mask in d.MASKS):
                         continue
                     if any(sum(equal[max(0, q + k) : q + k + d.WINDOW]) >= needed for k in range(-d._BEFORE, 1)):
@@ -46,7 +58,7 @@ def result(spark, docs, items, schema=SCHEMA):
 def planted(seed, substitute):
     draw = random.Random(seed)
     text = lambda n: [f"w{draw.randrange(3000)}" for _ in range(n)]
-    items = [(i, " ".join(text(draw.choice([9, 10, 15, 30, 60]))), 0, 0) for i in range(20)]
+    items = [(i, " ".join(text(draw.choice([5, 9, 10, 15, 30, 60]))), 0, 0) for i in range(20)]
     docs = []
     for i in range(60):
         own = text(draw.randint(0, 80))
@@ -92,6 +104,17 @@ def test_defined_cases(spark):
     assert result(spark, [(1, passage, 2, "s")], items[:1], SCHEMA + ", item_id INT, words STRING") == {(1, 1)}
 
 
+def test_short_items(spark):
+    items = [(1, "Paris, of course", 0, 0), (2, "a b c d e", 0, 0), (3, "a b c d", 0, 0), (4, "yes", 0, 0), (5, "1 2 3 4 5 6 7 8 9", 0, 0), (6, "", 0, 0)]
+    docs = [
+        (1, "paris of COURSE"), (2, "Paris, of course, is a city."), (3, "x a, b, c, d, e y"), (4, "a b c d x e"), (5, "a b c d"),
+        (6, "yes"), (7, "yes yes"), (8, "0 1 2 3 4 5 6 7 8 9"), (9, "1 2 3 4 5 6 7 8 x"), (10, "c d e"), (11, None), (None, "Yes!"),
+    ]
+    expected = {(1, 1), (3, 2), (5, 3), (6, 4), (None, 4), (8, 5)}
+    assert brute_force(docs, [i[:2] for i in items]) == expected
+    assert result(spark, docs, items) == expected
+
+
 def test_removal_keeps_columns_and_clean_rows(spark):
     passage = "one two three four five six seven eight nine ten"
     docs = spark.createDataFrame([(1, passage, 5), (2, "clean text", 6), (None, "also clean", 7)], "doc_id LONG, text STRING, item_id INT")
@@ -112,7 +135,5 @@ def test_query_equals_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text").collect()]
-    docs = [(i, t) for i, t in docs if len(t or "") < 20_000]
     got = {(r.doc_id, r.item_id) for r in queries.op4_benchmark(spark, folder).collect()}
-    known = {i for i, _ in docs}
-    assert {g for g in got if g[0] in known} == brute_force(docs, items)
+    assert got == brute_force(docs, items)

@@ -5,13 +5,14 @@ six of ten neighbouring words and ignores the others; the hashes of all masks at
 document are joined to those of the benchmark, so that a passage is found although words in it were
 replaced. Around every hit the two texts are laid side by side, and a document is contaminated by an
 item if in some ``WINDOW`` words in a row, the seed among them, at least ``SHARE`` are equal (of an
-item shorter than the window: of its words).
+item shorter than the window: of its words). An item of fewer than ten words has one seed over all of them
+and contaminates where they stand in a row unchanged; one of fewer than ``ALONE`` words, which ordinary text
+holds too, only a document that has no other words.
 
 The benchmark's seeds are broadcast, in blocks of ``BLOCK_SEEDS``, each against all documents. What
 leaves a document's task are verified hits, added up there first.
 
-Defined cases: null and empty texts have no words; items of fewer than ten words have no seed and
-contaminate nothing; repeated items each report; rows of one document number report together, null
+Defined cases: null and empty texts have no words, and contaminate or are contaminated by nothing; repeated items each report; rows of one document number report together, null
 numbers too; an empty table on either side gives no rows; other columns are ignored.
 """
 
@@ -27,6 +28,8 @@ from tidegauge.session import written
 #: Word places that count, of ten. No two masks miss the same substitutions.
 MASKS = [(0, 1, 3, 4, 7, 9), (0, 2, 3, 5, 8, 9), (0, 1, 2, 5, 7, 9)]
 SPAN = 10
+#: Items of fewer words contaminate only documents that are nothing else.
+ALONE = 5
 WINDOW = 16
 SHARE = 0.68
 #: A seed takes about 250 bytes.
@@ -46,33 +49,52 @@ def _seeds(words: Column, at: Column) -> list[Column]:
     return [F.xxhash64(F.lit(k), *[F.get(words, at + i) for i in mask]) for k, mask in enumerate(MASKS)]
 
 
+def _whole_seed(words: Column, at: Column, length: int) -> Column:
+    """The seed of ``length`` words in a row, as an item of that many words has it."""
+    return F.xxhash64(F.lit(-length), *[F.get(words, at + i) for i in range(length)])
+
+
 def benchmark_seeds(benchmark: DataFrame) -> DataFrame:
-    """Seeds of ``item_id`` and ``text``: ``seed``, ``item_id``, the words around it, the equal words needed.
+    """Seeds of ``item_id`` and ``text``: ``seed``, ``item_id``, the words around it, the equal words needed, and
+    the number of words of an item that has one seed only.
 
     Seeds of one item with the same surroundings are one.
     """
     items = benchmark.select("item_id", word_hashes(F.col("text")).alias("words"))
-    at = F.explode(F.sequence(F.lit(0), F.size("words") - SPAN)).alias("at")
-    placed = items.where(F.size("words") >= SPAN).select("item_id", "words", at)
+    size = F.size("words")
+    at = F.explode(F.sequence(F.lit(0), F.greatest(size - SPAN, F.lit(0)))).alias("at")
+    placed = items.where(size > 0).select("item_id", "words", at)
     # Places before the first word and after the last are null.
     around = F.transform(F.sequence(F.col("at") - _BEFORE, F.col("at") + WINDOW - 1), lambda i: F.get("words", i))
-    needed = F.ceil(F.lit(SHARE) * F.least(F.lit(WINDOW), F.size("words"))).cast("int")
-    seed = F.explode(F.array(*_seeds(F.col("words"), F.col("at")))).alias("seed")
-    return placed.select(seed, "item_id", around.alias("around"), needed.alias("needed")).distinct()
-
-
-def _hits(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    short = F.when(size < SPAN, size)
+    needed = F.coalesce(short, F.ceil(F.lit(SHARE) * F.least(F.lit(WINDOW), size)).cast("int"))
+    words, place = F.col("words"), F.col("at")
+    own = F.array(*_seeds(words, place))
+    for length in range(1, SPAN):
+        own = F.when(size == length, F.array(_whole_seed(words, place, length))).otherwise(own)
+    seed = F.explode(own).alias("seed")
+    return placed.select(
+        seed, "item_id", around.alias("around"), needed.alias("needed"), short.alias("short")
+    ).distinct()
+
+
+def _hits(docs: DataFrame, seeds: DataFrame, lengths: list[int] = ()) -> DataFrame:
     """Per seed met: how many words are equal in the best window around it.
 
+    ``lengths`` are those of the items that have one seed only.
+
     The word array never leaves the generated code that walks along it; a hit takes its surroundings
     with it. They are compared outside, lest that code grow beyond what the JVM compiles.
     """
     words = docs.select("doc_id", word_hashes(F.col("text")).alias("words"))
     # Outer, lest the optimizer adds a filter that would divide each text into words a second time.
     placed = words.select("doc_id", "words", F.posexplode_outer("words").alias("at", "word"))
-    seeded = placed.select(
-        "doc_id", "words", "at", F.stack(F.lit(len(MASKS)), *_seeds(F.col("words"), F.col("at"))).alias("seed")
-    )
+    place = F.col("at")
+    own = _seeds(F.col("words"), place)
+    for length in lengths:
+        fits = (place == 0) & (F.size("words") == length) if length < ALONE else place >= 0
+        own.append(F.when(fits, _whole_seed(F.col("words"), place, length)))
+    seeded = placed.select("doc_id", "words", "at", F.stack(F.lit(len(own)), *own).alias("seed"))
     met = seeded.join(F.broadcast(seeds), "seed")
 
     # From the place before which a window can begin, or from the first word.
@@ -95,8 +117,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     first and last word place of a verified seed."""
     seeds = written(benchmark_seeds(benchmark))
     blocks = -(-seeds.count() // BLOCK_SEEDS) or 1
+    lengths = sorted(r.short for r in seeds.where("short is not null").select("short").distinct().collect())
+    seeds = seeds.drop("short")
     parts = [
-        _hits(docs, seeds if blocks == 1 else seeds.where(F.pmod("seed", F.lit(blocks)) == k)) for k in range(blocks)
+        _hits(docs, seeds if blocks == 1 else seeds.where(F.pmod("seed", F.lit(blocks)) == k), lengths)
+        for k in range(blocks)
     ]
     place = F.when(F.col("equal_words") >= F.col("needed"), F.col("at"))
     return (
