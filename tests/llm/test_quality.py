@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tidegauge.llm import quality, queries
 
@@ -85,3 +86,31 @@ def test_query_on_held_out_rows(spark):
     assert all(r.predicted == (r.score >= 0.3) for r in got.values())
     right = [got[x.doc_id].predicted == x.quality for x in labels if got[x.doc_id].held_out]
     assert len(right) > 500 and np.mean(right) > 0.97
+
+
+def test_the_sample_is_bounded_in_bytes(spark):
+    row = lambda i, n: (i, 1, bytes(n), bytes(n), bytes(2))
+    featured = spark.createDataFrame([row(i, 49) for i in range(50)], "doc_id LONG, quality INT, ids BINARY, values BINARY, stats BINARY")
+    order = [r.doc_id for r in featured.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    got = {r.doc_id for r in quality.sample_features(featured, 1234).collect()}
+    assert got == set(order[:12])
+    assert quality.sample_features(featured, 10**9).count() == 50
+    # 8,000 texts of every word there is would take 2 GB.
+    assert quality.TRAIN_BYTES + (1 << quality.WORD_BITS) * 8 < 8000 * (1 << quality.WORD_BITS) * 8 / 15
+
+
+def test_query_scores_equal_the_naive_sum_of_pairs(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    machine = quality.train(docs, queries.training_labels(spark, folder))
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    got = {r.doc_id: r for r in queries.op9_quality(spark, folder).collect()}
+    assert got.keys() == texts.keys()
+    for doc_id, row in zip(texts, quality.features(pa.array(texts.values(), pa.string()))):
+        ids, x = machine.vector(*row)
+        products = (machine.latent[ids].astype(float) @ machine.latent[ids].astype(float).T) * np.outer(x, x)
+        margin = machine.bias + float(machine.linear[ids] @ x) + np.triu(products, 1).sum()
+        score = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+        assert abs(got[doc_id].score - score) < 1e-4
+        assert got[doc_id].held_out == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+        assert got[doc_id].predicted == int(got[doc_id].score >= 0.3)

@@ -6,7 +6,7 @@ through ``FACTORS`` latent values each, computed in linear time as
 ``0.5 * sum_f((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2)``, and is trained with Adam on log loss.
 
 Training uses a bounded sample of labelled rows (``TRAIN_ROWS``, taken by hash of the document
-number); scoring covers every whole text.
+number, and of these, in the same order, as many as have ``TRAIN_BYTES`` of features together); scoring covers every whole text.
 
 Defined cases: null and empty texts are scored as texts without words; a null label is no label; a
 document with several labels counts once, with the lowest; of several texts under one labelled number
@@ -19,17 +19,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegauge.llm import textops
+from tidegauge.session import written
 
 WORD_BITS = 15
 FACTORS = 8
 TRAIN_ROWS = 8000
+#: What the features of the sample may take on the driver; a long text has up to 256 KB.
+TRAIN_BYTES = 96 << 20
 EPOCHS = 8
 BATCH = 128
 #: Steps at least, also where few rows are labelled.
@@ -139,8 +141,17 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]], labels: np.ndarra
     return machine
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
-    """Fit on at most ``rows`` documents labelled in ``labels`` (doc_id, quality)."""
+def sample_features(featured: DataFrame, size: int) -> DataFrame:
+    """Of the sample's features, in the order of the sample, the rows that have ``size`` bytes together."""
+    own = featured.select("doc_id", F.expr("octet_length(ids) + octet_length(values) + octet_length(stats)").alias("bytes"))
+    # One task, but of two numbers a row and no more rows than the sample has.
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fitting = own.withColumn("so_far", F.sum("bytes").over(order)).where(F.col("so_far") <= size)
+    return featured.join(F.broadcast(fitting.select("doc_id")), "doc_id", "left_semi")
+
+
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, size: int = TRAIN_BYTES) -> Machine:
+    """Fit on at most ``rows`` documents labelled in ``labels`` (doc_id, quality), with ``size`` bytes of features."""
     textops.small_batches(docs.sparkSession)
     one = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     one = one.groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -164,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine
     # One text a number before anything is sent on, however often a number is there.
     labelled = texts.join(sample, "doc_id").groupBy("doc_id", F.col("quality").cast("int").alias("quality"))
     one_text = labelled.agg(F.min("text").alias("text"))
-    got: pd.DataFrame = one_text.mapInArrow(featurise, schema).toPandas().sort_values("doc_id")
+    got = sample_features(written(one_text.mapInArrow(featurise, schema)), size).toPandas().sort_values("doc_id")
     kinds = (np.int32, np.float32, np.float32)
     rows_ = [tuple(np.frombuffer(b, k) for b, k in zip(r, kinds)) for r in zip(got["ids"], got["values"], got["stats"])]
     return fit(rows_, got["quality"].to_numpy(np.float64))
