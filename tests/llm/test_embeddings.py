@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidegauge.llm import embeddings, hnsw, queries
 
@@ -73,11 +74,12 @@ def test_the_beam_widens_until_the_audit_passes():
     vectors = np.repeat(draw.normal(size=(60, 12)), 10, 0) + draw.normal(size=(600, 12)) * 0.03
     vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
     index = hnsw.Graph(vectors)
-    found = embeddings.links_between(vectors, index, True)
+    beam, found, real = embeddings.audited_beam(index, vectors[::10])
     similar = vectors @ vectors.T >= 0.98
+    assert real == similar[::10].sum() and found >= embeddings.RECALL * real
     np.fill_diagonal(similar, False)
-    assert sum(map(len, found)) >= 0.99 * similar.sum()
-    assert all(similar[i, own].all() for i, own in enumerate(found))
+    met = embeddings.links_inside(index, beam)
+    assert met.sum() >= 0.99 * similar.sum() and not (met & ~similar).any() and (met == met.T).all()
 
 
 class Poor:
@@ -93,35 +95,60 @@ class Poor:
         return every
 
 
-@pytest.mark.parametrize("same", [False, True])
-def test_few_links_are_all_found(same):
+def units(draw, n, width):
+    vectors = draw.normal(size=(n, width))
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+def test_an_audit_without_links_is_passed_by_vectors_that_find_themselves():
     draw = np.random.default_rng(10)
-    one, other = draw.normal(size=(2, 1500, 48))
-    # Links of vectors that an evenly spread sample of 256 does not hold.
-    apart = np.setdiff1d(np.arange(1500), np.linspace(0, 1499, 256).astype(int))[::40][:24]
-    for i, k in zip(apart[:12], apart[12:]):
-        (one if same else other)[k] = one[i] + draw.normal(size=48) * 0.01
-    one, other = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (one, other))
-    queried = one if same else other
-    similar = one @ queried.T >= 0.98
-    if same:
-        np.fill_diagonal(similar, False)
-    assert similar.sum() == (24 if same else 12)
-    for index in (hnsw.Graph(queried), Poor(queried, lambda every: True)):
-        found = embeddings.links_between(one, index, same)
-        assert [sorted(own.tolist()) for own in found] == [np.flatnonzero(row).tolist() for row in similar]
-
-
-def test_certain_and_easy_hits_do_not_pass_the_audit(monkeypatch):
-    """The query itself and one large group are found, but of the other vectors' links only a part."""
-    monkeypatch.setattr(embeddings, "LINKED", 50)
+    vectors, queries_ = units(draw, 1500, 48), units(draw, 64, 48)
+    assert embeddings.audited_beam(Poor(vectors, lambda every: False), queries_) == (embeddings.BEAM, 0, 0)
+    assert embeddings.audited_beam(Poor(vectors, lambda every: True), queries_) == (96, 0, 0)
+    assert embeddings.audited_beam(hnsw.Graph(vectors[:1]), queries_[:0])[1:] == (0, 0)
+
+
+def test_easy_hits_do_not_pass_the_audit():
+    """One large group is found, but of the other vectors' links only a part."""
     draw = np.random.default_rng(11)
-    vectors = np.concatenate([np.tile(draw.normal(size=16), (700, 1)), np.repeat(draw.normal(size=(300, 16)), 2, 0)])
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-    similar = vectors @ vectors.T >= 0.98
-    np.fill_diagonal(similar, False)
-    found = embeddings.links_between(vectors, Poor(vectors, lambda every: len(every) == 2 and every[0] % 4 == 0), True)
-    assert sum(map(len, found)) == similar.sum()
+    vectors = np.concatenate([np.tile(units(draw, 1, 16), (700, 1)), np.repeat(units(draw, 300, 16), 2, 0)])
+    poor = Poor(vectors, lambda every: len(every) == 2 and every[0] % 4 == 0)
+    beam, found, real = embeddings.audited_beam(poor, vectors[::10])
+    assert beam == 96 and found == real == (vectors[::10] @ vectors.T >= 0.98).sum()
+
+
+def test_links_are_those_of_the_walks(spark, monkeypatch):
+    """Graphs that find nothing leave only copies linked: no brute force answers for them."""
+    rows = clustered(np.random.default_rng(12), 10)
+    rows.append((len(rows), *rows[0][1:]))
+    monkeypatch.setattr(hnsw.Graph, "similar", lambda self, query, least, beam, known=None: np.zeros(0, np.int64))
+    got = result(spark, rows)
+    assert [r[0] for r in got if r[1]] == sorted([0, len(rows) - 1]) and all(r[1] <= 1 for r in got)
+    assert sum(r[2] != r[0] for r in got) == 1
+
+
+def test_shards_meet_once(spark, monkeypatch):
+    """Few vectors of many shards, one to seven of them by label, some of them empty."""
+    monkeypatch.setattr(embeddings, "SHARD_VECTORS", 3)
+    monkeypatch.setattr(embeddings, "ASKING", 2)
+    draw = np.random.default_rng(13)
+    rows = []
+    for label, n in enumerate([1, 3, 5, 8, 10, 14, 17, 20]):
+        centre = draw.normal(size=8)
+        for _ in range(n):
+            rows.append((len(rows), [float(np.float32(x)) for x in centre + draw.normal(size=8) * 0.1], label))
+            if len(rows) % 3 == 0:
+                rows.append((len(rows), *rows[-1][1:]))
+    expected = brute_force(rows)
+    assert sum(r[1] for r in expected) > 50 and result(spark, rows) == expected
+
+
+def test_many_copies_count_each_other(spark):
+    rows = [(i, [1.0, 0.5], 1) for i in range(3000)] + [(5000, [1.0, 0.51], 1), (5001, [-1.0, 0.5], 1), (None, [1.0, 0.5], 1)]
+    got = {r[0]: r[1:] for r in result(spark, rows)}
+    assert len(got) == 3003
+    assert got[0] == (3001, 0, True) and got[2999] == (3001, 0, False) and got[None] == (3001, 0, False)
+    assert got[5000] == (3001, 0, False) and got[5001] == (0, 5001, True)
 
 
 def test_query_recall(spark):
@@ -132,3 +159,16 @@ def test_query_recall(spark):
     assert [r[0] for r in got] == [r[0] for r in expected]
     assert all(g[1] <= e[1] for g, e in zip(got, expected))
     assert sum(r[1] for r in got) >= 0.9 * sum(r[1] for r in expected)
+
+
+def test_recall_at_production_settings(spark):
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding", "label")
+    rows = [tuple(r) for r in table.collect()]
+    vectors = np.array([r[1] for r in rows], float)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    labels = np.array([-1 if r[2] is None else r[2] for r in rows])
+    similar = vectors @ vectors.T >= 0.98
+    np.fill_diagonal(similar, False)
+    own = similar & (labels[:, None] == labels[None, :]) & (labels >= 0)[:, None]
+    got = embeddings.near_duplicates(table).agg(F.sum("n_links")).first()[0]
+    assert 0.99 * own.sum() <= got <= own.sum()
