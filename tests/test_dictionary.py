@@ -171,3 +171,12 @@ def test_hot_ids_are_found_and_joined_apart(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_problems_are_told_by_id(spark):
+    rows = [(1, "a"), (1, "b"), (2, None), (3, "x" * 101), (None, "c"), (4, "fine"), (2, None)]
+    got = {(r.id, r.problem): r.rows for r in d.problems(spark.createDataFrame(rows, "id INT, type_name STRING")).collect()}
+    assert got == {
+        (1, "repeated id"): 2, (2, "repeated id"): 2, (2, "null name"): 2, (3, "name over 100 characters"): 1, (None, "null id"): 1,
+    }
+    assert d.problems(d.default_device_types(spark)).count() == 0

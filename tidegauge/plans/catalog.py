@@ -24,8 +24,8 @@ from tidegauge.plans.event_table import (
 )
 from tidegauge.plans.sensor_stats import select_from_view, sensor_stats
 from tidegauge.session import configure, shared_folder, written
-from tidegauge.sources import versions
-from tidegauge.sources.dictionary import read_table, replace_table, snapshot
+from tidegauge.sources import archive, versions
+from tidegauge.sources.dictionary import problems, read_table, replace_table, snapshot
 from tidegauge.sources.messages import decode_value, stream_files
 from tidegauge.sources.sinks import files_writer, read_aggregates
 from tidegauge.streaming import arrivals, refreshed, sensor_stream, window_logic
@@ -376,6 +376,38 @@ def dictionary_refresh(spark, folder):
     return named.groupBy("batch", "version", "device_type").agg(F.count("*").alias("events"))
 
 
+def dictionary_problems(spark, folder):
+    """Events taken for a dictionary, with ids and names that it must not have: what is refused, and why."""
+    number = F.col("event_id")
+    source = read_events(spark, folder).select(
+        F.when(number % 11 != 0, F.when(number % 7 == 0, number - 1).otherwise(number)).alias("id"),
+        F.when(number % 13 != 0, F.repeat(F.lit("n"), F.when(number % 17 == 0, 101).otherwise(100))).alias("type_name"),
+    )
+    return problems(source)
+
+
+def archived_ranges(spark, folder):
+    """Events kept as a topic of four partitions, read up to a position of each, and from there on."""
+    path = shared_folder(spark)
+    events = read_events(spark, folder)
+    number = F.col("event_id")
+    records = to_events(events, "event_id").select(
+        F.col("device_id").alias("key"), event_json().alias("value"), (number % 4).cast("int").alias("partition"),
+        F.floor(number / 4).alias("offset"), F.col("event_time").alias("timestamp"),
+    )
+    archive.append(records, path)
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    # Partition 2 has no position of its own: all of it comes before.
+    turn = {p: last // (8 + 4 * p) for p in (0, 1, 3)}
+    before = archive.read(spark, path, ending=turn).withColumn("side", F.lit("before"))
+    after = archive.read(spark, path, starting=turn).withColumn("side", F.lit("after")).where("partition != 2")
+    messages = before.unionByName(after)
+    size = F.sum(F.octet_length("value")).alias("value_bytes")
+    return messages.groupBy("side", "partition").agg(
+        F.count("*").alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), size
+    )
+
+
 QUERIES: dict[str, Query] = {
     "publish_events": publish_events,
     "decode_values": decode_values,
@@ -411,6 +443,8 @@ QUERIES: dict[str, Query] = {
     "late_events": late_events,
     "batch_receipts": batch_receipts,
     "dictionary_refresh": dictionary_refresh,
+    "dictionary_problems": dictionary_problems,
+    "archived_ranges": archived_ranges,
 }
 
 

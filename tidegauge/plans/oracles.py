@@ -211,4 +211,18 @@ FROM arrived GROUP BY batch, outcome""",
 SELECT CAST(event_id % 2 AS INTEGER) AS batch, event_id % 2 + 1 AS version,
        CASE WHEN event_id % 2 = 1 THEN lower(device_type) ELSE device_type END AS device_type, count(*) AS events
 FROM x GROUP BY ALL""",
+    "dictionary_problems": """WITH d AS (
+  SELECT CAST(CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 7 = 0 THEN event_id - 1 ELSE event_id END AS INTEGER) AS id,
+         CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 = 0 THEN repeat('n', 101) ELSE repeat('n', 100) END AS type_name
+  FROM events)
+SELECT id, 'null id' AS problem, count(*) AS rows FROM d WHERE id IS NULL GROUP BY id HAVING count(*) > 0
+UNION ALL SELECT id, 'repeated id', count(*) FROM d WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1
+UNION ALL SELECT id, 'null name', count(*) FROM d WHERE type_name IS NULL GROUP BY id
+UNION ALL SELECT id, 'name over 100 characters', count(*) FROM d WHERE length(type_name) > 100 GROUP BY id""",
+    "archived_ranges": f"""WITH {EVENTS},
+m AS (SELECT event_id % 4 AS p, event_id // 4 AS o, strlen({MESSAGE}) AS size, max(event_id) OVER () AS last FROM e),
+s AS (SELECT *, CASE WHEN p = 2 OR o < last // (8 + 4 * p) THEN 'before' ELSE 'after' END AS side FROM m)
+SELECT side, CAST(p AS INTEGER) AS partition, count(*) AS messages, min(o) AS first_offset, max(o) AS last_offset,
+       CAST(sum(size) AS BIGINT) AS value_bytes
+FROM s GROUP BY side, p""",
 }

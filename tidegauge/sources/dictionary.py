@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegauge.schemas import DEVICE_TYPES, DICTIONARY_SCHEMA, TYPE_NAME_LENGTH
@@ -28,12 +28,29 @@ class Dictionary:
         return self.rows <= self.broadcast_rows
 
 
-def _check(df: DataFrame) -> int:
-    per_id = df.groupBy("id").agg(
+def _per_id(df: DataFrame) -> DataFrame:
+    return df.groupBy("id").agg(
         F.count("*").alias("copies"),
         F.count_if(F.col("type_name").isNull()).alias("nameless"),
         F.count_if(F.length("type_name") > TYPE_NAME_LENGTH).alias("too_long"),
     )
+
+
+def problems(source: DataFrame) -> DataFrame:
+    """Why ``source`` would be refused: ``id``, ``problem``, and the ``rows`` that have it; no rows if it would not."""
+    rows = {
+        "null id": F.when(F.col("id").isNull(), F.col("copies")),
+        "repeated id": F.when(F.col("id").isNotNull() & (F.col("copies") > 1), F.col("copies")),
+        "null name": F.col("nameless"),
+        "name over 100 characters": F.col("too_long"),
+    }
+    told = [F.struct(F.lit(problem).alias("problem"), n.alias("rows")) for problem, n in rows.items()]
+    found = F.filter(F.array(*told), lambda x: x["rows"] > 0)
+    return _per_id(source.select(*_columns())).select("id", F.inline(found))
+
+
+def _check(df: DataFrame) -> int:
+    per_id = _per_id(df)
     found = per_id.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
         F.count_if(F.col("id").isNull()).alias("null ids"),
@@ -47,9 +64,13 @@ def _check(df: DataFrame) -> int:
     return found["rows"]
 
 
+def _columns() -> list[Column]:
+    return [F.col(f.name).cast(f.dataType).alias(f.name) for f in DICTIONARY_SCHEMA]
+
+
 def _copy(source: DataFrame) -> DataFrame:
     """The dictionary's columns in their types, computed once: what is checked is what is used."""
-    return written(source.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in DICTIONARY_SCHEMA]))
+    return written(source.select(*_columns()))
 
 
 def checked_copy(source: DataFrame) -> tuple[DataFrame, int]:
