@@ -161,14 +161,19 @@ def test_query_recall(spark):
     assert sum(r[1] for r in got) >= 0.9 * sum(r[1] for r in expected)
 
 
-def test_recall_at_production_settings(spark):
-    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding", "label")
-    rows = [tuple(r) for r in table.collect()]
-    vectors = np.array([r[1] for r in rows], float)
-    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-    labels = np.array([-1 if r[2] is None else r[2] for r in rows])
-    similar = vectors @ vectors.T >= 0.98
+def test_recall_over_several_shards(spark, monkeypatch):
+    """The table's vectors, which have no links of their own, as one label, each with one or two near copies."""
+    monkeypatch.setattr(embeddings, "SHARD_VECTORS", 1000)
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()
+    vectors = np.array([r[0] for r in table], np.float32)
+    draw = np.random.default_rng(14)
+    size = np.abs(vectors).mean() * 0.12
+    near = [vectors, vectors + draw.normal(size=vectors.shape) * size, (vectors + draw.normal(size=vectors.shape) * size)[::2]]
+    vectors = np.concatenate(near).astype(np.float32)
+    units_ = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    similar = units_ @ units_.T >= 0.98
     np.fill_diagonal(similar, False)
-    own = similar & (labels[:, None] == labels[None, :]) & (labels >= 0)[:, None]
-    got = embeddings.near_duplicates(table).agg(F.sum("n_links")).first()[0]
-    assert 0.99 * own.sum() <= got <= own.sum()
+    frame = spark.createDataFrame([(i, x, 1) for i, x in enumerate(vectors.tolist())], SCHEMA)
+    got = embeddings.near_duplicates(frame).agg(F.sum("n_links")).first()[0]
+    print("links", similar.sum(), "found", got)
+    assert similar.sum() > 2000 and 0.99 * similar.sum() <= got <= similar.sum()
