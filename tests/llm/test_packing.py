@@ -43,6 +43,42 @@ def test_ids_equal_the_tokenizers(tokenizer, monkeypatch, remembered):
             assert [*ids[a:b], 1] == ids_of(tokenizer, text), repr(text)
 
 
+def test_plain_runs_are_encoded_many_at_a_time(tokenizer):
+    class Counted:
+        texts = 0
+
+        def __init__(self, of):
+            self.of = of
+
+        def encode_batch_fast(self, texts, **options):
+            Counted.texts += len(texts)
+            return self.of.encode_batch_fast(texts, **options)
+
+    draw = random.Random(5)
+    runs = list({"".join(draw.choices("aehnorstzßéüÿ", k=draw.randint(1, 30))) for _ in range(5000)})
+    # Not plain: other letters, capitals that stay after lower-casing, marks that compose, digits.
+    others = ["ſt", "ŉa", "ǆ", "ªº", "µm", "e\u0301t", "a1b22", "ﬁn", "日本", "x²"]
+    words = tokens.Words(PATH)
+    words.tokenizer = Counted(words.tokenizer)
+    words.plain = Counted(words.plain)
+    texts = [" ".join(runs), " ".join(f"{run}," for run in runs), " ".join(others + runs[:50] + others)]
+    ids, at, ends = words.encode(texts)
+    for text, a, b in zip(texts, at, at[1:]):
+        assert [*ids[a:b], 1] == ids_of(tokenizer, text)
+    assert len(ends) == 0
+    assert Counted.texts < len(runs) // 50
+
+
+def test_tokenizers_without_closing_ids(tmp_path):
+    from tokenizers import models, pre_tokenizers
+
+    own = Tokenizer(models.BPE({c: k for k, c in enumerate("abc")} | {"ab": 3}, [("a", "b")]))
+    own.pre_tokenizer = pre_tokenizers.Whitespace()
+    own.save(str(tmp_path / "own.json"))
+    ids, at, _ = tokens.Words(str(tmp_path / "own.json")).encode(["abc ab c", "", "cab"])
+    assert (ids.tolist(), at.tolist()) == ([3, 2, 3, 2, 2, 3], [0, 4, 4, 6])
+
+
 def cost(sequence_ends, allowed, length=packing.LENGTH, short=packing.SHORT_LENGTHS):
     total, start = 0, 0
     for end in sequence_ends:

@@ -4,6 +4,9 @@ The tokenizer divides a text at white space, so the ids of a text are those of i
 another; and a word between letters or digits and other marks, so the ids of a word are those of its
 runs. Each distinct word is looked at and each distinct run encoded once per worker process, as long
 as it is remembered; texts are put together from the table of words with numpy.
+
+If the tokenizer marks the last id of a word, runs of small Latin letters, which it leaves as they are
+and never divides before its merges, are encoded many at a time as one text.
 """
 
 from __future__ import annotations
@@ -16,11 +19,17 @@ import types
 import unicodedata
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words a worker remembers at most (some 200 bytes each), and how many of the most used it keeps then.
-REMEMBERED_WORDS = 350_000
-KEPT_WORDS = 200_000
+REMEMBERED_WORDS = 200_000
+KEPT_WORDS = 120_000
+#: Plain runs encoded as one text.
+JOINED_RUNS = 100
 _RUN = re.compile(r"[^\W_]+|(?:[^\w]|_)+")
+#: Composed, lower-cased letters that no version of Unicode treats otherwise.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+")
 
 
 class _Numbers(dict):
@@ -44,9 +53,18 @@ class Words:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model without normalizing and dividing, and which of its ids end a word.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab() if suffix else {}
+        self.closing = np.zeros(max(vocabulary.values(), default=-1) + 1, bool)
+        self.closing[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
         self.words = _Numbers()
         self.starts = self.sizes = self.used = np.zeros(0, np.int64)
         self.ends = np.zeros(0, bool)
@@ -61,6 +79,18 @@ class Words:
         self.sizes, self.ends, self.used = self.sizes[chosen], self.ends[chosen], self.used[chosen]
         self.starts = ends - self.sizes
 
+    def _encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and how many each has."""
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return np.fromiter(itertools.chain.from_iterable(ids), np.int32), np.fromiter(map(len, ids), np.int64, len(ids))
+
+    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for plain runs: each ends with its only closing id."""
+        texts = [" ".join(words[k : k + JOINED_RUNS]) for k in range(0, len(words), JOINED_RUNS)]
+        encoded = self.plain.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(itertools.chain.from_iterable(e.ids for e in encoded), np.int32)
+        return ids, np.diff(np.flatnonzero(self.closing[ids]), prepend=-1)
+
     def _encode_new(self) -> None:
         known = len(self.sizes)
         composite: list[int] = []
@@ -78,14 +108,14 @@ class Words:
         new = list(itertools.islice(self.words, known, None))
         if not new:
             return
-        divided = np.zeros(len(new), bool)
-        divided[np.array(composite, np.int64) - known] = True
-        whole = np.flatnonzero(~divided)
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([new[k] for k in whole], add_special_tokens=False)]
+        whole = np.ones(len(new), bool)
+        whole[np.array(composite, np.int64) - known] = False
         sizes, starts = np.zeros((2, len(new)), np.int64)
-        sizes[whole] = np.fromiter(map(len, ids), np.int64, len(ids))
-        starts[whole] = len(self.pool) + np.cumsum(sizes[whole]) - sizes[whole]
-        self.pool = np.concatenate([self.pool, np.fromiter(itertools.chain.from_iterable(ids), np.int32)])
+        plain = np.fromiter(map(bool, map(_PLAIN.fullmatch, new)), bool, len(new)) & whole & bool(len(self.closing))
+        for chosen, encoded in ((plain, self._encode_plain), (whole & ~plain, self._encode_each)):
+            ids, sizes[chosen] = encoded(list(itertools.compress(new, chosen.tolist())))
+            starts[chosen] = len(self.pool) + np.cumsum(sizes[chosen]) - sizes[chosen]
+            self.pool = np.concatenate([self.pool, ids])
         self.sizes, self.starts = np.concatenate([self.sizes, sizes]), np.concatenate([self.starts, starts])
         values, ends = _joined(self.pool, self.starts, self.sizes, np.array(parts, np.int64))
         word_ends = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
@@ -99,15 +129,18 @@ class Words:
         """Ids of all texts together, tokens before each text (one more at the end), sentence ends."""
         if len(self.words) > REMEMBERED_WORDS:
             self._forget()
-        words, counts = [], [0]
+        cleaned = []
         for text in texts:
             low = text.lower()
             # Lower-casing first leaves fewer words; not where it depends on context or could make a special token.
             if text.isascii() or "Σ" not in text and "İ" not in text and _composed(text) and _composed(low):
                 text = low if "<|" not in text else text
-            words += text.replace("\n", " ").split(" ")
-            counts.append(len(words))
-        numbers = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            cleaned.append(text.replace("\n", " "))
+        divided = pc.split_pattern(pa.array(cleaned, pa.large_string()), " ")
+        counts = np.concatenate([[0], np.cumsum(divided.value_lengths().to_numpy())])
+        words = divided.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False)
+        numbers = np.fromiter(map(self.words.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
         self._encode_new()
         self.used += np.bincount(numbers, minlength=len(self.used))
         ids, ends = _joined(self.pool, self.starts, self.sizes, numbers)
