@@ -157,6 +157,23 @@ def test_order_is_kept(spark):
     assert [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
 
 
+def test_memory_is_given_back_after_each_stretch(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "calls")
+
+    def give_back():
+        with open(path, "a") as calls:
+            calls.write("x")
+
+    monkeypatch.setattr(packing.textops, "give_back", give_back)
+    monkeypatch.setattr(packing, "STRETCH", 5000)
+    monkeypatch.setattr(packing.textops, "slices", lambda texts: ((k, k + 1) for k in range(len(texts))))
+    docs = [(k, "Some words here. " * 1500) for k in range(6)]
+    df = spark.createDataFrame(docs, "doc_id LONG, text STRING").coalesce(1)
+    assert sum(r.length for r in packing.pack(df, PATH).collect()) == 6 * (4 * 1500 + 1)
+    # Before, after each of the six documents, and at the end.
+    assert (tmp_path / "calls").read_text() == "x" * 8
+
+
 def test_empty_table_and_repeated_rows(spark):
     df = spark.createDataFrame([], "doc_id LONG, text STRING")
     assert packing.pack(df, PATH).collect() == []

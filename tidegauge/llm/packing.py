@@ -178,6 +178,8 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Workers outlive their tasks: also what the tasks before took and do not use any more goes back.
+        textops.give_back()
         words = tokens.words_of(tokenizer_path)
         packer = None
         for batch in batches:
@@ -187,8 +189,10 @@ def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 packer.add(batch["doc_id"].slice(start, end - start).to_pylist(), *words.encode(texts))
                 if packer.size >= STRETCH:
                     yield from packer.pack(last=False)
+                    textops.give_back()
         if packer:
             yield from packer.pack(last=True)
+        textops.give_back()
 
     textops.small_batches(docs.sparkSession)
     doc_type = docs.schema["doc_id"].dataType.simpleString()
